@@ -1,0 +1,94 @@
+from __future__ import annotations
+
+import math
+
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from fleetlake import functions as fl
+
+places = st.tuples(
+    st.floats(-90, 90, allow_nan=False), st.floats(-180, 180, allow_nan=False)
+)
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(places, places), min_size=1, max_size=50))
+def test_haversine_equals_python(spark, pairs):
+    rows = [(a[0], a[1], b[0], b[1]) for a, b in pairs]
+    df = spark.createDataFrame(rows, "a double, b double, c double, d double")
+    found = [r[0] for r in df.select(fl.haversine_km(*[F.col(c) for c in "abcd"])).collect()]
+    for (la, lo, lb, lp), km in zip(rows, found):
+        la, lo, lb, lp = map(math.radians, (la, lo, lb, lp))
+        h = math.sin((lb - la) / 2) ** 2 + math.cos(la) * math.cos(lb) * math.sin((lp - lo) / 2) ** 2
+        assert km == pytest.approx(2 * 6371.009 * math.asin(min(1, math.sqrt(h))), abs=1e-6)
+
+
+def one(spark, column, **values):
+    row = {k: v for k, v in values.items()}
+    df = spark.range(1).select(*[F.lit(v).alias(k) for k, v in row.items()])
+    return df.select(column).first()[0]
+
+
+def test_haversine_of_missing_place(spark):
+    null = F.lit(None).cast("double")
+    assert one(spark, fl.haversine_km(null, F.lit(1.0), F.lit(1.0), F.lit(1.0))) is None
+    antipodes = fl.haversine_km(F.lit(0.0), F.lit(0.0), F.lit(0.0), F.lit(180.0))
+    assert one(spark, antipodes) == pytest.approx(math.pi * 6371.009)
+
+
+@pytest.mark.parametrize(
+    ("code", "number", "suffix"),
+    [("8000-10", "8000", 10), ("917H-21", "917H", 21), ("N1", "N1", 10), ("8-x", "8", None), ("1-2-3", "1", 2)],
+)
+def test_line_codes(spark, code, number, suffix):
+    assert one(spark, fl.line_number(F.lit(code))) == number
+    assert one(spark, fl.line_suffix(F.lit(code))) == suffix
+
+
+@pytest.mark.parametrize(
+    ("text", "ids"), [("1, 2, 3", [1, 2, 3]), ("7", [7]), ("a, 2", []), ("", []), (None, [])]
+)
+def test_target_ids(text, ids):
+    assert fl.parse_target_ids(text) == ids
+
+
+def test_gps_time_is_three_hours_ahead(spark):
+    gps = fl.parse_local(F.lit("2025-08-14T20:43:03Z"))
+    assert str(one(spark, gps)) == "2025-08-14 20:43:03"
+    assert str(one(spark, fl.gps_to_local(gps))) == "2025-08-14 17:43:03"
+    assert one(spark, fl.parse_local(F.lit("not a time"))) is None
+
+
+@pytest.mark.parametrize(
+    ("time", "seconds"),
+    [("05:00:00", 18000), ("23:00:00", 82800), ("23:00:00.000001", 82800.000001), ("00:00:00", 0)],
+)
+def test_seconds_of_day(spark, time, seconds):
+    value = one(spark, fl.seconds_of_day(F.lit(f"2025-08-14 {time}").cast("timestamp_ntz")))
+    assert float(value) == pytest.approx(seconds, abs=1e-9)
+
+
+@pytest.mark.parametrize(
+    ("hour", "period"),
+    [(6, None), (7, "morning"), (8, "morning"), (9, None), (17, "afternoon"), (19, None), (20, "evening"), (21, None)],
+)
+def test_day_period(spark, hour, period):
+    assert one(spark, fl.day_period(F.lit(f"2025-08-14 {hour:02d}:30:00").cast("timestamp_ntz"))) == period
+
+
+def test_minutes_between_is_signed(spark):
+    a, b = (F.lit(f"2025-08-14 10:{m}").cast("timestamp_ntz") for m in ("00:00", "01:30"))
+    assert one(spark, fl.minutes_between(a, b)) == 1.5
+    assert one(spark, fl.minutes_between(b, a)) == -1.5
+
+
+@pytest.mark.parametrize(
+    ("lat", "lon", "region"),
+    [(-23.56, -46.60, "Centre"), (-23.50, -46.60, "East"), (-23.56, -46.70, "West"), (-23.55, -46.60, "East"),
+     (-23.56, -46.65, "West"), (-23.56, -46.50, "East")],
+)
+def test_region(spark, lat, lon, region):
+    assert one(spark, fl.region_of(F.lit(lat), F.lit(lon))) == region

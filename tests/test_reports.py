@@ -1,0 +1,137 @@
+from __future__ import annotations
+
+import pandas as pd
+import pytest
+
+from fleetlake import schemas
+from fleetlake.operators import matching, reports
+from tests.conftest import at, rows_of
+
+T0 = "2025-08-15 10:00:00"
+
+
+@pytest.fixture
+def status(make_status):
+    return make_status(
+        (1, T0, 1, "A-10", -23.50, -46.60, 7),
+        (2, T0, 2, "A-10", -23.52, -46.64),
+        (3, T0, 3, "B-10", -23.56, -46.60, 8),
+        (4, T0, 4, "B-10", -23.56, -46.60, 9),
+        (5, T0, 5, None, -23.00, -46.00),
+        (6, T0, 6, None, -23.00, -46.00, 1),
+        (7, T0, 7, "C-10", -23.60, -46.70),
+    )
+
+
+def test_top_lines(status):
+    found = [tuple(r) for r in reports.top_lines_by_volume(status).collect()]
+    assert found == [("A-10", 2, 1), ("B-10", 2, 2), (None, 2, 1), ("C-10", 1, 0)]
+    assert reports.top_lines_by_volume(status, k=2).count() == 2
+
+
+def test_completeness(status):
+    assert rows_of(reports.prediction_completeness(status)) == [
+        ("A-10", 2, 50.0),
+        ("B-10", 2, 100.0),
+        ("C-10", 1, 0.0),
+    ]
+
+
+def test_regions(status):
+    assert rows_of(reports.region_estimate(status)) == [
+        ("A-10", -23.51, -46.62, 2, "East"),
+        ("B-10", -23.56, -46.6, 2, "Centre"),
+        ("C-10", -23.6, -46.7, 1, "West"),
+    ]
+    assert rows_of(reports.one_line(reports.region_estimate(status), "C-10"))[0][-1] == "West"
+
+
+def test_trusted_lines_need_everything(spark):
+    full = (1, at(T0), 1, "A-10", -23.5, -46.6, at(T0), 7, "10:15")
+    rows = [full]
+    for i in (3, 6, 7, 8):
+        rows.append(tuple(None if j == i else v for j, v in enumerate(full)))
+    status = spark.createDataFrame(rows, schemas.FLEET_STATUS)
+    assert rows_of(reports.trusted_line_metrics(status)) == [("A-10", -23.5, -46.6, 1)]
+
+
+def test_sample_and_recent(status, make_positions, make_predictions):
+    assert [r["vehicle_id"] for r in reports.sample_with_prediction(status, 3).collect()] == [1, 3, 4]
+    positions = make_positions(*[(i, T0, i, "A-10", 0.0, 0.0) for i in range(60)])
+    recent = reports.recent_by_line(positions, "A-10").collect()
+    assert [r["id"] for r in recent] == list(range(59, 9, -1))
+    predictions = make_predictions(*[(i, T0, 1036 + i % 2, i, 1, "10:00") for i in range(120)])
+    assert reports.recent_predictions(predictions, 1036).count() == 50
+
+
+DELAYS = "line_code string, period string, day date, delay_min double"
+
+
+@pytest.fixture
+def delays(spark):
+    days = pd.date_range("2025-08-01", periods=9).date
+    lines = ["L1"] * 3 + ["L2-10"] * 3 + ["L3"] * 3
+    minutes = [10.0, 12.0, 7.0, 12.0, 15.0, 10.0, 8.0, 10.0, 4.0]
+    periods = ["morning", "afternoon", "evening"] * 3
+    return spark.createDataFrame(list(zip(lines, periods, days, minutes)), DELAYS)
+
+
+def test_delay_pivot(spark, delays):
+    lines = ["L1", "L2-10", "none"]
+    assert rows_of(reports.delay_by_period_line(delays, lines)) == [
+        ("afternoon", 12.0, 15.0, 0.0),
+        ("evening", 7.0, 10.0, 0.0),
+        ("morning", 10.0, 12.0, 0.0),
+    ]
+    assert reports.delay_by_period_line(delays, lines).columns == ["period", "L1", "L2_10", "none"]
+
+
+def test_delay_kpis(spark, delays):
+    assert rows_of(reports.delay_kpis(delays)) == [(9.777778, "L2-10", "L3")]
+    ties = delays.where("false").union(
+        spark.createDataFrame([("b", "x", None, 5.0), ("a", "x", None, 5.0)], DELAYS)
+    )
+    assert rows_of(reports.delay_kpis(ties)) == [(5.0, "a", "a")]
+    assert reports.delay_trend(delays).count() == 9
+
+
+def references(spark, *times):
+    return spark.createDataFrame([(i, at(t)) for i, t in enumerate(times)], schemas.EXTERNAL_TIMES)
+
+
+def test_nearest_reference_by_hour(spark, make_positions):
+    refs = references(spark, "2025-08-15 21:30:00", "2025-08-15 05:00:00", "2025-08-15 09:00:00")
+    rows = make_positions(
+        (1, "2025-08-15 22:10:00", 1, "A", 0.0, 0.0),
+        (2, "2025-08-15 07:59:00", 1, "A", 0.0, 0.0),  # two hours from 5 and from 9
+        (3, "2025-08-15 15:00:00", 1, "A", 0.0, 0.0),  # six hours from 21 and from 9
+        (4, "2025-08-16 00:00:00", 1, "A", 0.0, 0.0),  # hours do not wrap
+    )
+    found = matching.external_time_match(rows, refs)
+    assert rows_of(found, "id", "our_hour", "ref_hour") == [
+        (1, 22, 21),
+        (2, 7, 5),
+        (3, 15, 21),
+        (4, 0, 5),
+    ]
+
+
+def test_match_has_no_cross_join(spark, make_positions):
+    rows = make_positions((1, T0, 1, "A", 0.0, 0.0))
+    plan = matching.external_time_match(rows, references(spark, T0))._jdf.queryExecution().executedPlan()
+    text = plan.toString()
+    assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
+
+
+def test_gap_statistics_equal_pandas(spark, make_positions):
+    refs = references(spark, "2025-08-15 10:00:00")
+    minutes = [0, 3, 8, 15, 61, 62]
+    rows = make_positions(
+        *[(i, str(pd.Timestamp(T0) + pd.Timedelta(minutes=m)), 1, "A", 0.0, 0.0) for i, m in enumerate(minutes)]
+    )
+    stats = matching.external_gap_stats(matching.external_time_match(rows, refs)).first().asDict()
+    expected = pd.Series(minutes, dtype=float).describe()
+    assert stats["n"] == 6 and stats["over_10"] == 3
+    names = {"mean": "mean", "std": "std", "min": "min", "p25": "25%", "p50": "50%", "p75": "75%", "max": "max"}
+    for name, label in names.items():
+        assert stats[name] == pytest.approx(expected[label], abs=1e-6)
