@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -36,50 +36,32 @@ def events(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.schema(EVENTS).parquet(f"{folder}/events.parquet")
 
 
-def _every(n: int) -> Column:
-    return F.col("event_id") % n == 0
-
-
-def _hour_of_ts() -> Column:
-    return F.date_trunc("hour", F.col("ts")).cast("timestamp_ntz")
-
-
-def _spread(resting: Column, moving: Column) -> Column:
-    steps = F.when(F.col("user_id") % 10 == 0, resting).otherwise(moving) % 400
-    return steps.cast("double") / F.lit(1e4)
-
-
 def positions(ev: DataFrame) -> DataFrame:
-    event, user = F.col("event_id"), F.col("user_id")
-    code = F.concat("event_type", F.lit("-"), (10 + user % 3).cast("string"))
-    return ev.select(
-        event.alias("id"),
-        _hour_of_ts().alias("collected_at"),
-        (user + 1).alias("vehicle_id"),
-        F.when(~_every(97), code).alias("line_code"),
-        (F.lit(-23.54) - _spread(user * 7 + event % 3, event * 37 + user * 11)).alias("lat"),
-        (F.lit(-46.62) - _spread(user * 3, event * 13 + user * 7)).alias("lon"),
-        F.when(~_every(89), F.col("ts")).alias("position_at"),
+    return ev.selectExpr(
+        "event_id as id",
+        "cast(date_trunc('hour', ts) as timestamp_ntz) as collected_at",
+        "user_id + 1 as vehicle_id",
+        "case when event_id % 97 <> 0 then event_type || '-' || cast(10 + user_id % 3 as string) end as line_code",
+        "-23.54d - cast(case when user_id % 10 = 0 then user_id * 7 + event_id % 3 "
+        "else event_id * 37 + user_id * 11 end % 400 as double) / 1e4d as lat",
+        "-46.62d - cast(case when user_id % 10 = 0 then user_id * 3 "
+        "else event_id * 13 + user_id * 7 end % 400 as double) / 1e4d as lon",
+        "case when event_id % 89 <> 0 then ts end as position_at",
     )
 
 
 def predictions(ev: DataFrame) -> DataFrame:
-    event, user = F.col("event_id"), F.col("user_id")
-    clock = F.concat(_two_digits(event * 7 % 24), F.lit(":"), _two_digits(event * 11 % 60))
-    return ev.where(_every(2) & (user % 5 != 0)).select(
-        event.alias("id"),
-        _hour_of_ts().alias("collected_at"),
-        (1000 + user % 7).alias("line_id"),
-        (user + 1).alias("vehicle_id"),
-        F.when(~_every(83), 5000 + event % 41).alias("stop_id"),
-        F.when(~_every(79), clock).alias("predicted_at"),
+    return ev.where("event_id % 2 = 0 and user_id % 5 <> 0").selectExpr(
+        "event_id as id",
+        "cast(date_trunc('hour', ts) as timestamp_ntz) as collected_at",
+        "1000 + user_id % 7 as line_id",
+        "user_id + 1 as vehicle_id",
+        "case when event_id % 83 <> 0 then 5000 + event_id % 41 end as stop_id",
+        "case when event_id % 79 <> 0 then lpad(cast(event_id * 7 % 24 as string), 2, '0') || ':' "
+        "|| lpad(cast(event_id * 11 % 60 as string), 2, '0') end as predicted_at",
     )
 
 
-def _two_digits(number: Column) -> Column:
-    return F.lpad(number.cast("string"), 2, "0")
-
-
 def prediction_copies(ev: DataFrame) -> DataFrame:
     """Copies of every third prediction under later ids."""
     return (
@@ -121,15 +103,14 @@ def vehicle_track(ev: DataFrame) -> DataFrame:
 
 
 def lineage_audit(ev: DataFrame) -> DataFrame:
-    user = F.col("user_id")
-    return ev.select(
-        F.col("event_id").alias("id"),
-        F.concat(F.lit("compact_"), "event_type").alias("asset_name"),
-        F.col("event_type").alias("table_name"),
-        F.when(user % 2 == 0, F.lit("bronze")).otherwise(F.lit("silver")).alias("layer"),
-        F.col("ts").alias("run_timestamp"),
-        (user * 10).alias("row_count"),
-        F.when(_every(10), F.lit("alert")).otherwise(F.lit("ok")).alias("status"),
+    return ev.selectExpr(
+        "event_id as id",
+        "'compact_' || event_type as asset_name",
+        "event_type as table_name",
+        "case when user_id % 2 = 0 then 'bronze' else 'silver' end as layer",
+        "ts as run_timestamp",
+        "user_id * 10 as row_count",
+        "case when event_id % 10 = 0 then 'alert' else 'ok' end as status",
     )
 
 

@@ -10,19 +10,29 @@ from pyspark.sql import functions as F
 # A key with fewer rows than this is never worth splitting.
 MIN_HOT_ROWS = 1_000_000
 MAX_BROADCAST_BYTES = 32 * 1024 * 1024
+# Below this estimate the planner broadcasts by itself (its default threshold).
+MEASURE_ABOVE_BYTES = 10 * 1024 * 1024
 
 
 def task_count(df: DataFrame) -> int:
     return max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
+def estimated_bytes(df: DataFrame) -> int:
+    """The planner's size estimate; costs no job."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
 def hot_keys(df: DataFrame, keys: Sequence[str], min_rows: int = MIN_HOT_ROWS) -> list[Row]:
     """Keys that hold more than one task's fair share of the rows, with a split count.
 
     With T tasks a key is hot above total/T rows, so there are fewer than T of them:
     the list that reaches the driver is bounded by the task count, not by the data.
-    Counting combines on the map side and reads the key columns only.
+    Counting combines on the map side and reads the key columns only. It is left out
+    where the planner's estimate is below a few bytes per row of the smallest hot key.
     """
+    if estimated_bytes(df.select(*keys)) < 8 * min_rows:
+        return []
     tasks = task_count(df)
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     total = counts.agg(F.sum("_n")).scalar()
@@ -41,7 +51,13 @@ def hot_table(df: DataFrame, keys: Sequence[str], rows: list[Row]) -> DataFrame:
 
 
 def broadcast_if_small(df: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
-    """Hint a broadcast only after measuring the table; otherwise leave it to the planner."""
+    """Hint a broadcast only after measuring the table.
+
+    A table the planner estimates below its own threshold, or one that measures too
+    large, is left to the planner.
+    """
+    if estimated_bytes(df) <= MEASURE_ABOVE_BYTES:
+        return df
     size = df.agg(
         F.sum(F.octet_length(F.to_json(F.struct("*"))).cast("bigint")).alias("bytes")
     ).first()["bytes"]

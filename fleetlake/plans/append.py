@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from fleetlake import schemas
-from fleetlake.operators.pick import null_key_tag
+from fleetlake.operators.pick import null_key_tag, ranked_row, unranked
 from fleetlake.sources.layers import read_table
 from fleetlake.sources.paths import swap_in
 
@@ -78,12 +78,11 @@ def unseen(
     shuffle all copies, twice.
     """
     values = [c for c in incoming.columns if c not in key]
-    ranked = F.struct(
-        *[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)],
-        *[F.col(v).alias(f"_v{i}") for i, v in enumerate(values)],
-    )
     offered = incoming.select(
-        *key, null_key_tag(key, order).alias("_tag"), F.lit(False).alias("_stored"), ranked.alias("_row")
+        *key,
+        null_key_tag(key, order).alias("_tag"),
+        F.lit(False).alias("_stored"),
+        ranked_row(order, values).alias("_row"),
     )
     known = stored.dropna(subset=list(key)).select(
         *key, F.lit(None).cast("string").alias("_tag"), F.lit(True).alias("_stored")
@@ -94,7 +93,7 @@ def unseen(
         .agg(F.bool_or("_stored").alias("_stored"), F.min("_row").alias("_row"))
         .where(~F.col("_stored"))
     )
-    return merged.select(*key, *[F.col(f"_row._v{i}").alias(v) for i, v in enumerate(values)])
+    return merged.select(*key, *unranked("_row", order, values))
 
 
 def spread_by_day(rows: DataFrame) -> DataFrame:

@@ -8,13 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetlake.operators import contracts
-from fleetlake.operators.quality import reconcile
+from fleetlake.operators.quality import freshness, last_batch, reconcile
 from fleetlake.plans.append import idempotent_append
 from fleetlake.plans.compaction import compact, verify_day
 from fleetlake.plans.lineage import record_run
 from fleetlake.plans.retention import KEEP_DAYS, cutoff, purge
 from fleetlake.sources import snapshots
-from fleetlake.sources.layers import Lake, read_table
+from fleetlake.sources.layers import Lake, read_newest_day, read_table
 
 RULES = {"positions": contracts.position_rules, "predictions": contracts.prediction_rules}
 
@@ -84,6 +84,15 @@ def check_layers(
     return result
 
 
+def check_health(spark: SparkSession, lake: Lake, as_of: datetime) -> DataFrame:
+    """Per bronze table: is it empty, is it stale, and the size of its last batch.
+
+    Reads the newest day of each table only.
+    """
+    newest = {t: read_newest_day(spark, lake.path("bronze", t), t) for t in RULES}
+    return freshness(newest, as_of).join(last_batch(newest), "table_name")
+
+
 def purge_table(
     spark: SparkSession, lake: Lake, table: str, as_of: datetime, keep_days: int = KEEP_DAYS
 ) -> int:

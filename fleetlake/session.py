@@ -18,6 +18,8 @@ def local_session(app: str, cores: str = "*", shuffle_partitions: int = 8, **con
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
+        # Recording a Python call site for every column costs more than small queries do.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     )
     for key, value in conf.items():

@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from fleetlake import schemas
 from fleetlake.sources.paths import exists, subfolders
@@ -41,6 +42,16 @@ def read_silver(spark: SparkSession, path: str, table: str) -> DataFrame:
     return read_table(spark, path, table).drop("dt")
 
 
+def read_newest_day(spark: SparkSession, path: str, table: str) -> DataFrame:
+    """The rows of the last stored day, found from the folder names.
+
+    The newest row of a table lies there, so monitors need not scan the history.
+    """
+    rows = read_table(spark, path, table)
+    days = stored_days(spark, path)
+    return rows.where(F.col("dt") == F.lit(max(days)).cast("date")) if days else rows
+
+
 def load_layer(
     spark: SparkSession, lake: Lake, table: str, fall_back_if_empty: bool = False
 ) -> DataFrame:

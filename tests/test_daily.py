@@ -6,7 +6,7 @@ from datetime import date
 from fleetlake import schemas
 from fleetlake.plans import daily, lineage
 from fleetlake.plans.append import append
-from fleetlake.sources.layers import Lake, read_table
+from fleetlake.sources.layers import Lake, read_newest_day, read_table
 from tests.conftest import at, rows_of
 
 
@@ -81,3 +81,17 @@ def test_lost_rows_raise_an_alert(spark, tmp_path, make_positions):
     assert found.first()["passed"] is False
     audit = read_table(spark, daily.audit_path(lake), "lineage_audit")
     assert rows_of(audit, "asset_name", "status") == [("reconcile_positions", "alert")]
+
+
+def test_health_reads_the_newest_day(spark, tmp_path, make_positions):
+    lake = Lake(str(tmp_path))
+    rows = [(i, f"2025-08-{10 + i} 10:00:00", 1, "A", 0.0, 0.0) for i in range(5)]
+    rows.append((9, "2025-08-14 10:00:00", 2, "A", 0.0, 0.0))
+    append(make_positions(*rows), lake.path("bronze", "positions"), "positions")
+    found = daily.check_health(spark, lake, at("2025-08-14 10:30:00"))
+    assert rows_of(found, "table_name", "is_empty", "is_stale", "batch_rows") == [
+        ("positions", False, False, 2),
+        ("predictions", True, None, 0),
+    ]
+    newest = read_newest_day(spark, lake.path("bronze", "positions"), "positions")
+    assert "2025-08-14" in newest._jdf.queryExecution().executedPlan().toString().split("PartitionFilters:")[1]

@@ -158,6 +158,22 @@ def test_compact_without_duplicates(spark, tmp_path, three):
     assert rows_of(read_table(spark, path, "predictions"), "id") == [(1,), (3,)]
 
 
+def test_a_large_day_is_not_one_task(spark, tmp_path):
+    path = str(tmp_path / "silver")
+    rows = spark.range(0, 200_000, numPartitions=8).selectExpr(
+        "id", "timestamp_ntz'2025-08-15 10:00:00' as collected_at", "id as vehicle_id",
+        "cast(null as string) as line_code", "rand(1) as lat", "rand(2) as lon",
+        "cast(null as timestamp_ntz) as position_at",
+    )
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1MB")
+    try:
+        assert compaction.compact(rows, path, "positions", date(2025, 8, 15)) == 200_000
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    assert len(parquet_files(path)) > 3
+    assert read_table(spark, path, "positions").select("id").distinct().count() == 200_000
+
+
 def test_compact_any_table(spark, tmp_path, make_status):
     path = str(tmp_path / "silver")
     rows = make_status((1, "2025-08-15 10:00:00", 1, "A", 0.0, 0.0))

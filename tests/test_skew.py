@@ -112,31 +112,55 @@ def test_kpis_on_the_split_path(track):
     assert rows_of(fleet.fleet_kpis(track)) == rows_of(fleet.fleet_kpis(track, min_hot_rows=1))
 
 
-@pytest.mark.parametrize("order", [["id"], ["analyzed_at", "id"]])
-def test_pick_equals_window(track, order):
+@pytest.mark.parametrize(("order", "unique"), [(["id"], False), (["id"], True), (["analyzed_at", "id"], False)])
+def test_pick_equals_window(track, order, unique):
     for picker, direction in ((first_per_key, F.asc), (last_per_key, F.desc)):
         window = Window.partitionBy("vehicle_id").orderBy(*[direction(c) for c in order])
         expected = track.withColumn("rn", F.row_number().over(window)).where("rn = 1")
-        found = picker(track, ["vehicle_id"], order, ["id", "lat"])
+        found = picker(track, ["vehicle_id"], order, ["id", "lat"], unique)
         assert rows_of(found) == rows_of(expected, "vehicle_id", "id", "lat")
 
 
 def test_pick_moves_one_row_per_key_and_task(track):
-    plan = last_per_key(track, ["vehicle_id"], ["analyzed_at", "id"], ["lat"])
-    text = plan._jdf.queryExecution().executedPlan().toString()
+    text = executed(last_per_key(track, ["vehicle_id"], ["analyzed_at", "id"], ["lat"]))
     assert "partial_max" in text and "Window" not in text
 
 
+def test_tied_orders_take_whole_rows(spark):
+    rows = spark.createDataFrame([(1, 5, "b", 1), (1, 5, "a", 2), (1, 6, "0", 0)], "k int, o int, x string, y int")
+    assert rows_of(first_per_key(rows, ["k"], ["o"], ["x", "y"])) == [(1, "a", 2)]
+    assert rows_of(last_per_key(rows.where("o = 5"), ["k"], ["o"], ["x", "y"])) == [(1, "b", 1)]
+
+
+def executed(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_fixed_width_picks_are_hashed(track):
+    fast = last_per_key(track, ["vehicle_id"], ["id"], ["lat", "lon"], unique_order=True)
+    assert "SortAggregate" not in executed(fast)
+    assert "SortAggregate" not in executed(keep_first(track.select("vehicle_id", "id"), ["vehicle_id"], ["id"]))
+
+
 def test_copies_of_one_key_collapse_before_the_shuffle(spark):
     rows = spark.range(5000).select("id", F.lit("k").alias("key"))
     kept = keep_first(rows, ["key"], ["id"])
     assert rows_of(kept, "key", "id") == [("k", 0)]
-    assert "partial_min" in kept._jdf.queryExecution().executedPlan().toString()
+    assert "partial_min" in executed(kept)
+
+
+def hinted(df):
+    return "broadcast" in df._jdf.queryExecution().logical().toString().lower()
 
 
 def test_broadcast_only_when_small(spark):
-    small = spark.range(10)
-    hinted = broadcast_if_small(small)._jdf.queryExecution().logical().toString()
-    assert "broadcast" in hinted.lower()
-    large = broadcast_if_small(small, max_bytes=20)._jdf.queryExecution().logical().toString()
-    assert "broadcast" not in large.lower()
+    # The estimate of a Cartesian product is far above the ten rows it leaves.
+    few = spark.range(1000).select("id").crossJoin(spark.range(100_000).select(F.col("id").alias("b")))
+    few = few.where("id = b and id < 10").select("id")
+    assert hinted(broadcast_if_small(few))
+    assert not hinted(broadcast_if_small(few, max_bytes=20))
+    assert not hinted(broadcast_if_small(spark.range(10)))  # the planner's own choice
+
+
+def test_small_tables_are_not_counted(spark):
+    assert hot_keys(spark.range(100).select(F.lit(1).alias("k")), ["k"], min_rows=1000) == []
