@@ -128,58 +128,40 @@ def delays(ev: DataFrame) -> DataFrame:
 
 
 def position_snapshots(ev: DataFrame) -> DataFrame:
-    """Positions nested as the API delivers them; at most ``DOCUMENT_ROWS`` per document.
+    """Positions nested as the API delivers them, a line per document.
 
-    A document holds a run of consecutive ids, so no group grows with the data.
+    A document holds vehicles from a run of ``DOCUMENT_ROWS`` consecutive ids, so no
+    group grows with the data.
     """
-    rows = positions(ev)
     vehicle = F.struct(
-        F.col("line_code").alias("c"),
         F.col("vehicle_id").cast("string").alias("p"),
         F.col("lat").alias("py"),
         F.col("lon").alias("px"),
         F.date_format("position_at", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("ta"),
     )
-    documents = rows.groupBy(
-        "collected_at", F.floor(F.col("id") / DOCUMENT_ROWS).alias("document")
-    ).agg(F.collect_list(vehicle).alias("rows"))
-    lines = F.array_distinct(F.transform("rows", lambda v: F.struct(v["c"].alias("c"))))
-    nested = F.transform(
-        lines,
-        lambda line: F.struct(
-            line["c"].alias("c"),
-            F.transform(
-                F.filter("rows", lambda v: v["c"].eqNullSafe(line["c"])),
-                lambda v: F.struct(v["p"].alias("p"), v["py"].alias("py"), v["px"].alias("px"), v["ta"].alias("ta")),
-            ).alias("vs"),
-        ),
+    documents = (
+        positions(ev)
+        .groupBy("collected_at", "line_code", F.floor(F.col("id") / DOCUMENT_ROWS).alias("document"))
+        .agg(F.collect_list(vehicle).alias("vs"))
     )
-    return documents.select(F.col("collected_at").cast("string"), nested.alias("l"))
+    line = F.struct(F.col("line_code").alias("c"), "vs")
+    return documents.select(F.col("collected_at").cast("string"), F.array(line).alias("l"))
 
 
 def prediction_snapshots(ev: DataFrame) -> DataFrame:
-    """Predictions nested per request (line), at most ``DOCUMENT_ROWS`` per document."""
-    rows = predictions(ev)
+    """Predictions nested per request (line), a stop per document, bounded likewise."""
     arrival = F.struct(
-        F.col("stop_id").cast("string").alias("cp"),
-        F.col("vehicle_id").cast("string").alias("p"),
-        F.col("predicted_at").alias("t"),
+        F.col("vehicle_id").cast("string").alias("p"), F.col("predicted_at").alias("t")
     )
-    documents = rows.groupBy(
-        "collected_at", "line_id", F.floor(F.col("id") / DOCUMENT_ROWS).alias("document")
-    ).agg(F.collect_list(arrival).alias("rows"))
-    stops = F.array_distinct(F.transform("rows", lambda a: F.struct(a["cp"].alias("cp"))))
-    nested = F.transform(
-        stops,
-        lambda stop: F.struct(
-            stop["cp"].alias("cp"),
-            F.transform(
-                F.filter("rows", lambda a: a["cp"].eqNullSafe(stop["cp"])),
-                lambda a: F.struct(a["p"].alias("p"), a["t"].alias("t")),
-            ).alias("vs"),
-        ),
+    documents = (
+        predictions(ev)
+        .groupBy(
+            "collected_at", "line_id", "stop_id", F.floor(F.col("id") / DOCUMENT_ROWS).alias("document")
+        )
+        .agg(F.collect_list(arrival).alias("vs"))
     )
-    return documents.select(F.col("collected_at").cast("string"), "line_id", nested.alias("ps"))
+    stop = F.struct(F.col("stop_id").cast("string").alias("cp"), "vs")
+    return documents.select(F.col("collected_at").cast("string"), "line_id", F.array(stop).alias("ps"))
 
 
 def as_json(snapshots: DataFrame) -> DataFrame:
