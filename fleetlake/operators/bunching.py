@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from fleetlake.functions import haversine_km
 from fleetlake.operators.skew import MIN_HOT_ROWS, hot_keys, hot_table, task_count
-from fleetlake.session import scratch_path
+from fleetlake.session import staged
 
 
 def adjacent_distances(
@@ -58,13 +58,8 @@ def _pair_across_chunks(
 ) -> DataFrame:
     # The chunk number is read twice, for the rows and for the heads. It is written to
     # the shared folder once, so that a lost executor cannot move the chunk borders.
-    spark = rows.sparkSession
-    numbered = rows.repartitionByRange(task_count(rows), *group, *order).withColumn(
-        "_chunk", F.spark_partition_id()
-    )
-    path = scratch_path(spark, "chunks")
-    numbered.write.parquet(path)
-    chunks = spark.read.schema(numbered.schema).parquet(path)
+    ranges = rows.repartitionByRange(task_count(rows), *group, *order)
+    chunks = staged(ranges.withColumn("_chunk", F.spark_partition_id()), "chunks")
     heads = chunks.groupBy(*group, "_chunk").agg(
         F.min(F.struct(*order)).alias("_head")
     )

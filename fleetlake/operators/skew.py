@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
+from fleetlake.session import staged
+
 # A key with fewer rows than this is never worth splitting.
 MIN_HOT_ROWS = 1_000_000
 MAX_BROADCAST_BYTES = 32 * 1024 * 1024
@@ -50,6 +52,12 @@ def hot_table(df: DataFrame, keys: Sequence[str], rows: list[Row]) -> DataFrame:
     return F.broadcast(df.sparkSession.createDataFrame(rows, schema))
 
 
+def measured_bytes(df: DataFrame) -> int:
+    """Size of the rows as text, summed where they lie."""
+    size = F.octet_length(F.to_json(F.struct("*"))).cast("bigint")
+    return df.agg(F.coalesce(F.sum(size), F.lit(0))).first()[0]
+
+
 def broadcast_if_small(df: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
     """Hint a broadcast only after measuring the table.
 
@@ -58,10 +66,7 @@ def broadcast_if_small(df: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES) -> D
     """
     if estimated_bytes(df) <= MEASURE_ABOVE_BYTES:
         return df
-    size = df.agg(
-        F.sum(F.octet_length(F.to_json(F.struct("*"))).cast("bigint")).alias("bytes")
-    ).first()["bytes"]
-    return F.broadcast(df) if (size or 0) <= max_bytes else df
+    return F.broadcast(df) if measured_bytes(df) <= max_bytes else df
 
 
 def left_join_unique(
@@ -70,15 +75,23 @@ def left_join_unique(
     keys: Sequence[str],
     spread_by: Sequence[str],
     min_rows: int = MIN_HOT_ROWS,
+    max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
 ) -> DataFrame:
     """Left join ``fact`` to a ``lookup`` that has one row per key.
 
-    Without hot keys this is the plain join. Rows of a hot key are dealt out over
-    ``_splits`` salts by a hash of ``spread_by``, and only the lookup rows of hot keys
+    For a small fact table this is the plain join. Otherwise the lookup is computed once
+    and measured. If it may be broadcast, the fact table is joined where it is read,
+    without a shuffle. If not, both sides shuffle, and rows of a hot key are dealt out
+    over ``_splits`` salts by a hash of ``spread_by``; only the lookup rows of hot keys
     are repeated, at most 3T rows in all. The salt is a function of the row, so a
     recomputed task deals the same way.
     """
     keys = list(keys)
+    if estimated_bytes(fact.select(*keys)) < 8 * min_rows:
+        return fact.join(lookup, keys, "left")
+    lookup = staged(lookup, "lookup")
+    if measured_bytes(lookup) <= max_broadcast_bytes:
+        return fact.join(F.broadcast(lookup), keys, "left")
     hot = hot_keys(fact, keys, min_rows)
     if not hot:
         return fact.join(lookup, keys, "left")

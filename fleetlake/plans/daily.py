@@ -13,6 +13,7 @@ from fleetlake.plans.append import idempotent_append
 from fleetlake.plans.compaction import compact, verify_day
 from fleetlake.plans.lineage import record_run
 from fleetlake.plans.retention import KEEP_DAYS, cutoff, purge
+from fleetlake.session import staged
 from fleetlake.sources import snapshots
 from fleetlake.sources.layers import Lake, read_newest_day, read_table
 
@@ -26,18 +27,21 @@ def audit_path(lake: Lake) -> str:
 def collect(spark: SparkSession, lake: Lake, table: str, rows: DataFrame, as_of: datetime) -> int:
     """Store the valid rows of a landed batch in bronze; rejects go to quarantine.
 
-    Returns the rows added. Positions outside the collection hours are not stored.
+    Returns the rows added, which are also what the audit counts. Positions outside the
+    collection hours are not stored. The batch is parsed once and staged, because it is
+    read for its days, its valid rows and its rejects.
     """
     if table == "positions":
         rows = snapshots.operating_hours(rows, "collected_at")
+    batch = staged(rows, f"batch_{table}")
     rules = RULES[table]()
     added = idempotent_append(
-        contracts.accepted(rows, rules), lake.path("bronze", table), table, ["ordinal"]
+        contracts.accepted(batch, rules), lake.path("bronze", table), table, ["ordinal"]
     )
-    refused = contracts.rejects(rows, rules)
-    refused.write.mode("append").parquet(lake.path("quarantine", table))
-    total = read_table(spark, lake.path("bronze", table), table).count()
-    record_run(spark, audit_path(lake), f"collect_{table}", table, "bronze", total, "ok", as_of)
+    # A folder per run, so that repeating a run replaces its rejects.
+    quarantine = f"{lake.path('quarantine', table)}/run={as_of:%Y%m%dT%H%M%S}"
+    contracts.rejects(batch, rules).write.mode("overwrite").parquet(quarantine)
+    record_run(spark, audit_path(lake), f"collect_{table}", table, "bronze", added, "ok", as_of)
     return added
 
 

@@ -32,7 +32,7 @@ def bronze_stream(
     landed: DataFrame,
     table: str,
     codes: DataFrame | None = None,
-    late_limit: str = "1 hour",
+    late_limit: str = "1 day",
 ) -> DataFrame:
     """Flat, valid rows without duplicates of the natural key.
 
@@ -67,7 +67,7 @@ def stream_ingest(
     checkpoint: str,
     table: str,
     codes: DataFrame | None = None,
-    late_limit: str = "1 hour",
+    late_limit: str = "1 day",
     every: str | None = None,
 ) -> StreamingQuery:
     """Start the ingestion into ``sink``; without ``every`` it stops once caught up.

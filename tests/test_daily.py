@@ -53,7 +53,7 @@ def test_daily_chain(spark, tmp_path, make_positions):
     assert rows_of(quarantine, "vehicle_id", "reasons") == [(0, "vehicle;")]
     audit = read_table(spark, daily.audit_path(lake), "lineage_audit")
     assert rows_of(audit, "asset_name", "row_count", "status") == [
-        ("collect_positions", 4, "ok"),
+        ("collect_positions", 3, "ok"),
         ("collect_predictions", 1, "ok"),
         ("compact_positions", 3, "ok"),
         ("compact_predictions", 1, "ok"),
@@ -69,6 +69,7 @@ def test_daily_chain(spark, tmp_path, make_positions):
         "predictions": {"collected": 0, "compacted": 1, "purged": 0},
     }
     assert rows_of(read_table(spark, lake.path("silver", "positions"), "positions")) == before
+    assert spark.read.parquet(lake.path("quarantine", "positions")).count() == 1
     assert lineage.recent_runs(read_table(spark, daily.audit_path(lake), "lineage_audit")).count() == 10
 
 

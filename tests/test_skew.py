@@ -13,6 +13,10 @@ from fleetlake.operators.skew import broadcast_if_small, hot_keys, left_join_uni
 from tests.conftest import rows_of
 
 
+def executed(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
 @pytest.fixture(scope="module")
 def track(spark):
     """6,000 rows; vehicle 1, line A and one snapshot hold most of them."""
@@ -58,7 +62,7 @@ def test_null_key_can_be_hot(spark):
     )
     lookup = spark.range(10).select(F.col("id").alias("k"), (F.col("id") * 100).alias("v"))
     assert [r["k"] for r in hot_keys(fact, ["k"], min_rows=1)] == [None]
-    split = left_join_unique(fact, lookup, ["k"], ["id"], min_rows=1)
+    split = left_join_unique(fact, lookup, ["k"], ["id"], 1, max_broadcast_bytes=0)
     assert rows_of(split, "id", "v") == rows_of(fact.join(lookup, "k", "left"), "id", "v")
 
 
@@ -66,16 +70,22 @@ def test_split_join_equals_plain_join(spark, track):
     lookup = spark.range(0, 60, 2).select(F.col("id").alias("vehicle_id"), (F.col("id") + 5).alias("stop"))
     lookup = lookup.unionByName(spark.createDataFrame([(1, 99)], "vehicle_id long, stop long"))
     plain = track.join(lookup, "vehicle_id", "left")
-    split = left_join_unique(track, lookup, ["vehicle_id"], ["id"], min_rows=1)
-    assert split.count() == 6000
-    assert rows_of(split, "id", "stop") == rows_of(plain, "id", "stop")
+    for limit in (0, 10**6):
+        split = left_join_unique(track, lookup, ["vehicle_id"], ["id"], 1, limit)
+        assert split.count() == 6000
+        assert rows_of(split, "id", "stop") == rows_of(plain, "id", "stop")
 
 
 def test_split_join_spreads_the_hot_key(spark, track):
     lookup = spark.createDataFrame([(1, 99)], "vehicle_id long, stop long")
-    split = left_join_unique(track, lookup, ["vehicle_id"], ["id"], min_rows=1)
-    plan = split._jdf.queryExecution().optimizedPlan().toString()
-    assert "xxhash64" in plan and "_salt" in plan
+    split = executed(left_join_unique(track, lookup, ["vehicle_id"], ["id"], 1, 0))
+    assert "xxhash64" in split and "_salt" in split
+
+
+def test_small_lookup_spares_the_fact_table_its_shuffle(spark, track):
+    lookup = spark.createDataFrame([(1, 99)], "vehicle_id long, stop long")
+    plan = executed(left_join_unique(track, lookup, ["vehicle_id"], ["id"], 1))
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
 
 
 def brute_force_pairs(rows):
@@ -132,10 +142,6 @@ def test_tied_orders_take_whole_rows(spark):
     assert rows_of(last_per_key(rows.where("o = 5"), ["k"], ["o"], ["x", "y"])) == [(1, "b", 1)]
 
 
-def executed(df):
-    return df._jdf.queryExecution().executedPlan().toString()
-
-
 def test_fixed_width_picks_are_hashed(track):
     fast = last_per_key(track, ["vehicle_id"], ["id"], ["lat", "lon"], unique_order=True)
     assert "SortAggregate" not in executed(fast)
