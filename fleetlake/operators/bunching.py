@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from fleetlake.functions import haversine_km
 from fleetlake.operators.skew import MIN_HOT_ROWS, hot_keys, hot_table, task_count
-from fleetlake.session import staged
+from fleetlake.session import scratch_path, staged
 
 
 def adjacent_distances(
@@ -59,7 +59,9 @@ def _pair_across_chunks(
     # The chunk number is read twice, for the rows and for the heads. It is written to
     # the shared folder once, so that a lost executor cannot move the chunk borders.
     ranges = rows.repartitionByRange(task_count(rows), *group, *order)
-    chunks = staged(ranges.withColumn("_chunk", F.spark_partition_id()), "chunks")
+    chunks = staged(
+        ranges.withColumn("_chunk", F.spark_partition_id()), scratch_path(rows.sparkSession, "chunks")
+    )
     heads = chunks.groupBy(*group, "_chunk").agg(
         F.min(F.struct(*order)).alias("_head")
     )

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
-from fleetlake.session import staged
+from fleetlake.session import scratch_path, staged
 
 # A key with fewer rows than this is never worth splitting.
 MIN_HOT_ROWS = 1_000_000
@@ -89,7 +89,7 @@ def left_join_unique(
     keys = list(keys)
     if estimated_bytes(fact.select(*keys)) < 8 * min_rows:
         return fact.join(lookup, keys, "left")
-    lookup = staged(lookup, "lookup")
+    lookup = staged(lookup, scratch_path(fact.sparkSession, "lookup"))
     if measured_bytes(lookup) <= max_broadcast_bytes:
         return fact.join(F.broadcast(lookup), keys, "left")
     hot = hot_keys(fact, keys, min_rows)

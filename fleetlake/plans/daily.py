@@ -13,9 +13,10 @@ from fleetlake.plans.append import idempotent_append
 from fleetlake.plans.compaction import compact, verify_day
 from fleetlake.plans.lineage import record_run
 from fleetlake.plans.retention import KEEP_DAYS, cutoff, purge
-from fleetlake.session import staged
+from fleetlake.session import scratch_path, staged
 from fleetlake.sources import snapshots
 from fleetlake.sources.layers import Lake, read_newest_day, read_table
+from fleetlake.sources.paths import remove
 
 RULES = {"positions": contracts.position_rules, "predictions": contracts.prediction_rules}
 
@@ -33,14 +34,18 @@ def collect(spark: SparkSession, lake: Lake, table: str, rows: DataFrame, as_of:
     """
     if table == "positions":
         rows = snapshots.operating_hours(rows, "collected_at")
-    batch = staged(rows, f"batch_{table}")
+    path = scratch_path(spark, f"batch_{table}")
     rules = RULES[table]()
-    added = idempotent_append(
-        contracts.accepted(batch, rules), lake.path("bronze", table), table, ["ordinal"]
-    )
     # A folder per run, so that repeating a run replaces its rejects.
     quarantine = f"{lake.path('quarantine', table)}/run={as_of:%Y%m%dT%H%M%S}"
-    contracts.rejects(batch, rules).write.mode("overwrite").parquet(quarantine)
+    try:
+        batch = staged(rows, path)
+        added = idempotent_append(
+            contracts.accepted(batch, rules), lake.path("bronze", table), table, ["ordinal"]
+        )
+        contracts.rejects(batch, rules).write.mode("overwrite").parquet(quarantine)
+    finally:
+        remove(spark, path)
     record_run(spark, audit_path(lake), f"collect_{table}", table, "bronze", added, "ok", as_of)
     return added
 

@@ -54,12 +54,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written once to the shared folder and read back.
+def staged(df: DataFrame, path: str) -> DataFrame:
+    """``df`` written once to ``path`` and read back.
 
     For results that are used several times: they are computed once, survive lost
     executors, and the planner knows their size.
     """
-    path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -28,38 +28,43 @@ def snapshot_stream(
     )
 
 
+def flat_stream(landed: DataFrame, table: str, codes: DataFrame | None = None) -> DataFrame:
+    """Flat rows of a snapshot stream with the ``_file`` they came from."""
+    landed = landed.withColumn("_file", F.col("_metadata.file_path"))
+    if table == "positions":
+        return snapshots.flatten_positions(landed, codes, carry=["_file"])
+    return snapshots.flatten_predictions(landed, carry=["_file"])
+
+
 def bronze_stream(
     landed: DataFrame,
     table: str,
     codes: DataFrame | None = None,
-    late_limit: str = "1 day",
+    late_limit: str | None = "1 day",
 ) -> DataFrame:
     """Flat, valid rows without duplicates of the natural key.
 
     State is kept per key until the watermark passes, so it holds ``late_limit`` of keys
-    and no more; later copies are left to compaction. Rows with a NULL in the key are
-    told apart by file and place, as a unique key never matches them.
+    and no more; rows later than that do not pass. With ``late_limit=None`` every key is
+    remembered and no row is late. Rows with a NULL in the key are told apart by file and
+    place, as a unique key never matches them.
     """
-    landed = landed.withColumn("_file", F.col("_metadata.file_path"))
-    flat = _flatten(landed, table, codes)
-    valid = contracts.accepted(flat, RULES[table]())
     key = schemas.NATURAL_KEYS[table]
-    # Event time must be a zoned timestamp; the stored column stays zone-less.
-    unique = (
-        valid.withColumn("_event_time", F.col("collected_at").cast("timestamp"))
-        .withColumn("_tag", null_key_tag(key, ["_file", "ordinal"]))
-        .withWatermark("_event_time", late_limit)
-        .dropDuplicatesWithinWatermark([*key, "_tag"])
+    valid = contracts.accepted(flat_stream(landed, table, codes), RULES[table]()).withColumn(
+        "_tag", null_key_tag(key, ["_file", "ordinal"])
     )
+    if late_limit is None:
+        unique = valid.dropDuplicates([*key, "_tag"])
+    else:
+        # Event time must be a zoned timestamp; the stored column stays zone-less.
+        unique = (
+            valid.withColumn("_event_time", F.col("collected_at").cast("timestamp"))
+            .withWatermark("_event_time", late_limit)
+            .dropDuplicatesWithinWatermark([*key, "_tag"])
+        )
     return with_day(conform(unique, table), table)
 
 
-def _flatten(landed: DataFrame, table: str, codes: DataFrame | None) -> DataFrame:
-    if table == "positions":
-        return snapshots.flatten_positions(landed, codes, carry=["_file"])
-    return snapshots.flatten_predictions(landed, carry=["_file"])
-
-
 def stream_ingest(
     spark: SparkSession,
     landing: str,
@@ -67,7 +72,7 @@ def stream_ingest(
     checkpoint: str,
     table: str,
     codes: DataFrame | None = None,
-    late_limit: str = "1 day",
+    late_limit: str | None = "1 day",
     every: str | None = None,
 ) -> StreamingQuery:
     """Start the ingestion into ``sink``; without ``every`` it stops once caught up.
@@ -75,10 +80,30 @@ def stream_ingest(
     The file sink and the checkpoint together give exactly-once output after a restart.
     """
     rows = bronze_stream(snapshot_stream(spark, landing, table), table, codes, late_limit)
+    return _start(rows, sink, checkpoint, every, "dt")
+
+
+def stream_quarantine(
+    spark: SparkSession,
+    landing: str,
+    sink: str,
+    checkpoint: str,
+    table: str,
+    codes: DataFrame | None = None,
+    every: str | None = None,
+) -> StreamingQuery:
+    """Start writing the rows that break the contract, with the reasons, to ``sink``."""
+    flat = flat_stream(snapshot_stream(spark, landing, table), table, codes)
+    return _start(contracts.rejects(flat, RULES[table]()), sink, checkpoint, every)
+
+
+def _start(
+    rows: DataFrame, sink: str, checkpoint: str, every: str | None, *partitions: str
+) -> StreamingQuery:
     trigger = {"processingTime": every} if every else {"availableNow": True}
     return (
         rows.writeStream.format("parquet")
-        .partitionBy("dt")
+        .partitionBy(*partitions)
         .option("path", sink)
         .option("checkpointLocation", checkpoint)
         .outputMode("append")

@@ -4,6 +4,8 @@ import glob
 from datetime import date
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from fleetlake import schemas
@@ -80,6 +82,43 @@ def test_append_reads_only_the_days_it_touches(spark, tmp_path, make_positions):
     assert "ReadSchema: struct<vehicle_id:bigint>" in plan
 
 
+def unique_insert(table, rows, key_width):
+    """Brute force: a row is refused if its key, free of NULLs, is there already."""
+    for row in rows:
+        key = row[1 : 1 + key_width]
+        if None in key or all(key != r[1 : 1 + key_width] for r in table):
+            table.append(row)
+    return table
+
+
+small = st.integers(1, 2)
+prediction = st.tuples(
+    st.sampled_from(["2025-08-15 10:00:00", "2025-08-16 10:00:00"]).map(at),
+    small,
+    small,
+    st.none() | small,
+    st.none() | st.sampled_from(["10:15", "10:20"]),
+)
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.lists(prediction, max_size=12), min_size=2, max_size=2))
+def test_append_equals_unique_insert(spark, tmp_path_factory, batches):
+    path = str(tmp_path_factory.mktemp("append") / "t")
+    expected, next_id = [], 0
+    for batch in batches:
+        rows = [(next_id + i, *r) for i, r in enumerate(batch)]
+        next_id += len(rows)
+        before = len(expected)
+        unique_insert(expected, rows, 5)
+        added = appending.idempotent_append(
+            spark.createDataFrame(rows, schemas.PREDICTIONS), path, "predictions"
+        )
+        assert added == len(expected) - before
+    stored = read_table(spark, path, "predictions").drop("dt")
+    assert rows_of(stored) == sorted(expected, key=repr)
+
+
 def test_plain_append_repeats(spark, tmp_path, three):
     path = str(tmp_path / "t")
     assert appending.append(three, path, "predictions") == 3

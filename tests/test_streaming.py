@@ -6,7 +6,12 @@ from fleetlake import schemas
 from fleetlake.operators import quality
 from fleetlake.sources import snapshots
 from fleetlake.sources.layers import read_table
-from fleetlake.streaming.ingest import bronze_stream, snapshot_stream, stream_ingest
+from fleetlake.streaming.ingest import (
+    bronze_stream,
+    snapshot_stream,
+    stream_ingest,
+    stream_quarantine,
+)
 from tests.conftest import at, rows_of
 
 
@@ -99,3 +104,33 @@ def test_stream_is_a_stream(spark, tmp_path):
     rows = bronze_stream(snapshot_stream(spark, str(tmp_path / "landing"), "positions"), "positions")
     assert rows.isStreaming
     assert rows.columns == [*schemas.POSITIONS.names, "dt"]
+
+
+def late_snapshots(spark, tmp_path, **options):
+    landing = tmp_path / "landing"
+    for name, time in (("a", "2025-08-15 10:00:00"), ("b", "2025-08-15 10:05:00"), ("c", "2025-08-01 10:00:00")):
+        land(landing, f"{name}.json", positions(time, (1, -23.5)), positions(time, (1, -23.5)))
+        stored = ingest(spark, tmp_path, "positions", **options)
+    return [str(r[0]) for r in rows_of(stored, "collected_at")]
+
+
+def test_rows_beyond_the_late_limit_do_not_pass(spark, tmp_path):
+    assert late_snapshots(spark, tmp_path) == ["2025-08-15 10:00:00", "2025-08-15 10:05:00"]
+
+
+def test_without_a_late_limit_no_row_is_late(spark, tmp_path):
+    assert late_snapshots(spark, tmp_path, late_limit=None) == [
+        "2025-08-01 10:00:00",
+        "2025-08-15 10:00:00",
+        "2025-08-15 10:05:00",
+    ]
+
+
+def test_rejects_go_to_quarantine(spark, tmp_path):
+    land(tmp_path / "landing", "a.json", positions("2025-08-15 10:00:00", (1, -23.5), (0, 100.0), (3, None)))
+    sink = str(tmp_path / "quarantine")
+    stream_quarantine(
+        spark, str(tmp_path / "landing"), sink, str(tmp_path / "quarantine_checkpoint"), "positions"
+    ).awaitTermination()
+    assert rows_of(spark.read.parquet(sink), "vehicle_id", "reasons") == [(0, "vehicle;lat;"), (3, "lat;")]
+    assert rows_of(ingest(spark, tmp_path, "positions"), "vehicle_id") == [(1,)]
