@@ -45,7 +45,7 @@ def main() -> None:
         "value": round(sum(seconds.values()), 4),
         "unit": "sec",
         "queries": seconds,
-        "sf": os.path.basename(folder).removeprefix("sf"),
+        "sf": float(os.path.basename(folder).removeprefix("sf") or 0),
     }
     print(json.dumps(result))
     spark.stop()

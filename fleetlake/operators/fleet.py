@@ -60,32 +60,34 @@ def fleet_status(
     return joined.select(*status.columns, "next_stop_id", "predicted_arrival")
 
 
-def latest_position(status: DataFrame, line_code: str | None = None) -> DataFrame:
+def latest_position(
+    status: DataFrame, line_code: str | None = None, unique_times: bool = False
+) -> DataFrame:
     """Last known place per vehicle, of one line if given.
 
     Vehicles whose last row has no coordinates drop out; an older row does not stand in.
+    ``unique_times`` promises one row per vehicle and time, as the lake's natural key
+    gives, and saves ordering by id.
     """
     if line_code is not None:
         status = status.where(F.col("line_code") == line_code)
-    last = last_per_key(status, ["vehicle_id"], ["analyzed_at", "id"], ["lat", "lon"])
+    order = ["analyzed_at"] if unique_times else ["analyzed_at", "id"]
+    last = last_per_key(status, ["vehicle_id"], order, ["lat", "lon"], unique_times)
     return last.dropna(subset=["lat", "lon"])
 
 
 def stuck_vehicles(
-    status: DataFrame, min_minutes: float = STUCK_MINUTES, max_km: float = STUCK_KM
+    status: DataFrame,
+    min_minutes: float = STUCK_MINUTES,
+    max_km: float = STUCK_KM,
+    unique_times: bool = False,
 ) -> DataFrame:
     """Vehicles seen for longer than ``min_minutes`` that ended within ``max_km`` of their start.
 
-    The line is that of the first row that names one. One pass and one shuffle of a row
-    per vehicle and map task.
+    The line is that of the first row that names one. One pass, and one shuffle of a row
+    per vehicle and map task. ``unique_times`` as in :func:`latest_position`.
     """
-    seen = F.struct("analyzed_at", "id", "lat", "lon")
-    named = F.struct("analyzed_at", "id", "line_code")
-    track = status.groupBy("vehicle_id").agg(
-        F.min(seen).alias("first"),
-        F.max(seen).alias("last"),
-        F.min(F.when(F.col("line_code").isNotNull(), named)).alias("named"),
-    )
+    track = _hashed_track(status) if unique_times else _track(status)
     measured = track.select(
         "vehicle_id",
         F.col("named.line_code").alias("line_code"),
@@ -97,6 +99,44 @@ def stuck_vehicles(
     return measured.where((F.col("elapsed_min") > min_minutes) & (F.col("distance_km") < max_km))
 
 
+def _track(status: DataFrame) -> DataFrame:
+    """First row, last row and first named line per vehicle."""
+    seen = F.struct("analyzed_at", "id", "lat", "lon")
+    named = F.struct("analyzed_at", "id", "line_code")
+    return status.groupBy("vehicle_id").agg(
+        F.min(seen).alias("first"),
+        F.max(seen).alias("last"),
+        F.min(F.when(F.col("line_code").isNotNull(), named)).alias("named"),
+    )
+
+
+def _hashed_track(status: DataFrame) -> DataFrame:
+    """The same where a vehicle's times are unique.
+
+    The large step groups by vehicle and line on fixed-width values, which hashes; the
+    structs are built from its result, a few rows per vehicle.
+    """
+    time = "analyzed_at"
+    per_line = status.groupBy("vehicle_id", "line_code").agg(
+        F.min(time).alias("t0"),
+        F.max(time).alias("t1"),
+        *[F.min_by(c, time).alias(f"first_{c}") for c in ("lat", "lon")],
+        *[F.max_by(c, time).alias(f"last_{c}") for c in ("lat", "lon")],
+    )
+
+    def seen(when: str, end: str):
+        return F.struct(
+            F.col(when).alias(time), F.col(f"{end}_lat").alias("lat"), F.col(f"{end}_lon").alias("lon")
+        )
+
+    named = F.struct(F.col("t0").alias(time), "line_code")
+    return per_line.groupBy("vehicle_id").agg(
+        F.min(seen("t0", "first")).alias("first"),
+        F.max(seen("t1", "last")).alias("last"),
+        F.min(F.when(F.col("line_code").isNotNull(), named)).alias("named"),
+    )
+
+
 def bunched_events(
     status: DataFrame, max_metres: float = BUNCHED_METRES, min_hot_rows: int = MIN_HOT_ROWS
 ) -> DataFrame:

@@ -26,11 +26,14 @@ def dry_run(
 ) -> DataFrame:
     """(table_name, to_remove): what a purge would take, changing nothing.
 
-    Without ``as_of`` the window ends at each table's newest row. Rows are then counted
-    per collection first, so the table is scanned once.
+    Without ``as_of`` the window ends at each table's newest row. Rows are counted per
+    collection first, so that the newest one and the old ones come from one small table.
+    With ``as_of``, stored tables are pruned to the days that can hold old rows.
     """
     parts = []
     for name, df in tables.items():
+        if as_of and "dt" in df.columns:
+            df = df.where(F.col("dt") <= F.lit(cutoff(as_of, keep_days).date()))
         batches = df.groupBy("collected_at").agg(F.count(F.lit(1)).alias("n"))
         end = F.lit(as_of).cast("timestamp_ntz") if as_of else batches.agg(F.max("collected_at")).scalar()
         old = batches.where(F.col("collected_at") < _start(end, keep_days))
@@ -71,13 +74,16 @@ def purge(
     time = F.col(schemas.TIME_COLUMN[table])
     moment = F.lit(limit).cast("timestamp_ntz")
     rows = read_table(spark, path, table)
-    removed = rows.where(F.col("dt").isin(sorted(days)) & (time < moment)).count()
+    whole = sorted(days - {boundary})
+    removed = rows.where(F.col("dt").isin(whole)).count() if whole else 0  # from file footers
 
     if boundary in days:
         boundary_rows = rows.where(F.col("dt") == F.lit(boundary))
-        if not boundary_rows.where(time < moment).isEmpty():
+        expired = boundary_rows.where(time < moment).count()
+        if expired:
             _rewrite_day(spark, boundary_rows.where(time >= moment), f"{path}/dt={boundary}")
-    for day in sorted(days - {boundary}):
+        removed += expired
+    for day in whole:
         remove(spark, f"{path}/dt={day}")
     spark.catalog.refreshByPath(path)
     return removed

@@ -183,3 +183,26 @@ def test_missing_coordinate_has_no_distance(make_status):
     )
     assert fleet.stuck_vehicles(status).count() == 0
     assert status.where(F.col("lat").isNull()).count() == 1
+
+
+def test_unique_times_change_nothing(spark):
+    # One row per vehicle and time; every fifth vehicle rests, some rows name no line.
+    i = F.col("id")
+    status = spark.range(3000).select(
+        "id",
+        F.timestamp_add("MINUTE", (i * 7 % 3000).cast("int"), F.lit("2025-08-15 00:00:00").cast("timestamp_ntz"))
+        .cast("timestamp_ntz")
+        .alias("analyzed_at"),
+        (i % 60).alias("vehicle_id"),
+        F.when(i % 4 != 0, F.concat(F.lit("L"), (i % 3).cast("string"))).alias("line_code"),
+        F.when(i % 5 == 0, F.lit(-23.5)).otherwise(-23.5 - (i * 13 % 400) / 1e4).alias("lat"),
+        F.lit(-46.6).alias("lon"),
+    )
+    assert status.select("vehicle_id", "analyzed_at").distinct().count() == 3000
+    general, fast = (fleet.stuck_vehicles(status, unique_times=u) for u in (False, True))
+    assert general.count() >= 12
+    assert rows_of(general) == rows_of(fast)
+    assert rows_of(fleet.latest_position(status)) == rows_of(fleet.latest_position(status, unique_times=True))
+    assert rows_of(fleet.latest_position(status, "L1")) == rows_of(
+        fleet.latest_position(status, "L1", unique_times=True)
+    )
