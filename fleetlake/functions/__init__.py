@@ -5,6 +5,7 @@ from fleetlake.functions.lines import line_number, line_suffix, parse_target_ids
 from fleetlake.functions.times import (
     day_period,
     gps_to_local,
+    local_time,
     minutes_between,
     parse_local,
     seconds_of_day,
@@ -16,6 +17,7 @@ __all__ = [
     "haversine_km",
     "line_number",
     "line_suffix",
+    "local_time",
     "minutes_between",
     "parse_local",
     "parse_target_ids",

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -10,6 +12,11 @@ FLEET_ZONE = "America/Sao_Paulo"
 PERIODS = {"morning": (7, 9), "afternoon": (17, 19), "evening": (20, 21)}
 
 
+def local_time(moment: datetime) -> Column:
+    """A zone-less literal; as text, because a datetime literal is shifted to the session's zone."""
+    return F.lit(moment.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
 def parse_local(text: Column) -> Column:
     """ISO text as a zone-less timestamp; a zone mark is dropped, bad text gives NULL."""
     return text.try_cast("timestamp_ntz")
@@ -21,9 +28,17 @@ def gps_to_local(utc: Column, zone: str = FLEET_ZONE) -> Column:
 
 
 def minutes_between(start: Column, end: Column) -> Column:
-    """Signed minutes from ``start`` to ``end``, with fractions."""
-    micros = F.unix_micros(end.cast("timestamp")) - F.unix_micros(start.cast("timestamp"))
-    return micros / F.lit(60_000_000.0)
+    """Signed minutes from ``start`` to ``end``, with fractions.
+
+    Taken from the interval between zone-less times, so no clock change counts.
+    """
+    gap = end - start
+    whole = (
+        F.extract(F.lit("DAY"), gap) * 1440
+        + F.extract(F.lit("HOUR"), gap) * 60
+        + F.extract(F.lit("MINUTE"), gap)
+    )
+    return whole + F.extract(F.lit("SECOND"), gap).cast("double") / 60.0
 
 
 def seconds_of_day(time: Column) -> Column:

@@ -9,6 +9,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fleetlake.functions import local_time
+
 # Tolerated difference between layers in percent; age limit in minutes.
 TOLERANCE_PCT = 5.0
 MAX_AGE_MINUTES = 60
@@ -55,7 +57,7 @@ def freshness(
     tables: Mapping[str, DataFrame], as_of: datetime, max_age_minutes: float = MAX_AGE_MINUTES
 ) -> DataFrame:
     """(table_name, is_empty, is_stale): whether the newest row is older than the limit."""
-    limit = F.lit(as_of).cast("timestamp_ntz") - F.make_dt_interval(mins=F.lit(max_age_minutes))
+    limit = local_time(as_of) - F.make_dt_interval(mins=F.lit(max_age_minutes))
     newest = F.max("collected_at")
     return _union(
         [

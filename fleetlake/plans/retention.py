@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetlake import schemas
+from fleetlake.functions import local_time
 from fleetlake.sources.layers import read_table, stored_days
 from fleetlake.sources.paths import remove, swap_in
 
@@ -35,7 +36,7 @@ def dry_run(
         if as_of and "dt" in df.columns:
             df = df.where(F.col("dt") <= F.lit(cutoff(as_of, keep_days).date()))
         batches = df.groupBy("collected_at").agg(F.count(F.lit(1)).alias("n"))
-        end = F.lit(as_of).cast("timestamp_ntz") if as_of else batches.agg(F.max("collected_at")).scalar()
+        end = local_time(as_of) if as_of else batches.agg(F.max("collected_at")).scalar()
         old = batches.where(F.col("collected_at") < _start(end, keep_days))
         parts.append(
             old.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("to_remove")).select(
@@ -72,7 +73,7 @@ def purge(
     if not days:
         return 0
     time = F.col(schemas.TIME_COLUMN[table])
-    moment = F.lit(limit).cast("timestamp_ntz")
+    moment = local_time(limit)
     rows = read_table(spark, path, table)
     whole = sorted(days - {boundary})
     removed = rows.where(F.col("dt").isin(whole)).count() if whole else 0  # from file footers

@@ -85,6 +85,16 @@ def test_minutes_between_is_signed(spark):
     assert one(spark, fl.minutes_between(b, a)) == -1.5
 
 
+def test_minutes_ignore_clock_changes(spark):
+    a, b = (F.lit(f"2024-03-{t}").cast("timestamp_ntz") for t in ("09 12:00:00", "12 14:30:15"))
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        assert one(spark, fl.minutes_between(a, b)) == 3 * 1440 + 150.25
+        assert one(spark, fl.minutes_between(b, a)) == -(3 * 1440 + 150.25)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 @pytest.mark.parametrize(
     ("lat", "lon", "region"),
     [(-23.56, -46.60, "Centre"), (-23.50, -46.60, "East"), (-23.56, -46.70, "West"), (-23.55, -46.60, "East"),

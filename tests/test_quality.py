@@ -61,6 +61,17 @@ def test_freshness(make_positions):
     assert rows_of(stale) == [("positions", False, True)]
 
 
+def test_freshness_in_another_zone(spark, make_positions):
+    rows = make_positions((1, "2025-08-15 10:00:00", 1, "A", 0.0, 0.0))
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        for as_of, stale in (("2025-08-15 11:00:00", False), ("2025-08-15 11:00:01", True)):
+            found = quality.freshness({"positions": rows}, at(as_of))
+            assert rows_of(found) == [("positions", False, stale)]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def test_last_batch(make_positions):
     rows = make_positions(
         (1, "2025-08-15 10:00:00", 1, "A", 0.0, 0.0),
