@@ -13,7 +13,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetlake.llm import bpe, minhash, suffixes, toxicity
+from fleetlake.llm import bpe, decontam, minhash, suffixes, toxicity
 from fleetlake.llm.common import table
 from fleetlake.session import scratch_path
 
@@ -36,6 +36,11 @@ def passage_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return suffixes.without_repeats(docs)
 
 
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents that hold a benchmark item."""
+    return decontam.clean(docs, table(spark, sf_dir, "benchmark"))
+
+
 def encode_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Adds ``ids`` and ``n_tokens``; ``text`` is what the ids decode to."""
     coded = bpe.encode(docs, public_tokenizers.path("byte_bpe_50k.json"), decoded="text")
@@ -46,6 +51,7 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
     ("toxicity", toxicity_filter),
     ("minhash_dedup", near_dedup),
     ("suffix_dedup", passage_dedup),
+    ("decontamination", decontaminate),
     ("bpe", encode_texts),
 ]
 

@@ -25,8 +25,9 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from fleetlake.llm.common import CHUNK, chunks, text_buffer
+from fleetlake.llm.common import CHUNK, chunks, extended, text_buffer
 
 #: Words up to this many bytes are merged in matrices.
 SHORT = 64
@@ -265,11 +266,6 @@ def load(path: str) -> ByteBpe:
     return ByteBpe(path)
 
 
-def _schema_with(df: DataFrame, *fields: str) -> str:
-    kept = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in df.schema.fields)
-    return ", ".join([kept, *fields])
-
-
 def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "ids", decoded: str | None = None) -> DataFrame:
     """``docs`` with an array of token ids, and with the text decoded from them if named.
 
@@ -302,10 +298,8 @@ def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "ids", dec
                     arrays.append(pa.array(back, pa.string()))
                 yield pa.RecordBatch.from_arrays(arrays, [*names, *made])
 
-    schema = _schema_with(kept.select(*(f"`{c}`" for c in names)), f"`{ids}` array<int>")
-    if decoded:
-        schema += f", `{decoded}` string"
-    return kept.mapInArrow(run, schema)
+    fields = [(ids, T.ArrayType(T.IntegerType())), *([(decoded, T.StringType())] if decoded else [])]
+    return kept.mapInArrow(run, extended(kept.select(*(F.col(f"`{c}`") for c in names)), *fields))
 
 
 def decode(df: DataFrame, path: str, ids: str = "ids", text: str = "text") -> DataFrame:
@@ -320,7 +314,7 @@ def decode(df: DataFrame, path: str, ids: str = "ids", text: str = "text") -> Da
             texts = pa.array([bpe.decode(x or []) for x in lists], pa.string())
             yield pa.RecordBatch.from_arrays([*batch.columns, texts], [*names, text])
 
-    return kept.mapInArrow(run, _schema_with(kept, f"`{text}` string"))
+    return kept.mapInArrow(run, extended(kept, (text, T.StringType())))
 
 
 def digests(docs: DataFrame, path: str) -> DataFrame:

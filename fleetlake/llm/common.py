@@ -9,6 +9,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Bytes of text that numpy works on at a time; a longer document makes a chunk alone.
 CHUNK = 1 << 20
@@ -35,6 +36,11 @@ def row_keys(text: str = "text") -> tuple[Column, Column]:
     )
 
 
+def extended(df: DataFrame, *fields: tuple[str, T.DataType]) -> T.StructType:
+    """The schema of ``df`` with more columns."""
+    return T.StructType([*df.schema.fields, *(T.StructField(n, t) for n, t in fields)])
+
+
 def held_out(modulus: int, remainder: int) -> Column:
     """Whether crc32 of the id as text leaves ``remainder``; a missing id is never held out."""
     digest = F.crc32(F.col("doc_id").cast("string").cast("binary"))

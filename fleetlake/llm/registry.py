@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from fleetlake.llm import bpe, minhash, orc_tokens, suffixes, toxicity
+from fleetlake.llm import bpe, decontam, minhash, orc_tokens, suffixes, toxicity
 from fleetlake.llm.common import table
 
 
@@ -19,6 +19,10 @@ def op5_orc_tokens(spark: SparkSession, folder: str) -> DataFrame:
     return orc_tokens.stored_tokens(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op6_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontam.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.scores(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
@@ -32,7 +36,7 @@ def op9_minhash(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op4_bpe, op5_orc_tokens, op7_toxicity, op8_suffix_dedup, op9_minhash)
+    f.__name__: f for f in (op4_bpe, op5_orc_tokens, op6_decontamination, op7_toxicity, op8_suffix_dedup, op9_minhash)
 }
 
 

@@ -22,8 +22,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from fleetlake.llm.common import held_out, lowered, mixed, prefix_sums, slices, span_hashes, text_buffer, words
+from fleetlake.llm.common import extended, held_out, lowered, mixed, prefix_sums, slices, span_hashes, words
 
 #: Rows of each label that are learned from at most: those of smallest id hash.
 SAMPLE = 3000
@@ -186,8 +187,7 @@ def score(docs: DataFrame, model: Model, text: str = "text", into: str = "score"
                 [*batch.columns, pa.array(score_texts(texts, shared.value))], [*names, into]
             )
 
-    fields = [f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in kept.schema.fields]
-    return kept.mapInArrow(run, ", ".join([*fields, f"`{into}` double"]))
+    return kept.mapInArrow(run, extended(kept, (into, T.DoubleType())))
 
 
 def scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
