@@ -7,10 +7,22 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from fleetlake.llm import bpe, decontam, minhash, orc_tokens, suffixes, toxicity
+from fleetlake.llm import bpe, decontam, hosts, html_text, lattice, minhash, neighbours, orc_tokens, suffixes, toxicity
 from fleetlake.llm.common import table
 
 
+def op1_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    return neighbours.self_search(table(spark, folder, "embeddings"))
+
+
+def op2_lattice(spark: SparkSession, folder: str) -> DataFrame:
+    return lattice.likelihoods(table(spark, folder, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op3_html_text(spark: SparkSession, folder: str) -> DataFrame:
+    return html_text.extract(table(spark, folder, "pages"))
+
+
 def op4_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.digests(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -35,10 +47,26 @@ def op9_minhash(spark: SparkSession, folder: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, folder, "documents"))
 
 
+def op10_hosts(spark: SparkSession, folder: str) -> DataFrame:
+    return hosts.judged(table(spark, folder, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op4_bpe, op5_orc_tokens, op6_decontamination, op7_toxicity, op8_suffix_dedup, op9_minhash)
+    f.__name__: f
+    for f in (
+        op1_neighbours,
+        op2_lattice,
+        op3_html_text,
+        op4_bpe,
+        op5_orc_tokens,
+        op6_decontamination,
+        op7_toxicity,
+        op8_suffix_dedup,
+        op9_minhash,
+        op10_hosts,
+    )
 }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op10_hosts": hosts.oracle_sql()}
