@@ -8,6 +8,7 @@ from fleetlake.functions.times import (
     local_time,
     minutes_between,
     parse_local,
+    parse_utc,
     seconds_of_day,
 )
 
@@ -21,6 +22,7 @@ __all__ = [
     "minutes_between",
     "parse_local",
     "parse_target_ids",
+    "parse_utc",
     "region_of",
     "seconds_of_day",
 ]

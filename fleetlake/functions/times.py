@@ -22,6 +22,19 @@ def parse_local(text: Column) -> Column:
     return text.try_cast("timestamp_ntz")
 
 
+def parse_utc(text: Column) -> Column:
+    """ISO text as a zone-less UTC time; an offset is taken into account, bad text gives NULL.
+
+    Text without a zone mark is UTC already.
+    """
+    marked = text.rlike(r"(Z|UTC|GMT|[+-]\d{2}:?\d{2})\s*$") & text.contains(":")
+    seconds = F.unix_micros(text.try_cast("timestamp")).cast("decimal(20,0)") / F.lit(1_000_000)
+    moment = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(
+        F.lit(0), F.lit(0), F.lit(0), seconds.cast("decimal(18,6)")
+    )
+    return F.when(marked, moment).otherwise(text.try_cast("timestamp_ntz"))
+
+
 def gps_to_local(utc: Column, zone: str = FLEET_ZONE) -> Column:
     """A zone-less UTC time as local time of the fleet, comparable with collection times."""
     return F.convert_timezone(F.lit("UTC"), F.lit(zone), utc)

@@ -46,6 +46,11 @@ def prediction_rules(max_prediction_length: int = MAX_PREDICTION_LENGTH) -> Rule
     }
 
 
+def landed_rules(bronze: Rules) -> Rules:
+    """The bronze contract for rows fresh from a snapshot: optional fields are readable or absent."""
+    return {**bronze, "unreadable": F.col("unreadable").isNull()}
+
+
 def silver_rules(bronze: Rules) -> Rules:
     """The bronze contract plus a day of the form YYYY-MM-DD."""
     return {**bronze, "dt": F.col("dt").cast("string").rlike(DAY_PATTERN)}

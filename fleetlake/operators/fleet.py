@@ -148,24 +148,32 @@ def bunched_events(
     return pairs.where(F.col("distance_m") < max_metres)
 
 
-def count_by_line(found: DataFrame) -> DataFrame:
-    """Rows per line, busiest first; rows without a line are left out."""
-    return (
+def count_by_line(found: DataFrame, ordered: bool = True) -> DataFrame:
+    """Rows per line, busiest first; rows without a line are left out.
+
+    ``ordered=False`` is for callers that sort later.
+    """
+    counts = (
         found.where(F.col("line_code").isNotNull())
         .groupBy("line_code")
         .agg(F.count(F.lit(1)).alias("n"))
-        .orderBy(F.desc("n"), "line_code")
     )
+    return counts.orderBy(F.desc("n"), "line_code") if ordered else counts
 
 
-def enrich_line_names(lines: DataFrame, catalog: DataFrame | None) -> DataFrame:
+def enrich_line_names(
+    lines: DataFrame, catalog: DataFrame | None, busiest_first: bool = True
+) -> DataFrame:
     """Add ``line_name``: both terminals from the catalogue, or the code itself.
 
     A NULL terminal makes the name NULL and so falls back too. Both sides hold a row
-    per line; the planner picks the join from their sizes.
+    per line; the planner picks the join from their sizes. A join keeps no order, so counts
+    are sorted after it.
     """
+    ordered = [F.desc("n"), F.col("line_code")] if busiest_first and "n" in lines.columns else []
     if catalog is None:
-        return lines.withColumn("line_name", F.col("line_code"))
+        named = lines.withColumn("line_name", F.col("line_code"))
+        return named.orderBy(*ordered) if ordered else named
     names = catalog.select(
         F.col("line_number").cast("string").alias("_number"),
         F.col("line_suffix").cast("bigint").alias("_suffix"),
@@ -173,9 +181,10 @@ def enrich_line_names(lines: DataFrame, catalog: DataFrame | None) -> DataFrame:
     )
     code = F.col("line_code")
     same_line = (line_number(code) == F.col("_number")) & (line_suffix(code) == F.col("_suffix"))
-    return lines.join(names, same_line, "left").select(
+    named = lines.join(names, same_line, "left").select(
         *lines.columns, F.coalesce("_name", "line_code").alias("line_name")
     )
+    return named.orderBy(*ordered) if ordered else named
 
 
 def line_list(status: DataFrame) -> DataFrame:

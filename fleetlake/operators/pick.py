@@ -83,21 +83,18 @@ def keep_first(
 
     ``null_safe=True`` treats NULLs in the key as equal, as GROUP BY does.
     ``null_safe=False`` treats them as distinct, as a unique key does: rows with a NULL
-    in the key are all kept. ``order`` must then identify a row.
+    in the key are all kept, past the aggregation.
     """
     values = [c for c in df.columns if c not in key]
-    groups: list[str | Column] = list(key)
-    if not null_safe:
-        groups.append(null_key_tag(key, order).alias("_null_tag"))
-    return first_per_key(df, groups, order, values).select(*df.columns)
+    if null_safe:
+        return first_per_key(df, list(key), order, values).select(*df.columns)
+    keyed = first_per_key(df.where(~has_null(key)), list(key), order, values).select(*df.columns)
+    return keyed.unionByName(df.where(has_null(key)))
 
 
-def null_key_tag(key: Sequence[str], order: Sequence[str]) -> Column:
-    """A grouping column that sets every row with a NULL in ``key`` apart.
-
-    It names the row itself (``order``) where the key has a NULL and is NULL otherwise.
-    """
-    has_null = F.lit(False)
+def has_null(key: Sequence[str]) -> Column:
+    """True where a column of ``key`` is NULL."""
+    found = F.lit(False)
     for column in key:
-        has_null = has_null | F.col(column).isNull()
-    return F.when(has_null, F.to_json(F.struct(*order)))
+        found = found | F.col(column).isNull()
+    return found

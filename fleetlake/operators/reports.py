@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetlake.functions import day_period, region_of
@@ -140,12 +141,12 @@ def delay_by_period_line(delays: DataFrame, lines: Sequence[str]) -> DataFrame:
 def delay_kpis(delays: DataFrame) -> DataFrame:
     """Mean delay, worst line and best line; of equal lines the smallest code.
 
-    Everything follows from one sum and count per line.
+    Everything follows from one sum and count per line; a line without any delay ranks nowhere.
     """
     per_line = delays.groupBy("line_code").agg(
         F.sum("delay_min").alias("s"), F.count("delay_min").alias("c")
     )
-    ranked = per_line.withColumn("d", F.col("s") / F.col("c"))
+    ranked = per_line.where("c > 0").withColumn("d", F.col("s") / F.col("c"))
     return ranked.agg(
         F.round(F.sum("s") / F.sum("c"), 6).alias("mean_delay"),
         F.min_by("line_code", F.struct(-F.col("d"), F.col("line_code"))).alias("worst_line"),
@@ -156,3 +157,14 @@ def delay_kpis(delays: DataFrame) -> DataFrame:
 def delay_trend(delays: DataFrame) -> DataFrame:
     """Mean delay per day."""
     return delays.groupBy("day").agg(F.round(F.avg("delay_min"), 6).alias("mean_delay"))
+
+
+def day_calendar(spark: SparkSession, first: date, days: int) -> DataFrame:
+    """``day`` for each of ``days`` calendar days from ``first`` on."""
+    start = F.lit(first.isoformat()).cast("date")
+    return spark.range(days).select(F.date_add(start, F.col("id").cast("int")).alias("day"))
+
+
+def delay_trend_over(delays: DataFrame, calendar: DataFrame) -> DataFrame:
+    """Mean delay for every day of a calendar, NULL on days without a measurement."""
+    return calendar.join(delay_trend(delays), "day", "left")

@@ -6,14 +6,19 @@ Plain Parquet has no MERGE. One writer per table at a time is assumed.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import timedelta
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from fleetlake import schemas
-from fleetlake.operators.pick import null_key_tag, ranked_row, unranked
+from fleetlake.operators.pick import has_null, ranked_row, unranked
 from fleetlake.sources.layers import read_table
-from fleetlake.sources.paths import swap_in
+from fleetlake.sources.paths import STAGED, exists, recover, split, swap_in
+
+
+class IncompleteRows(ValueError):
+    """Rows without a required column, and no place to keep them."""
 
 
 def conform(rows: DataFrame, table: str) -> DataFrame:
@@ -43,29 +48,51 @@ def storable(table: str) -> Column:
 
 
 def append(rows: DataFrame, path: str, table: str) -> int:
-    """Append unconditionally; returns the rows written."""
-    return _write(with_day(conform(rows, table), table), path, "append")
+    """Append all rows; returns how many. Rows without the table's time are an error."""
+    recover(rows.sparkSession, path)
+    time = schemas.TIME_COLUMN[table]
+    rows = conform(rows, table)
+    timed = F.when(F.col(time).isNull(), F.raise_error(F.lit(f"a row of {table} has no {time}")))
+    return _write(with_day(rows.withColumn(time, F.coalesce(time, timed.cast("timestamp_ntz"))), table), path, "append")
 
 
 def idempotent_append(
-    rows: DataFrame, path: str, table: str, order: Sequence[str] = ("id",)
+    rows: DataFrame,
+    path: str,
+    table: str,
+    order: Sequence[str] = ("id",),
+    quarantine: str | None = None,
 ) -> int:
     """Append the rows whose natural key is not stored yet; returns the rows written.
 
     Of equal keys within the batch the smallest ``order`` wins. A key with a NULL equals
-    nothing, so such rows are always written. Rows without a required column are passed
-    over. Stored keys are read from the days the batch touches only.
+    nothing, so such rows are always written. Rows without a required column go to
+    ``quarantine``; without one they are an error. The batch is looked at once for its
+    span of time; stored keys are read from that span only, by day folders and by row
+    groups, as rows of a day lie in the order of their collections.
     """
     spark = rows.sparkSession
-    incoming = rows.where(storable(table))
+    recover(spark, path)
     time = schemas.TIME_COLUMN[table]
-    # One value per calendar day of the batch.
-    days = [r[0] for r in incoming.select(F.to_date(time)).distinct().collect()]
-    if not days:
+    complete = storable(table)
+    found = rows.agg(
+        F.min(F.when(complete, F.col(time))), F.max(F.when(complete, F.col(time))), F.count_if(~complete)
+    ).first()
+    first, last, refused = found
+    if refused and quarantine is None:
+        raise IncompleteRows(f"{refused} rows of {table} lack a required column")
+    if refused:
+        rows.where(~complete).write.mode("overwrite").parquet(quarantine)
+    if first is None:
         return 0
-    stored = read_table(spark, path, table).where(F.col("dt").isin(days))
-    fresh = with_day(conform(unseen(incoming, stored, schemas.NATURAL_KEYS[table], order), table), table)
-    return _write(spread_by_day(fresh) if len(days) > 1 else fresh, path, "append")
+    stored = read_table(spark, path, table).where(
+        F.col("dt").between(first.date(), last.date())
+        & F.col(time).between(*(F.lit(t.isoformat(sep=" ")).cast("timestamp_ntz") for t in (first, last)))
+    )
+    fresh = unseen(rows.where(complete), stored, schemas.NATURAL_KEYS[table], order)
+    fresh = with_day(conform(fresh, table), table)
+    many = last.date() - first.date() >= timedelta(days=1)
+    return _write((spread_by_day(fresh) if many else fresh).sortWithinPartitions("dt", time), path, "append")
 
 
 def unseen(
@@ -75,25 +102,21 @@ def unseen(
 
     Stored keys and new rows meet in one aggregation: one shuffle, and copies of a key
     collapse on the map side however many there are. A window and an anti join would
-    shuffle all copies, twice.
+    shuffle all copies, twice. Rows with a NULL in the key pass by the aggregation.
     """
     values = [c for c in incoming.columns if c not in key]
-    offered = incoming.select(
-        *key,
-        null_key_tag(key, order).alias("_tag"),
-        F.lit(False).alias("_stored"),
-        ranked_row(order, values).alias("_row"),
-    )
-    known = stored.dropna(subset=list(key)).select(
-        *key, F.lit(None).cast("string").alias("_tag"), F.lit(True).alias("_stored")
+    offered = incoming.where(~has_null(key)).select(
+        *key, F.lit(False).alias("_stored"), ranked_row(order, values).alias("_row")
     )
+    known = stored.dropna(subset=list(key)).select(*key, F.lit(True).alias("_stored"))
     merged = (
         offered.unionByName(known, allowMissingColumns=True)
-        .groupBy(*key, "_tag")
+        .groupBy(*key)
         .agg(F.bool_or("_stored").alias("_stored"), F.min("_row").alias("_row"))
         .where(~F.col("_stored"))
     )
-    return merged.select(*key, *unranked("_row", order, values))
+    fresh = merged.select(*key, *unranked("_row", order, values))
+    return fresh.unionByName(incoming.where(has_null(key)).select(*fresh.columns))
 
 
 def spread_by_day(rows: DataFrame) -> DataFrame:
@@ -106,9 +129,11 @@ def spread_by_day(rows: DataFrame) -> DataFrame:
 
 
 def replace_table(rows: DataFrame, path: str, table: str) -> int:
-    """Replace the whole table; the old one stays until the new one is written."""
+    """Replace the whole table; the old one stays until the new one is in place."""
     spark = rows.sparkSession
-    staged = f"{path}__staged"
+    recover(spark, path)
+    parent, name = split(path)
+    staged = f"{parent}/{STAGED}/{name}"
     written = _write(spread_by_day(with_day(conform(rows, table), table)), staged, "overwrite")
     swap_in(spark, staged, path)
     return written
@@ -126,8 +151,16 @@ def _write(rows: DataFrame, path: str, mode: str, **options: str) -> int:
     return counted.get["n"]
 
 
+def table_location(root: str, name: str) -> str:
+    """Where a table's rows are appended: the audit apart from the data."""
+    return f"{root}/{'audit' if name == 'lineage_audit' else 'bronze'}/{name}"
+
+
 def create_tables(spark: SparkSession, root: str, database: str = "fleet") -> list[str]:
-    """Register the bronze tables over ``root`` if they are not there; safe to repeat."""
+    """Register the bronze tables and the audit over ``root``; safe to repeat.
+
+    Repeating it also makes the days known that were written since.
+    """
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     for name, schema in schemas.TABLES.items():
         columns = ", ".join(
@@ -135,7 +168,8 @@ def create_tables(spark: SparkSession, root: str, database: str = "fleet") -> li
         )
         spark.sql(
             f"CREATE TABLE IF NOT EXISTS {database}.{name} ({columns}, dt DATE) "
-            f"USING parquet PARTITIONED BY (dt) LOCATION '{root}/bronze/{name}'"
+            f"USING parquet PARTITIONED BY (dt) LOCATION '{table_location(root, name)}'"
         )
+        if exists(spark, table_location(root, name)):
+            spark.catalog.recoverPartitions(f"{database}.{name}")
     return [f"{database}.{name}" for name in schemas.TABLES]
-

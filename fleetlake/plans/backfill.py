@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from fleetlake.plans.append import idempotent_append
+from fleetlake.session import scratch_path, staged
 from fleetlake.sources.layers import Lake, read_table
+from fleetlake.sources.paths import remove
 
 COUNTS = "table_name string, source_rows bigint, target_rows bigint"
 
@@ -20,14 +24,22 @@ def backfill(
 ) -> DataFrame:
     """Append each source to its bronze table; returns source and target row counts.
 
-    Empty sources are skipped and not listed.
+    Empty sources are skipped and not listed. Rows without a required column go to the
+    quarantine layer. A source is read once: its rows are staged, and counted as they are
+    written.
     """
     counts = []
     for table, rows in sources.items():
-        source_rows = rows.count()
-        if source_rows == 0:
-            continue
-        path = lake.path("bronze", table)
-        idempotent_append(rows, path, table, order)
-        counts.append((table, source_rows, read_table(spark, path, table).count()))
+        folder = scratch_path(spark, f"backfill_{table}")
+        try:
+            counted = Observation()
+            batch = staged(rows.observe(counted, F.count(F.lit(1)).alias("n")), folder)
+            if counted.get["n"] == 0:
+                continue
+            path = lake.path("bronze", table)
+            quarantine = f"{lake.path('quarantine', table)}/run=backfill-{uuid.uuid4().hex}"
+            idempotent_append(batch, path, table, order, quarantine)
+            counts.append((table, counted.get["n"], read_table(spark, path, table).count()))
+        finally:
+            remove(spark, folder)
     return spark.createDataFrame(counts, COUNTS)

@@ -10,12 +10,12 @@ from pyspark.sql import functions as F
 from fleetlake.operators import contracts
 from fleetlake.operators.quality import freshness, last_batch, reconcile
 from fleetlake.plans.append import idempotent_append
-from fleetlake.plans.compaction import compact, verify_day
+from fleetlake.plans.compaction import compact, unarchived, verify_day
 from fleetlake.plans.lineage import record_run
 from fleetlake.plans.retention import KEEP_DAYS, cutoff, purge
 from fleetlake.session import scratch_path, staged
 from fleetlake.sources import snapshots
-from fleetlake.sources.layers import Lake, read_newest_day, read_table
+from fleetlake.sources.layers import Lake, read_newest_day, read_table, stored_days
 from fleetlake.sources.paths import remove
 
 RULES = {"positions": contracts.position_rules, "predictions": contracts.prediction_rules}
@@ -25,29 +25,62 @@ def audit_path(lake: Lake) -> str:
     return lake.path("audit", "lineage_audit")
 
 
-def collect(spark: SparkSession, lake: Lake, table: str, rows: DataFrame, as_of: datetime) -> int:
+def quarantine_path(lake: Lake, table: str, run: str) -> str:
+    """A folder per run, so that repeating a run replaces its rejects."""
+    return f"{lake.path('quarantine', table)}/run={run}"
+
+
+def store_batch(
+    spark: SparkSession, lake: Lake, table: str, rows: DataFrame, run: str, documents: DataFrame | None = None
+) -> dict[str, int]:
+    """Take one staged batch of flat rows into bronze; what is refused goes to quarantine.
+
+    The contract comes first, so a row without a readable time is refused with its reason
+    and not taken for one outside the hours. Returns what became of the rows: ``landed``,
+    ``added``, ``duplicates``, ``outside_hours``, ``quarantined``.
+    """
+    rules = contracts.landed_rules(RULES[table]())
+    valid = contracts.accepted(rows, rules)
+    open_ = snapshots.in_hours("collected_at") if table == "positions" else F.lit(True)
+    good = contracts.is_valid(rules)
+    landed, kept, outside = rows.agg(
+        F.count("*"), F.count_if(good & open_), F.count_if(good & ~open_)
+    ).first()
+    added = idempotent_append(
+        valid.where(open_), lake.path("bronze", table), table, ["ordinal"], quarantine_path(lake, table, f"{run}-incomplete")
+    )
+    contracts.rejects(rows, rules).write.mode("overwrite").parquet(quarantine_path(lake, table, run))
+    if documents is not None:
+        documents.write.mode("overwrite").parquet(f"{lake.path('quarantine', 'documents')}/{table}/run={run}")
+    return {
+        "landed": landed,
+        "added": added,
+        "duplicates": kept - added,
+        "outside_hours": outside,
+        "quarantined": landed - kept - outside,
+    }
+
+
+def collect(
+    spark: SparkSession,
+    lake: Lake,
+    table: str,
+    rows: DataFrame,
+    as_of: datetime,
+    documents: DataFrame | None = None,
+) -> int:
     """Store the valid rows of a landed batch in bronze; rejects go to quarantine.
 
-    Returns the rows added, which are also what the audit counts. Positions outside the
-    collection hours are not stored. The batch is parsed once and staged, because it is
-    read for its days, its valid rows and its rejects.
+    Returns the rows added, which are also what the audit counts. The batch is parsed once
+    and staged, because it is read for its valid rows and its rejects.
     """
-    if table == "positions":
-        rows = snapshots.operating_hours(rows, "collected_at")
     path = scratch_path(spark, f"batch_{table}")
-    rules = RULES[table]()
-    # A folder per run, so that repeating a run replaces its rejects.
-    quarantine = f"{lake.path('quarantine', table)}/run={as_of:%Y%m%dT%H%M%S}"
     try:
-        batch = staged(rows, path)
-        added = idempotent_append(
-            contracts.accepted(batch, rules), lake.path("bronze", table), table, ["ordinal"]
-        )
-        contracts.rejects(batch, rules).write.mode("overwrite").parquet(quarantine)
+        done = store_batch(spark, lake, table, staged(rows, path), f"{as_of:%Y%m%dT%H%M%S}", documents)
     finally:
         remove(spark, path)
-    record_run(spark, audit_path(lake), f"collect_{table}", table, "bronze", added, "ok", as_of)
-    return added
+    record_run(spark, audit_path(lake), f"collect_{table}", table, "bronze", done["added"], "ok", as_of)
+    return done["added"]
 
 
 def collect_positions(
@@ -59,13 +92,15 @@ def collect_positions(
     target_ids: list[int],
 ) -> int:
     codes = snapshots.target_codes(catalog, target_ids)
-    rows = snapshots.flatten_positions(snapshots.read_position_snapshots(spark, landing), codes)
-    return collect(spark, lake, "positions", rows, as_of)
+    landed = snapshots.read_position_snapshots(spark, landing)
+    rows = snapshots.flatten_positions(landed, codes)
+    return collect(spark, lake, "positions", rows, as_of, snapshots.unreadable_documents(landed))
 
 
 def collect_predictions(spark: SparkSession, lake: Lake, landing: str, as_of: datetime) -> int:
-    rows = snapshots.flatten_predictions(snapshots.read_prediction_snapshots(spark, landing))
-    return collect(spark, lake, "predictions", rows, as_of)
+    landed = snapshots.read_prediction_snapshots(spark, landing)
+    rows = snapshots.flatten_predictions(landed)
+    return collect(spark, lake, "predictions", rows, as_of, snapshots.unreadable_documents(landed))
 
 
 def compact_day(spark: SparkSession, lake: Lake, table: str, day: date, as_of: datetime) -> int:
@@ -78,6 +113,28 @@ def compact_day(spark: SparkSession, lake: Lake, table: str, day: date, as_of: d
     return total
 
 
+def compact_changed(spark: SparkSession, lake: Lake, table: str, as_of: datetime) -> int:
+    """Take every day of bronze into silver that has rows silver lacks; returns how many rows were lacking.
+
+    Rows that reach an older day late are found this way. Bronze is the hot window, so it
+    and the same days of silver are compared whole, in one shuffle.
+    """
+    bronze, silver = (lake.path(layer, table) for layer in ("bronze", "silver"))
+    days = sorted(stored_days(spark, bronze))
+    if not days:
+        return 0
+    rows = read_table(spark, bronze, table)
+    stored = read_table(spark, silver, table).where(F.col("dt").isin(days))
+    # At most one row per calendar day.
+    lacking = {r["dt"]: r["n"] for r in unarchived(rows, stored).collect()}
+    if not lacking:
+        return 0
+    compact(rows.where(F.col("dt").isin(sorted(lacking))), silver, table)
+    total = sum(lacking.values())
+    record_run(spark, audit_path(lake), f"compact_{table}", table, "silver", total, "ok", as_of)
+    return total
+
+
 def check_layers(
     spark: SparkSession, lake: Lake, table: str, as_of: datetime, by_day: bool = True
 ) -> DataFrame:
@@ -105,7 +162,11 @@ def check_health(spark: SparkSession, lake: Lake, as_of: datetime) -> DataFrame:
 def purge_table(
     spark: SparkSession, lake: Lake, table: str, as_of: datetime, keep_days: int = KEEP_DAYS
 ) -> int:
-    """Drop what left the hot window and is archived in silver."""
+    """Drop what left the hot window, after bringing silver up to date.
+
+    A day of which silver still lacks a row stays.
+    """
+    compact_changed(spark, lake, table, as_of)
     removed = purge(
         spark,
         lake.path("bronze", table),
@@ -129,7 +190,11 @@ def run_daily(
     target_ids: list[int],
     keep_days: int = KEEP_DAYS,
 ) -> dict[str, dict[str, int]]:
-    """All steps in order for both tables; returns the rows each step touched."""
+    """All steps in order for both tables; returns the rows each step touched.
+
+    ``compacted`` counts what silver then holds of ``day``, ``late`` what it lacked of any
+    other day.
+    """
     done = {
         "positions": {
             "collected": collect_positions(spark, lake, position_landing, as_of, catalog, target_ids)
@@ -138,6 +203,7 @@ def run_daily(
     }
     for table, steps in done.items():
         steps["compacted"] = compact_day(spark, lake, table, day, as_of)
+        steps["late"] = compact_changed(spark, lake, table, as_of)
         check_layers(spark, lake, table, as_of)
         steps["purged"] = purge_table(spark, lake, table, as_of, keep_days)
     return done

@@ -9,7 +9,7 @@ from fleetlake import schemas
 from fleetlake.operators.pick import keep_first
 from fleetlake.plans.append import _write, spread_by_day
 from fleetlake.sources.layers import read_table
-from fleetlake.sources.paths import remove, swap_in
+from fleetlake.sources.paths import STAGED, recover, remove, swap_in
 
 
 def remove_duplicates(spark: SparkSession, path: str, table: str) -> int:
@@ -18,6 +18,7 @@ def remove_duplicates(spark: SparkSession, path: str, table: str) -> int:
     NULLs in the key count as equal. The collection time is part of the key, so copies
     share a day: only days that hold copies are written anew, each put in place whole.
     """
+    recover(spark, path)
     key = [*schemas.NATURAL_KEYS[table], "dt"]
     rows = read_table(spark, path, table)
     copies = (
@@ -31,7 +32,7 @@ def remove_duplicates(spark: SparkSession, path: str, table: str) -> int:
     if not copies:
         return 0
     days = sorted(r["dt"] for r in copies)
-    staged = f"{path}__staged"
+    staged = f"{path}/{STAGED}"
     kept = keep_first(rows.where(F.col("dt").isin(days)), key, ["id"])
     _write(spread_by_day(kept), staged, "overwrite")
     for day in days:

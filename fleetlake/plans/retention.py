@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 
 from fleetlake import schemas
 from fleetlake.functions import local_time
+from fleetlake.plans.compaction import unarchived
 from fleetlake.sources.layers import read_table, stored_days
-from fleetlake.sources.paths import remove, swap_in
+from fleetlake.sources.paths import STAGED, recover, remove, swap_in
 
 # Fixed value: days kept.
 KEEP_DAYS = 7
@@ -62,40 +63,44 @@ def purge(
 ) -> int:
     """Remove rows collected before ``limit``; returns how many.
 
-    Days that end before the limit go as whole folders, without reading their rows. Only
-    the day the limit falls into is rewritten: its survivors are written aside, then take
-    the folder's place. With ``archive_path`` a day missing from that table is kept.
+    With ``archive_path`` a day stays whole unless that table holds every row of it that
+    would go, each as often as here. Days that end before the limit go as whole folders.
+    Only the day the limit falls into is rewritten: its survivors are written aside, then
+    take the folder's place.
     """
+    recover(spark, path)
     boundary = limit.date().isoformat()
     days = {d for d in stored_days(spark, path) if d <= boundary}
-    if archive_path is not None:
-        days &= stored_days(spark, archive_path)
     if not days:
         return 0
-    time = F.col(schemas.TIME_COLUMN[table])
-    moment = local_time(limit)
     rows = read_table(spark, path, table)
+    moment = local_time(limit)
+    time = F.col(schemas.TIME_COLUMN[table])
+    expired = rows.where(F.col("dt").isin(sorted(days)) & (time < moment))
+    if archive_path is not None:
+        archive = read_table(spark, archive_path, table).where(F.col("dt").isin(sorted(days)))
+        # At most one row per calendar day.
+        days -= {r["dt"].isoformat() for r in unarchived(expired, archive).collect()}
     whole = sorted(days - {boundary})
     removed = rows.where(F.col("dt").isin(whole)).count() if whole else 0  # from file footers
 
     if boundary in days:
         boundary_rows = rows.where(F.col("dt") == F.lit(boundary))
-        expired = boundary_rows.where(time < moment).count()
-        if expired:
-            _rewrite_day(spark, boundary_rows.where(time >= moment), f"{path}/dt={boundary}")
-        removed += expired
+        gone = boundary_rows.where(time < moment).count()
+        if gone:
+            _rewrite_day(spark, boundary_rows.where(time >= moment), path, boundary)
+        removed += gone
     for day in whole:
         remove(spark, f"{path}/dt={day}")
     spark.catalog.refreshByPath(path)
     return removed
 
 
-def _rewrite_day(spark: SparkSession, survivors: DataFrame, folder: str) -> None:
+def _rewrite_day(spark: SparkSession, survivors: DataFrame, path: str, day: str) -> None:
     if survivors.isEmpty():
-        remove(spark, folder)
+        remove(spark, f"{path}/dt={day}")
         return
-    # Beside the table and hidden from its readers.
-    parent, name = folder.rsplit("/", 1)
-    staged = f"{parent}/_staged_{name}"
+    staged = f"{path}/{STAGED}/dt={day}"
     survivors.drop("dt").write.mode("overwrite").parquet(staged)
-    swap_in(spark, staged, folder)
+    swap_in(spark, staged, f"{path}/dt={day}")
+    remove(spark, f"{path}/{STAGED}")

@@ -16,8 +16,9 @@ from fleetlake import fixtures, schemas
 from fleetlake.operators import contracts, fleet, matching, quality, reports
 from fleetlake.operators.pick import keep_first
 from fleetlake.oracle_views import with_views
-from fleetlake.plans import backfill, compaction, lineage, retention
+from fleetlake.plans import backfill, compaction, daily, dedup, lineage, retention
 from fleetlake.plans.append import append, idempotent_append
+from fleetlake.plans.status import refresh_fleet_status
 from fleetlake.session import scratch_path
 from fleetlake.sources import snapshots
 from fleetlake.sources.layers import Lake, read_silver, read_table
@@ -145,7 +146,7 @@ from (select line_code, count(*) as n from stuck where line_code is not null gro
 )
 def stuck_by_line(spark: SparkSession, folder: str) -> DataFrame:
     ev = fixtures.events(spark, folder)
-    counted = fleet.count_by_line(fleet.stuck_vehicles(fixtures.vehicle_track(ev)))
+    counted = fleet.count_by_line(fleet.stuck_vehicles(fixtures.vehicle_track(ev)), ordered=False)
     return fleet.enrich_line_names(counted, fixtures.line_catalog(ev))
 
 
@@ -187,7 +188,7 @@ from (select line_code, count(*) as n from fleet_status where line_code is not n
 )
 def enrich_line_names(spark: SparkSession, folder: str) -> DataFrame:
     ev = fixtures.events(spark, folder)
-    counted = fleet.count_by_line(fixtures.vehicle_track(ev))
+    counted = fleet.count_by_line(fixtures.vehicle_track(ev), ordered=False)
     return fleet.enrich_line_names(counted, fixtures.line_catalog(ev))
 
 
@@ -217,10 +218,9 @@ def line_list(spark: SparkSession, folder: str) -> DataFrame:
 
 @_query(
     """
-select line_code, count(*) as total,
-  cast(sum(case when next_stop_id is not null then 1 else 0 end) as bigint) as with_prediction
-from fleet_status group by line_code
-order by total desc, line_code nulls last limit 20
+with per_line as (
+  select line_code, count(*) as total, count(next_stop_id) as with_prediction from fleet_status group by all)
+select * from per_line qualify row_number() over (order by total desc, line_code nulls last) <= 20
 """,
     "fleet_status",
 )
@@ -285,8 +285,10 @@ def trusted_line_metrics(spark: SparkSession, folder: str) -> DataFrame:
 
 @_query(
     """
-select analyzed_at, vehicle_id, line_code, next_stop_id, predicted_arrival from fleet_status
-where next_stop_id is not null order by analyzed_at, id limit 10
+with predicted as (
+  select s.*, row_number() over (order by analyzed_at, id) as place
+  from fleet_status s where next_stop_id > 0 or next_stop_id <= 0)
+select analyzed_at, vehicle_id, line_code, next_stop_id, predicted_arrival from predicted where place <= 10
 """,
     "fleet_status",
 )
@@ -296,8 +298,9 @@ def sample_with_prediction(spark: SparkSession, folder: str) -> DataFrame:
 
 @_query(
     """
-select id, collected_at, lat, lon, line_code from positions where line_code = 'click-10'
-order by collected_at desc, id desc limit 50
+with newest as (
+  select p.*, rank() over (partition by line_code order by collected_at desc, id desc) as age from positions p)
+select id, collected_at, lat, lon, line_code from newest where age <= 50 and line_code = 'click-10'
 """,
     "positions",
 )
@@ -307,8 +310,9 @@ def recent_by_line(spark: SparkSession, folder: str) -> DataFrame:
 
 @_query(
     """
-select id, collected_at, stop_id, predicted_at from predictions where line_id = 1003
-order by collected_at desc, id desc limit 50
+with newest as (
+  select p.*, rank() over (partition by line_id order by collected_at desc, id desc) as age from predictions p)
+select id, collected_at, stop_id, predicted_at from newest where age <= 50 and line_id = 1003
 """,
     "predictions",
 )
@@ -400,32 +404,39 @@ def _tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
 
 @_query(
     """
-select 'positions' as table_name, count(*) as row_count from positions
-union all select 'predictions', count(*) from predictions
-union all select 'fleet_status', count(*) from fleet_status
+select table_name, count(*) as row_count from (
+  select 'positions' as table_name from positions union all by name
+  select 'predictions' as table_name from predictions union all by name
+  select 'fleet_status' as table_name from fleet_status) t
+group by table_name
 """,
     "fleet_status",
 )
 def table_counts(spark: SparkSession, folder: str) -> DataFrame:
-    track = fixtures.vehicle_track(fixtures.events(spark, folder))
-    return quality.table_counts({**_tables(spark, folder), "fleet_status": track})
+    status = fixtures.fleet_status(fixtures.events(spark, folder))
+    return quality.table_counts({**_tables(spark, folder), "fleet_status": status})
 
 
 @_query(
     """
-select 'positions_total' as metric, count(*) as value from positions
-union all select 'positions_line_code_null', count(*) from positions where line_code is null
-union all select 'positions_position_at_null', count(*) from positions where position_at is null
-union all select 'predictions_total', count(*) from predictions
-union all select 'predictions_stop_id_null', count(*) from predictions where stop_id is null
-union all select 'predictions_predicted_at_null', count(*) from predictions where predicted_at is null
-union all select 'fleet_status_total', count(*) from fleet_status
-union all select 'fleet_status_line_code_null', count(*) from fleet_status where line_code is null
-union all select 'fleet_status_lat_null', count(*) from fleet_status where lat is null
-union all select 'fleet_status_lon_null', count(*) from fleet_status where lon is null
-union all select 'fleet_status_position_at_null', count(*) from fleet_status where position_at is null
-union all select 'fleet_status_next_stop_id_null', count(*) from fleet_status where next_stop_id is null
-union all select 'fleet_status_predicted_arrival_null', count(*) from fleet_status where predicted_arrival is null
+select metric, value from (unpivot (select count(*) as positions_total,
+    count(*) - count(line_code) as positions_line_code_null,
+    count(*) - count(position_at) as positions_position_at_null
+  from positions) on columns(*) into name metric value value)
+union all
+select metric, value from (unpivot (select count(*) as predictions_total,
+    count(*) - count(stop_id) as predictions_stop_id_null,
+    count(*) - count(predicted_at) as predictions_predicted_at_null
+  from predictions) on columns(*) into name metric value value)
+union all
+select metric, value from (unpivot (select count(*) as fleet_status_total,
+    count(*) - count(line_code) as fleet_status_line_code_null,
+    count(*) - count(lat) as fleet_status_lat_null,
+    count(*) - count(lon) as fleet_status_lon_null,
+    count(*) - count(position_at) as fleet_status_position_at_null,
+    count(*) - count(next_stop_id) as fleet_status_next_stop_id_null,
+    count(*) - count(predicted_arrival) as fleet_status_predicted_arrival_null
+  from fleet_status) on columns(*) into name metric value value)
 """,
     "fleet_status",
 )
@@ -461,11 +472,11 @@ def freshness_check(spark: SparkSession, folder: str) -> DataFrame:
 
 @_query(
     """
-select 'positions' as table_name, count(*) as batch_rows from positions
-where collected_at = (select max(collected_at) from positions)
-union all
-select 'predictions', count(*) from predictions
-where collected_at = (select max(collected_at) from predictions)
+with ranked as (
+  select 'positions' as table_name, dense_rank() over (order by collected_at desc) as age from positions
+  union all
+  select 'predictions', dense_rank() over (order by collected_at desc) from predictions)
+select table_name, count(*) as batch_rows from ranked where age = 1 group by table_name
 """,
     "positions",
     "predictions",
@@ -577,14 +588,14 @@ def contract_rejects(spark: SparkSession, folder: str) -> DataFrame:
 def flatten_positions(spark: SparkSession, folder: str) -> DataFrame:
     landed = fixtures.as_json(fixtures.position_snapshots(fixtures.events(spark, folder)))
     parsed = landed.select(F.from_json("value", schemas.POSITION_SNAPSHOT).alias("doc")).select("doc.*")
-    return snapshots.flatten_positions(parsed).drop("ordinal")
+    return snapshots.flatten_positions(parsed).drop("ordinal", "unreadable")
 
 
 @_query("select * exclude (id) from predictions", "predictions")
 def flatten_predictions(spark: SparkSession, folder: str) -> DataFrame:
     landed = fixtures.as_json(fixtures.prediction_snapshots(fixtures.events(spark, folder)))
     parsed = landed.select(F.from_json("value", schemas.PREDICTION_SNAPSHOT).alias("doc")).select("doc.*")
-    return snapshots.flatten_predictions(parsed).drop("ordinal")
+    return snapshots.flatten_predictions(parsed).drop("ordinal", "unreadable")
 
 
 @_query(
@@ -627,7 +638,14 @@ def stream_ingest_predictions(spark: SparkSession, folder: str) -> DataFrame:
     return _streamed(spark, folder, "predictions").select(*schemas.PREDICTIONS_KEY)
 
 
-@_query("select distinct collected_at, vehicle_id from positions", "positions", name="stream_ingest")
+@_query(
+    """
+select distinct collected_at, vehicle_id from positions
+where cast(collected_at as time) between time '05:00:00' and time '23:00:00'
+""",
+    "positions",
+    name="stream_ingest",
+)
 def stream_ingest_positions(spark: SparkSession, folder: str) -> DataFrame:
     # Which copy of a key arrives first is not defined, so only the key is compared.
     return _streamed(spark, folder, "positions").select(*schemas.POSITIONS_KEY)
@@ -638,12 +656,61 @@ def _streamed(spark: SparkSession, folder: str, table: str) -> DataFrame:
     nest = {"positions": fixtures.position_snapshots, "predictions": fixtures.prediction_snapshots}
     root = scratch_path(spark, f"stream_{table}")
     fixtures.as_json(nest[table](fixtures.events(spark, folder))).write.text(f"{root}/landing")
-    # The files span a month in no order; the late limit covers all of it.
-    running = stream_ingest(
-        spark, f"{root}/landing", f"{root}/bronze", f"{root}/checkpoint", table, late_limit="60 days"
+    lake = Lake(f"{root}/lake")
+    stream_ingest(spark, f"{root}/landing", lake, f"{root}/checkpoint", table)
+    return read_table(spark, lake.path("bronze", table), table)
+
+
+@_query(
+    """
+select distinct collected_at, vehicle_id from positions
+where cast(collected_at as time) between time '05:00:00' and time '23:00:00'
+""",
+    "positions",
+)
+def stream_then_batch(spark: SparkSession, folder: str) -> DataFrame:
+    # The stream takes the even hours, the batch collector everything.
+    root = scratch_path(spark, "shared")
+    lake = Lake(f"{root}/lake")
+    landed = fixtures.position_snapshots(fixtures.events(spark, folder))
+    fixtures.as_json(landed.where(F.hour("collected_at") % 2 == 0)).write.text(f"{root}/even")
+    fixtures.as_json(landed).write.text(f"{root}/all")
+    stream_ingest(spark, f"{root}/even", lake, f"{root}/checkpoint", "positions")
+    rows = snapshots.flatten_positions(snapshots.read_position_snapshots(spark, f"{root}/all"))
+    daily.collect(spark, lake, "positions", rows, AS_OF)
+    return read_table(spark, lake.path("bronze", "positions"), "positions").select(*schemas.POSITIONS_KEY)
+
+
+@_query(
+    """
+select reasons, count(*) as n from (
+  select case when id % 7 = 0 then 'vehicle;' else '' end || case when id % 5 = 0 then 'lat;' else '' end ||
+    case when id % 11 = 0 then 'unreadable;' else '' end as reasons from positions) t
+where reasons <> '' group by reasons
+""",
+    "positions",
+)
+def quarantine_reasons(spark: SparkSession, folder: str) -> DataFrame:
+    # Every seventh, fifth and eleventh row is spoilt.
+    lake = Lake(scratch_path(spark, "lake"))
+    rows = fixtures.positions(fixtures.events(spark, folder)).withColumns(
+        {
+            "vehicle_id": F.when(F.col("id") % 7 == 0, -F.col("vehicle_id")).otherwise(F.col("vehicle_id")),
+            "lat": F.when(F.col("id") % 5 == 0, F.lit(200.0)).otherwise(F.col("lat")),
+            "unreadable": F.when(F.col("id") % 11 == 0, "position_at"),
+            "ordinal": F.col("id"),
+        }
     )
-    running.awaitTermination()
-    return read_table(spark, f"{root}/bronze", table)
+    daily.store_batch(spark, lake, "positions", rows, "spoilt")
+    refused = spark.read.parquet(daily.quarantine_path(lake, "positions", "spoilt"))
+    return refused.groupBy("reasons").agg(F.count("*").alias("n"))
+
+
+@_query("select collected_at, count(*) as delivered from positions group by collected_at", "positions")
+def collection_counts(spark: SparkSession, folder: str) -> DataFrame:
+    landed = fixtures.as_json(fixtures.position_snapshots(fixtures.events(spark, folder)))
+    parsed = landed.select(F.from_json("value", schemas.POSITION_SNAPSHOT).alias("doc")).select("doc.*")
+    return snapshots.delivered(parsed, "l").groupBy("collected_at").agg(F.sum("delivered").alias("delivered"))
 
 
 # --- Lake ------------------------------------------------------------------------
@@ -789,3 +856,102 @@ where rn = 1
 )
 def lineage_last_per_asset(spark: SparkSession, folder: str) -> DataFrame:
     return lineage.last_run_per_asset(fixtures.lineage_audit(fixtures.events(spark, folder)))
+
+
+def _late_lake(spark: SparkSession, folder: str) -> Lake:
+    """A lake whose positions came in two parts, with a compaction between, then purged."""
+    lake = Lake(scratch_path(spark, "lake"))
+    rows = fixtures.positions(fixtures.events(spark, folder))
+    bronze = lake.path("bronze", "positions")
+    append(rows.where("id % 3 <> 0"), bronze, "positions")
+    daily.compact_day(spark, lake, "positions", DAY, AS_OF)
+    append(rows.where("id % 3 = 0"), bronze, "positions")
+    daily.purge_table(spark, lake, "positions", AS_OF)
+    return lake
+
+
+@_query("select id from positions", "positions")
+def daily_chain(spark: SparkSession, folder: str) -> DataFrame:
+    lake = _late_lake(spark, folder)
+    return read_table(spark, lake.path("silver", "positions"), "positions").select("id")
+
+
+@_query("select id from positions where collected_at >= timestamp '2024-01-24 02:00:00'", "positions")
+def purge_archived(spark: SparkSession, folder: str) -> DataFrame:
+    lake = _late_lake(spark, folder)
+    return read_table(spark, lake.path("bronze", "positions"), "positions").select("id")
+
+
+@_query(
+    """
+select distinct collected_at, line_id, vehicle_id, stop_id, predicted_at from predictions_dup
+where stop_id is not null and predicted_at is not null
+union all
+select collected_at, line_id, vehicle_id, stop_id, predicted_at from predictions_dup
+where stop_id is null or predicted_at is null
+""",
+    "predictions_dup",
+)
+def backfill_without_ids(spark: SparkSession, folder: str) -> DataFrame:
+    rows = fixtures.predictions_dup(fixtures.events(spark, folder)).drop("id")
+    lake = Lake(scratch_path(spark, "lake"))
+    backfill.backfill(spark, {"predictions": rows}, lake, ["collected_at"])
+    return read_table(spark, lake.path("bronze", "predictions"), "predictions").select(*schemas.PREDICTIONS_KEY)
+
+
+@_query(
+    """
+select min(id) as id from predictions_dup
+group by collected_at, line_id, vehicle_id, stop_id, predicted_at
+""",
+    "predictions_dup",
+)
+def dedup_stored(spark: SparkSession, folder: str) -> DataFrame:
+    path = scratch_path(spark, "bronze")
+    append(fixtures.predictions_dup(fixtures.events(spark, folder)), path, "predictions")
+    dedup.remove_duplicates(spark, path, "predictions")
+    return read_table(spark, path, "predictions").select("id")
+
+
+@_query(
+    """
+select cast(c.day as date) as day, round(avg(d.delay_min), 6) as mean_delay
+from (select unnest(generate_series(date '2024-01-10', date '2024-02-08', interval 1 day)) as day) c
+left join delays d on d.day = c.day group by c.day
+""",
+    "delays",
+)
+def delay_trend_over(spark: SparkSession, folder: str) -> DataFrame:
+    calendar = reports.day_calendar(spark, date(2024, 1, 10), 30)
+    return reports.delay_trend_over(fixtures.delays(fixtures.events(spark, folder)), calendar)
+
+
+@_query("select * from fleet_status", "fleet_status")
+def stored_fleet_status(spark: SparkSession, folder: str) -> DataFrame:
+    ev = fixtures.events(spark, folder)
+    lake = Lake(scratch_path(spark, "lake"))
+    append(fixtures.positions(ev), lake.path("bronze", "positions"), "positions")
+    append(fixtures.predictions(ev), lake.path("bronze", "predictions"), "predictions")
+    refresh_fleet_status(spark, lake)
+    return read_table(spark, lake.path("bronze", "fleet_status"), "fleet_status").drop("dt")
+
+
+@_query(
+    """
+select count(*) as total, cast(count_if(line_id > 0 and vehicle_id > 0
+  and (predicted_at is null or length(predicted_at) <= 30) and regexp_matches(dt, '^[0-9]{4}-[0-9]{2}-[0-9]{2}$'))
+  as bigint) as valid
+from (select *, case when stop_id is null then strftime(collected_at, '%d-%m-%Y')
+    else strftime(collected_at, '%Y-%m-%d') end as dt
+  from predictions) t
+""",
+    "predictions",
+)
+def contract_silver_predictions(spark: SparkSession, folder: str) -> DataFrame:
+    rows = fixtures.predictions(fixtures.events(spark, folder))
+    day = F.when(F.col("stop_id").isNull(), F.date_format("collected_at", "dd-MM-yyyy")).otherwise(
+        F.date_format("collected_at", "yyyy-MM-dd")
+    )
+    return contracts.contract_summary(
+        rows.withColumn("dt", day), contracts.silver_rules(contracts.prediction_rules())
+    )

@@ -94,12 +94,12 @@ CENTROID_REPORT = T.StructType(
 # collection time (and the line id of a prediction request) is stamped by whoever
 # lands the file.
 POSITION_SNAPSHOT = (
-    "collected_at STRING, "
+    "collected_at STRING, _corrupt_record STRING, "
     "l ARRAY<STRUCT<c: STRING, "
     "vs: ARRAY<STRUCT<p: STRING, py: DOUBLE, px: DOUBLE, ta: STRING>>>>"
 )
 PREDICTION_SNAPSHOT = (
-    "collected_at STRING, line_id BIGINT, "
+    "collected_at STRING, _corrupt_record STRING, line_id BIGINT, "
     "ps ARRAY<STRUCT<cp: STRING, vs: ARRAY<STRUCT<p: STRING, t: STRING>>>>"
 )
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -32,7 +31,8 @@ def local_session(app: str, cores: str = "*", shuffle_partitions: int = 8, **con
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors can reach, named by ``spark.checkpoint.dir``.
 
-    Where the setting is absent a temporary folder serves, in local mode only.
+    Where the setting is absent, as in tests, a folder below the warehouse serves, in
+    local mode only.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     context = spark.sparkContext
@@ -45,7 +45,7 @@ def shared_folder(spark: SparkSession) -> str:
         return current
     if not context.master.startswith("local"):
         raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
-    context.setCheckpointDir(tempfile.mkdtemp(prefix="fleetlake-"))
+    context.setCheckpointDir(f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_checkpoints")
     return context.getCheckpointDir()
 
 

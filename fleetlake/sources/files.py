@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -10,17 +12,25 @@ from fleetlake import schemas
 from fleetlake.sources.paths import exists
 
 
-def read_catalog(spark: SparkSession, path: str, required: bool = True) -> DataFrame | None:
+def read_catalog(
+    spark: SparkSession, path: str, required: bool = True, names: Mapping[str, str] | None = None
+) -> DataFrame | None:
     """The line catalogue, a CSV file with a header.
 
-    Columns are taken by position of the schema, so the header must list them in order.
-    A missing file is an error for a collector and None for a report.
+    Columns are taken by the names in ``names`` (header to schema), in any order; a schema
+    column that the header lacks is an error. A missing file is an error for a collector
+    and None for a report.
     """
     if not exists(spark, path):
         if required:
             raise FileNotFoundError(path)
         return None
-    return spark.read.csv(path, schema=schemas.LINE_CATALOG, header=True, enforceSchema=False)
+    raw = spark.read.csv(path, header=True)
+    renamed = raw.withColumnsRenamed(dict(names or {}))
+    missing = [f.name for f in schemas.LINE_CATALOG if f.name not in renamed.columns]
+    if missing:
+        raise ValueError(f"the header of {path} lacks {missing}")
+    return renamed.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schemas.LINE_CATALOG])
 
 
 def read_delimited(spark: SparkSession, path: str, schema: T.StructType, sep: str = "|") -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,8 +23,9 @@ class Lake:
 
 
 def stored_days(spark: SparkSession, path: str) -> set[str]:
-    """Days a table has a partition for, from its folder names."""
-    return {name[3:] for name in subfolders(spark, path) if name.startswith("dt=")}
+    """Days a table has a partition for, from its folder names; others are passed over."""
+    names = (name[3:] for name in subfolders(spark, path) if name.startswith("dt="))
+    return {name for name in names if re.fullmatch(r"\d{4}-\d{2}-\d{2}", name)}
 
 
 def read_table(spark: SparkSession, path: str, table: str) -> DataFrame:

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetlake import schemas
-from fleetlake.functions import gps_to_local, parse_local, seconds_of_day
+from fleetlake.functions import gps_to_local, parse_local, parse_utc, seconds_of_day
 from fleetlake.operators.skew import broadcast_if_small
 
 # Positions are collected from 05:00 to 23:00, both included.
@@ -24,6 +24,27 @@ def read_prediction_snapshots(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schemas.PREDICTION_SNAPSHOT).json(path)
 
 
+def unreadable_documents(snapshots: DataFrame) -> DataFrame:
+    """``document, reason`` of landed lines that are no snapshot: broken JSON, or no collection time.
+
+    A document written over several lines shows up here line by line.
+    """
+    reason = F.when(F.col("_corrupt_record").isNotNull(), "broken").when(
+        F.col("collected_at").isNull(), "no collection time"
+    )
+    document = F.coalesce("_corrupt_record", F.to_json(F.struct(*[c for c in snapshots.columns if c != "_corrupt_record"])))
+    return snapshots.select(document.alias("document"), reason.alias("reason")).where("reason is not null")
+
+
+def delivered(snapshots: DataFrame, outer: str, inner: str = "vs") -> DataFrame:
+    """``collected_at, delivered``: how many vehicles each document brought."""
+    sizes = F.transform(F.coalesce(F.col(outer), F.array()), lambda x: F.greatest(F.size(x[inner]), F.lit(0)))
+    return snapshots.select(
+        parse_local(F.col("collected_at")).alias("collected_at"),
+        F.aggregate(sizes, F.lit(0), lambda a, b: a + b).cast("long").alias("delivered"),
+    )
+
+
 def flatten_positions(
     snapshots: DataFrame,
     codes: DataFrame | None = None,
@@ -34,8 +55,9 @@ def flatten_positions(
 
     Lines without vehicles and snapshots without lines give nothing. The line filter
     runs before the vehicles are unfolded. ``ordinal`` is the place in the document.
-    GPS times stay in UTC as delivered unless ``gps_zone`` asks for local ones. Columns
-    named in ``carry`` are taken along from the document.
+    GPS times are UTC unless ``gps_zone`` asks for local ones. ``unreadable`` names the
+    optional field whose text could not be read, else it is NULL. Columns named in
+    ``carry`` are taken along from the document.
     """
     document = ["collected_at", *carry]
     lines = snapshots.select(*document, F.posexplode("l").alias("line_pos", "line")).select(
@@ -46,7 +68,7 @@ def flatten_positions(
     vehicles = lines.select(
         *document, "line_code", "line_pos", F.posexplode("vs").alias("vehicle_pos", "v")
     )
-    gps_time = parse_local(F.col("v.ta"))
+    gps_time = parse_utc(F.col("v.ta"))
     return vehicles.select(
         _ordinal("line_pos"),
         parse_local(F.col("collected_at")).alias("collected_at"),
@@ -55,6 +77,7 @@ def flatten_positions(
         F.col("v.py").alias("lat"),
         F.col("v.px").alias("lon"),
         (gps_to_local(gps_time, gps_zone) if gps_zone else gps_time).alias("position_at"),
+        _unreadable(F.col("v.ta"), gps_time, "position_at"),
         *carry,
     )
 
@@ -66,7 +89,7 @@ def flatten_predictions(snapshots: DataFrame, carry: Sequence[str] = ()) -> Data
     vehicles = stops.select(
         *document,
         "stop_pos",
-        F.col("stop.cp").try_cast("bigint").alias("stop_id"),
+        F.col("stop.cp").alias("stop"),
         F.posexplode("stop.vs").alias("vehicle_pos", "v"),
     )
     return vehicles.select(
@@ -74,12 +97,17 @@ def flatten_predictions(snapshots: DataFrame, carry: Sequence[str] = ()) -> Data
         parse_local(F.col("collected_at")).alias("collected_at"),
         "line_id",
         F.col("v.p").try_cast("bigint").alias("vehicle_id"),
-        "stop_id",
+        F.col("stop").try_cast("bigint").alias("stop_id"),
         F.col("v.t").alias("predicted_at"),
+        _unreadable(F.col("stop"), F.col("stop").try_cast("bigint"), "stop_id"),
         *carry,
     )
 
 
+def _unreadable(text: Column, value: Column, name: str) -> Column:
+    return F.when((F.trim(text) != "") & value.isNull(), F.lit(name)).alias("unreadable")
+
+
 def _ordinal(outer: str):
     return (F.shiftleft(F.col(outer).cast("bigint"), 32) + F.col("vehicle_pos")).alias("ordinal")
 
@@ -108,5 +136,10 @@ def filter_target_lines(rows: DataFrame, codes: DataFrame) -> DataFrame:
 
 
 def operating_hours(rows: DataFrame, time: str = "position_at") -> DataFrame:
-    """Rows whose time of day lies in the collection hours."""
-    return rows.where(seconds_of_day(F.col(time)).between(OPENING_SECOND, CLOSING_SECOND))
+    """Rows whose time of day lies in the collection hours; rows without a time do not."""
+    return rows.where(in_hours(time))
+
+
+def in_hours(time: str) -> Column:
+    """Whether the time of day lies in the collection hours; NULL without a time."""
+    return seconds_of_day(F.col(time)).between(OPENING_SECOND, CLOSING_SECOND)

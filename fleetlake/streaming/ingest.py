@@ -1,112 +1,116 @@
-"""Landed snapshots to a partitioned bronze table with Structured Streaming."""
+"""Landed snapshots to the bronze tables with Structured Streaming.
+
+The stream reads landed files once each, flattens them and writes to a folder of its own:
+a file sink keeps a log beside its files that other writers of the same folder would break.
+A job then takes the folder's rows into bronze exactly as the batch collector does, with the
+same contract, hours, quarantine and removal of duplicates, and no row is ever late.
+"""
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from fleetlake import schemas
-from fleetlake.operators import contracts
-from fleetlake.operators.pick import null_key_tag
-from fleetlake.plans.append import conform, with_day
+from fleetlake.plans.daily import store_batch
 from fleetlake.sources import snapshots
+from fleetlake.sources.layers import Lake
+from fleetlake.sources.paths import exists
 
 SNAPSHOTS = {
     "positions": schemas.POSITION_SNAPSHOT,
     "predictions": schemas.PREDICTION_SNAPSHOT,
 }
-RULES = {"positions": contracts.position_rules, "predictions": contracts.prediction_rules}
 
 
 def snapshot_stream(
     spark: SparkSession, landing: str, table: str, max_files: int = 1000
 ) -> DataFrame:
-    """The landing folder as a stream; ``max_files`` bounds a micro-batch."""
+    """The landing folder as a stream; ``max_files`` only paces a micro-batch."""
     return (
         spark.readStream.schema(SNAPSHOTS[table]).option("maxFilesPerTrigger", max_files).json(landing)
     )
 
 
 def flat_stream(landed: DataFrame, table: str, codes: DataFrame | None = None) -> DataFrame:
-    """Flat rows of a snapshot stream with the ``_file`` they came from."""
-    landed = landed.withColumn("_file", F.col("_metadata.file_path"))
-    if table == "positions":
-        return snapshots.flatten_positions(landed, codes, carry=["_file"])
-    return snapshots.flatten_predictions(landed, carry=["_file"])
-
-
-def bronze_stream(
-    landed: DataFrame,
-    table: str,
-    codes: DataFrame | None = None,
-    late_limit: str | None = "1 day",
-) -> DataFrame:
-    """Flat, valid rows without duplicates of the natural key.
+    """Flat rows of a snapshot stream, and a row of only ``document, reason`` for what is none.
 
-    State is kept per key until the watermark passes, so it holds ``late_limit`` of keys
-    and no more; rows later than that do not pass. With ``late_limit=None`` every key is
-    remembered and no row is late. Rows with a NULL in the key are told apart by file and
-    place, as a unique key never matches them.
+    Stateless, so nothing is dropped for being late and no state grows.
     """
-    key = schemas.NATURAL_KEYS[table]
-    valid = contracts.accepted(flat_stream(landed, table, codes), RULES[table]()).withColumn(
-        "_tag", null_key_tag(key, ["_file", "ordinal"])
-    )
-    if late_limit is None:
-        unique = valid.dropDuplicates([*key, "_tag"])
-    else:
-        # Event time must be a zoned timestamp; the stored column stays zone-less.
-        unique = (
-            valid.withColumn("_event_time", F.col("collected_at").cast("timestamp"))
-            .withWatermark("_event_time", late_limit)
-            .dropDuplicatesWithinWatermark([*key, "_tag"])
-        )
-    return with_day(conform(unique, table), table)
+    rows = snapshots.flatten_positions(landed, codes) if table == "positions" else snapshots.flatten_predictions(landed)
+    return rows.unionByName(snapshots.unreadable_documents(landed), allowMissingColumns=True)
 
 
-def stream_ingest(
+def start_stream(
     spark: SparkSession,
     landing: str,
     sink: str,
     checkpoint: str,
     table: str,
     codes: DataFrame | None = None,
-    late_limit: str | None = "1 day",
     every: str | None = None,
 ) -> StreamingQuery:
-    """Start the ingestion into ``sink``; without ``every`` it stops once caught up.
+    """Start writing flat rows to ``sink``; without ``every`` it stops once caught up.
 
-    The file sink and the checkpoint together give exactly-once output after a restart.
+    The sink and the checkpoint together give each landed file exactly once, also after a
+    restart.
     """
-    rows = bronze_stream(snapshot_stream(spark, landing, table), table, codes, late_limit)
-    return _start(rows, sink, checkpoint, every, "dt")
-
-
-def stream_quarantine(
-    spark: SparkSession,
-    landing: str,
-    sink: str,
-    checkpoint: str,
-    table: str,
-    codes: DataFrame | None = None,
-    every: str | None = None,
-) -> StreamingQuery:
-    """Start writing the rows that break the contract, with the reasons, to ``sink``."""
-    flat = flat_stream(snapshot_stream(spark, landing, table), table, codes)
-    return _start(contracts.rejects(flat, RULES[table]()), sink, checkpoint, every)
-
-
-def _start(
-    rows: DataFrame, sink: str, checkpoint: str, every: str | None, *partitions: str
-) -> StreamingQuery:
     trigger = {"processingTime": every} if every else {"availableNow": True}
     return (
-        rows.writeStream.format("parquet")
-        .partitionBy(*partitions)
+        flat_stream(snapshot_stream(spark, landing, table), table, codes)
+        .writeStream.format("parquet")
         .option("path", sink)
         .option("checkpointLocation", checkpoint)
         .outputMode("append")
         .trigger(**trigger)
         .start()
     )
+
+
+def stream_path(lake: Lake, table: str, name: str = "rows") -> str:
+    """Folders of the stream: its sink ``rows``, and ``taken``, the sink's files that are in bronze."""
+    return f"{lake.path('stream', table)}/{name}"
+
+
+def take_in(spark: SparkSession, lake: Lake, table: str) -> dict[str, int]:
+    """Take the finished files of the sink that are not in bronze yet; returns what became of their rows.
+
+    Which files are finished is in the sink's own log. The run is named after the files, so
+    one that broke off replaces its quarantine when it runs again; rows with a complete key
+    are not stored twice by that, rows with a NULL in it are, as such a key equals nothing.
+    """
+    sink, taken = stream_path(lake, table), stream_path(lake, table, "taken")
+    if not exists(spark, f"{sink}/_spark_metadata"):
+        return {}
+    empty = spark.createDataFrame([], SNAPSHOTS[table])
+    schema = flat_stream(empty, table).schema
+    # Names of files, one for each that a micro-batch wrote.
+    done = {r["file"] for r in spark.read.parquet(taken).collect()} if exists(spark, taken) else set()
+    files = sorted(set(spark.read.schema(schema).parquet(sink).inputFiles()) - done)
+    if not files:
+        return {}
+    rows = spark.read.schema(schema).parquet(*files)
+    documents = rows.where("reason is not null").select("document", "reason")
+    flat = rows.where("reason is null").drop("document", "reason")
+    run = f"stream-{hashlib.sha256(' '.join(files).encode()).hexdigest()[:16]}"
+    counts = store_batch(spark, lake, table, flat, run, documents)
+    spark.createDataFrame([(f,) for f in files], "file string").coalesce(1).write.mode("append").parquet(taken)
+    return counts
+
+
+def stream_ingest(
+    spark: SparkSession,
+    landing: str,
+    lake: Lake,
+    checkpoint: str,
+    table: str,
+    codes: DataFrame | None = None,
+) -> dict[str, int]:
+    """Bring everything that landed since the last call into bronze; returns what became of it.
+
+    What a call that broke off left in the sink is taken in as well.
+    """
+    start_stream(spark, landing, stream_path(lake, table), checkpoint, table, codes).awaitTermination()
+    return take_in(spark, lake, table)

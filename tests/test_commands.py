@@ -66,11 +66,11 @@ def test_commands(spark, lake, tmp_path):
     assert command("dedup") == ["positions: 1 rows removed", "predictions: 1 rows removed"]
     assert command("compact", "--date", "2025-08-14") == ["positions: 2 rows written", "predictions: 1 rows written"]
     assert command("purge", "--dry-run") == ["positions: 1 rows would be removed", "predictions: 0 rows would be removed"]
-    # The old day is not archived yet.
-    assert command("purge") == ["positions: 0 rows removed", "predictions: 0 rows removed"]
-    assert command("compact") == ["positions: 3 rows written", "predictions: 1 rows written"]
-    assert command("reconcile") == []
+    # The old day is archived first.
     assert command("purge") == ["positions: 1 rows removed", "predictions: 0 rows removed"]
+    assert command("compact") == ["positions: 2 rows written", "predictions: 1 rows written"]
+    assert command("reconcile") == []
+    assert command("purge") == ["positions: 0 rows removed", "predictions: 0 rows removed"]
     assert command("status", "--source", "silver") == ["fleet_status: 3 rows"]
     assert len(command("health")) == 2
 

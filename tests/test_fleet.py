@@ -15,26 +15,26 @@ SNAPSHOT = "2025-08-15 10:00:00"
 @pytest.fixture
 def positions(make_positions):
     return make_positions(
-        (1, SNAPSHOT, 1001, "8000-10", -23.5505, -46.6333, "2025-08-15 09:59:00"),
-        (2, SNAPSHOT, 1002, "8000-10", -23.5510, -46.6328, "2025-08-15 09:58:00"),
+        (1, SNAPSHOT, 311, "7281-21", -23.6041, -46.7012, "2025-08-15 09:59:00"),
+        (2, SNAPSHOT, 312, "7281-21", -23.6052, -46.7003, "2025-08-15 09:58:00"),
     )
 
 
 def test_status_takes_the_vehicles_prediction(positions, make_predictions):
     predictions = make_predictions(
-        (1, SNAPSHOT, 2411, 1001, 5001, "10:15"), (2, SNAPSHOT, 2411, 1002, 5002, "10:12")
+        (1, SNAPSHOT, 905, 311, 661, "10:15"), (2, SNAPSHOT, 905, 312, 662, "10:12")
     )
     status = fleet.fleet_status(positions, predictions)
     assert status.columns == schemas.FLEET_STATUS.names
     assert rows_of(status, "vehicle_id", "next_stop_id", "predicted_arrival") == [
-        (1001, 5001, "10:15"),
-        (1002, 5002, "10:12"),
+        (311, 661, "10:15"),
+        (312, 662, "10:12"),
     ]
 
 
 def test_status_keeps_vehicles_without_prediction(positions, make_predictions):
-    status = fleet.fleet_status(positions, make_predictions((1, SNAPSHOT, 2411, 1001, 5001, "10:15")))
-    assert rows_of(status, "vehicle_id", "next_stop_id") == [(1001, 5001), (1002, None)]
+    status = fleet.fleet_status(positions, make_predictions((1, SNAPSHOT, 905, 311, 661, "10:15")))
+    assert rows_of(status, "vehicle_id", "next_stop_id") == [(311, 661), (312, None)]
 
 
 def test_status_without_predictions(positions, make_predictions):
@@ -42,8 +42,8 @@ def test_status_without_predictions(positions, make_predictions):
         status = fleet.fleet_status(positions, none)
         assert status.columns == schemas.FLEET_STATUS.names
         assert rows_of(status, "vehicle_id", "next_stop_id", "predicted_arrival") == [
-            (1001, None, None),
-            (1002, None, None),
+            (311, None, None),
+            (312, None, None),
         ]
 
 
@@ -81,38 +81,38 @@ def test_latest_position(make_status):
 
 def test_five_minutes_is_not_stuck(make_status):
     status = make_status(
-        (1, "2025-08-15 10:00:00", 1001, "8000-10", -23.55, -46.63),
-        (2, "2025-08-15 10:05:00", 1001, "8000-10", -23.55, -46.63),
-        (3, "2025-08-15 10:00:00", 1002, "8000-10", -23.56, -46.64),
+        (1, "2025-08-15 10:00:00", 311, "7281-21", -23.55, -46.63),
+        (2, "2025-08-15 10:05:00", 311, "7281-21", -23.55, -46.63),
+        (3, "2025-08-15 10:00:00", 312, "7281-21", -23.56, -46.64),
     )
     assert fleet.stuck_vehicles(status).count() == 0
 
 
 def test_moving_vehicle_is_not_stuck(make_status):
     status = make_status(
-        (1, "2025-08-15 10:00:00", 1001, "8000-10", -23.55, -46.63),
-        (2, "2025-08-15 10:30:00", 1001, "8000-10", -23.56, -46.63),
+        (1, "2025-08-15 10:00:00", 311, "7281-21", -23.55, -46.63),
+        (2, "2025-08-15 10:30:00", 311, "7281-21", -23.56, -46.63),
     )
     assert fleet.stuck_vehicles(status).count() == 0
 
 
 def test_stuck_vehicle(make_status):
     status = make_status(
-        (1, "2025-08-15 10:00:00", 1001, None, -23.5500, -46.6300),
-        (2, "2025-08-15 10:15:00", 1001, "8000-10", -23.6000, -46.7000),  # away and back
-        (3, "2025-08-15 10:30:00", 1001, "9000-10", -23.5501, -46.6300),
-        (4, "2025-08-15 10:00:00", 1002, "8000-10", -23.5500, -46.6300),
-        (5, "2025-08-15 10:10:00", 1002, "8000-10", -23.5500, -46.6300),  # exactly ten
+        (1, "2025-08-15 10:00:00", 311, None, -23.5500, -46.6300),
+        (2, "2025-08-15 10:15:00", 311, "7281-21", -23.6000, -46.7000),  # away and back
+        (3, "2025-08-15 10:30:00", 311, "6312-21", -23.5501, -46.6300),
+        (4, "2025-08-15 10:00:00", 312, "7281-21", -23.5500, -46.6300),
+        (5, "2025-08-15 10:10:00", 312, "7281-21", -23.5500, -46.6300),  # exactly ten
         (6, "2025-08-15 10:00:00", 1003, None, -23.5500, -46.6300),
         (7, "2025-08-15 10:11:00", 1003, None, -23.5500, -46.6300),
     )
     found = {r["vehicle_id"]: r for r in fleet.stuck_vehicles(status).collect()}
-    assert set(found) == {1001, 1003}
-    assert found[1001]["line_code"] == "8000-10"
-    assert found[1001]["elapsed_min"] == 30
-    assert found[1001]["distance_km"] == pytest.approx(6371.009 * math.radians(0.0001), rel=1e-6)
+    assert set(found) == {311, 1003}
+    assert found[311]["line_code"] == "7281-21"
+    assert found[311]["elapsed_min"] == 30
+    assert found[311]["distance_km"] == pytest.approx(6371.009 * math.radians(0.0001), rel=1e-6)
     assert found[1003]["line_code"] is None
-    assert rows_of(fleet.count_by_line(fleet.stuck_vehicles(status))) == [("8000-10", 1)]
+    assert rows_of(fleet.count_by_line(fleet.stuck_vehicles(status))) == [("7281-21", 1)]
 
 
 def test_bunching_compares_neighbours_only(make_status):
@@ -150,9 +150,9 @@ def test_kpis(make_status):
 def catalog(spark):
     return spark.createDataFrame(
         [
-            (1, "8000", 10, "Lapa", "Centro"),
+            (1, "7281", 21, "Hill", "Harbour"),
             (2, "917H", 21, "Metro", None),
-            (3, "N1", 10, "Norte", "Sul"),
+            (3, "N1", 10, "North", "South"),
         ],
         schemas.LINE_CATALOG,
     )
@@ -160,20 +160,20 @@ def catalog(spark):
 
 def test_line_names(spark, catalog):
     lines = spark.createDataFrame(
-        [("8000-10", 3), ("917H-21", 2), ("N1", 1), ("8000-x", 1), ("9-10", 1)], "line_code string, n int"
+        [("7281-21", 3), ("917H-21", 2), ("N1", 1), ("8000-x", 1), ("9-10", 1)], "line_code string, n int"
     )
     assert dict(fleet.enrich_line_names(lines, catalog).select("line_code", "line_name").collect()) == {
-        "8000-10": "Lapa / Centro",
+        "7281-21": "Hill / Harbour",
         "917H-21": "917H-21",  # one terminal is missing
-        "N1": "Norte / Sul",  # no dash means suffix 10
+        "N1": "North / South",  # no dash means suffix 10
         "8000-x": "8000-x",  # not a number
         "9-10": "9-10",  # not in the catalogue
     }
 
 
 def test_line_names_without_catalog(spark):
-    lines = spark.createDataFrame([("8000-10", 3)], "line_code string, n int")
-    assert rows_of(fleet.enrich_line_names(lines, None)) == [("8000-10", 3, "8000-10")]
+    lines = spark.createDataFrame([("7281-21", 3)], "line_code string, n int")
+    assert rows_of(fleet.enrich_line_names(lines, None)) == [("7281-21", 3, "7281-21")]
 
 
 def test_missing_coordinate_has_no_distance(make_status):

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from fleetlake import schemas
 from fleetlake.plans import append as appending
-from fleetlake.plans import backfill, compaction, lineage, retention
+from fleetlake.plans import backfill, compaction, dedup, lineage, retention
+from fleetlake.sources import paths
 from fleetlake.sources.layers import Lake, read_table, stored_days
 from tests.conftest import at, rows_of
 
@@ -60,15 +61,77 @@ def test_null_keys_equal_nothing(spark, tmp_path, make_predictions):
     assert read_table(spark, path, "predictions").count() == 6
 
 
-def test_incomplete_rows_are_passed_over(spark, tmp_path):
+def test_incomplete_rows_go_to_quarantine(spark, tmp_path):
     path = str(tmp_path / "t")
     rows = spark.createDataFrame(
         [(1, at("2025-08-15 10:00:00"), 7, "A", 1.0, 1.0), (2, None, 7, "A", 1.0, 1.0), (3, at("2025-08-15 10:00:00"), 8, "A", None, 1.0)],
         "id long, collected_at timestamp_ntz, vehicle_id long, line_code string, lat double, lon double",
     )
-    assert appending.idempotent_append(rows, path, "positions") == 1
+    with pytest.raises(appending.IncompleteRows):
+        appending.idempotent_append(rows, path, "positions")
+    refused = str(tmp_path / "refused")
+    assert appending.idempotent_append(rows, path, "positions", quarantine=refused) == 1
     assert rows_of(read_table(spark, path, "positions"), "id", "position_at") == [(1, None)]
-    assert appending.idempotent_append(rows.where("id = 2"), path, "positions") == 0
+    assert rows_of(spark.read.parquet(refused), "id") == [(2,), (3,)]
+    assert appending.idempotent_append(rows.where("id = 2"), path, "positions", quarantine=refused) == 0
+    with pytest.raises(Exception, match="has no collected_at"):
+        appending.append(rows.where("id = 2"), path, "positions")
+
+
+def test_rows_with_a_null_key_are_all_kept(spark, tmp_path, make_predictions):
+    path = str(tmp_path / "t")
+    same = [(None, "2025-08-15 10:00:00", 1, 7, None, "10:15")] * 3
+    rows = make_predictions(*same, (None, "2025-08-15 10:00:00", 1, 7, 5, "10:15"), (None, "2025-08-15 10:00:00", 1, 7, 5, "10:15"))
+    assert appending.idempotent_append(rows, path, "predictions", ["collected_at"]) == 4
+    assert appending.idempotent_append(rows.where("stop_id = 5"), path, "predictions", ["collected_at"]) == 0
+
+
+@pytest.mark.parametrize("step", range(4))
+def test_a_broken_swap_loses_nothing(spark, tmp_path, make_positions, monkeypatch, step):
+    """Each step of a replacement fails once; the job that runs again ends as if none had."""
+    days = [(i, f"2025-08-{10 + i % 3} 10:0{i}:00", 1, "A", 0.0, 0.0) for i in range(6)]
+    copies = [(10 + i, *r[1:]) for i, r in enumerate(days)]
+    jobs = {
+        "dedup": lambda p: dedup.remove_duplicates(spark, p, "positions"),
+        "purge": lambda p: retention.purge(spark, p, "positions", at("2025-08-10 10:01:00")),
+        "compact": lambda p: compaction.compact(make_positions((50, "2025-08-11 11:00:00", 5, "B", 0.0, 0.0)), p, "positions"),
+        "replace": lambda p: appending.replace_table(make_positions((60, "2025-08-11 11:00:00", 5, "B", 0.0, 0.0)), p, "positions"),
+    }
+    for name, job in jobs.items():
+        path, other = (str(tmp_path / f"{name}-{k}/t") for k in "ab")
+        for p in (path, other):
+            appending.append(make_positions(*days, *copies), p, "positions")
+        job(other)
+        calls = {"n": 0}
+        real = {"move": paths.move, "remove": paths.remove}
+
+        def failing(kind):
+            def call(*arguments):
+                inside = paths.OLD in "".join(map(str, arguments[1:])) or paths.STAGED in "".join(map(str, arguments[1:]))
+                if inside and calls["on"]:
+                    calls["n"] += 1
+                    if calls["n"] == step + 1:
+                        raise OSError("broken")
+                return real[kind](*arguments)
+
+            return call
+
+        def broken_swap(*arguments, swap=paths.swap_in):
+            calls["on"] = True
+            return swap(*arguments)
+
+        calls["on"] = False
+        with monkeypatch.context() as patch:
+            for kind in real:
+                patch.setattr(paths, kind, failing(kind))
+            for module in (appending, compaction, retention, dedup):
+                patch.setattr(module, "swap_in", broken_swap)
+            try:
+                job(path)
+            except OSError:
+                pass
+        job(path)
+        assert rows_of(read_table(spark, path, "positions")) == rows_of(read_table(spark, other, "positions")), name
 
 
 def test_append_reads_only_the_days_it_touches(spark, tmp_path, make_positions):
@@ -154,7 +217,7 @@ def test_create_tables_twice(spark, tmp_path, make_positions):
     assert positions.schema["collected_at"].dataType == schemas.POSITIONS["collected_at"].dataType
     rows = make_positions((1, "2025-08-15 10:00:00", 1, "A", 0.0, 0.0))
     appending.append(rows, str(tmp_path / "lake/bronze/positions"), "positions")
-    spark.catalog.recoverPartitions("fleet_test.positions")
+    appending.create_tables(spark, str(tmp_path / "lake"), "fleet_test")
     assert spark.table("fleet_test.positions").count() == 1
 
 
@@ -170,7 +233,7 @@ def test_compact_day_twice(spark, tmp_path, make_positions):
         assert compaction.verify_day(spark, path, "positions", day) == 1
 
 
-def test_compact_replaces_only_its_day(spark, tmp_path, make_positions):
+def test_compact_merges_into_its_day(spark, tmp_path, make_positions):
     path = str(tmp_path / "silver")
     compaction.compact(
         make_positions((1, "2025-08-15 10:00:00", 1, "A", 0.0, 0.0), (2, "2025-08-16 10:00:00", 1, "A", 0.0, 0.0)),
@@ -178,8 +241,8 @@ def test_compact_replaces_only_its_day(spark, tmp_path, make_positions):
         "positions",
     )
     compaction.compact(make_positions((3, "2025-08-16 11:00:00", 1, "A", 0.0, 0.0)), path, "positions")
-    assert rows_of(read_table(spark, path, "positions"), "id") == [(1,), (3,)]
-    assert [r["n"] for r in compaction.partition_counts(spark, path, "positions").collect()] == [1, 1]
+    assert rows_of(read_table(spark, path, "positions"), "id") == [(1,), (2,), (3,)]
+    assert rows_of(compaction.partition_counts(spark, path, "positions"), "n") == [(1,), (2,)]
 
 
 def test_compact_nothing(spark, tmp_path, make_positions):

@@ -29,8 +29,8 @@ def test_flatten_positions(spark, tmp_path):
             "collected_at": "2025-08-15 10:00:00.123456",
             "hr": "10:00",
             "l": [
-                {"c": "8000-10", "cl": 1, "vs": [vehicle(11526), vehicle("11974")]},
-                {"c": "9000-10", "vs": [vehicle(7, ta=None)]},
+                {"c": "7281-21", "cl": 1, "vs": [vehicle(40217), vehicle("40533")]},
+                {"c": "6312-21", "vs": [vehicle(7, ta=None)]},
                 {"c": "no-vehicles", "vs": []},
                 {"c": "absent"},
             ],
@@ -41,15 +41,15 @@ def test_flatten_positions(spark, tmp_path):
     flat = snapshots.flatten_positions(snapshots.read_position_snapshots(spark, path))
     time = at("2025-08-15 10:00:00.123456")
     assert rows_of(flat, "collected_at", "vehicle_id", "line_code", "lat", "lon", "position_at") == [
-        (time, 11526, "8000-10", -23.5, -46.6, at("2025-08-15 13:00:00")),
-        (time, 11974, "8000-10", -23.5, -46.6, at("2025-08-15 13:00:00")),
-        (time, 7, "9000-10", -23.5, -46.6, None),
+        (time, 40217, "7281-21", -23.5, -46.6, at("2025-08-15 13:00:00")),
+        (time, 40533, "7281-21", -23.5, -46.6, at("2025-08-15 13:00:00")),
+        (time, 7, "6312-21", -23.5, -46.6, None),
     ]
     assert flat.select("ordinal").distinct().count() == 3
     local = snapshots.flatten_positions(
         snapshots.read_position_snapshots(spark, path), gps_zone="America/Sao_Paulo"
     )
-    assert local.where("vehicle_id = 11526").first()["position_at"] == at("2025-08-15 10:00:00")
+    assert local.where("vehicle_id = 40217").first()["position_at"] == at("2025-08-15 10:00:00")
 
 
 def test_only_target_lines(spark, tmp_path):
@@ -59,14 +59,14 @@ def test_only_target_lines(spark, tmp_path):
         {
             "collected_at": "2025-08-15 10:00:00",
             "l": [
-                {"c": "8000-10", "vs": [vehicle(1), vehicle(2)]},
-                {"c": "9000-10", "vs": [vehicle(3)]},
+                {"c": "7281-21", "vs": [vehicle(1), vehicle(2)]},
+                {"c": "6312-21", "vs": [vehicle(3)]},
                 {"c": None, "vs": [vehicle(4)]},
             ],
         },
     )
     catalog = spark.createDataFrame(
-        [(2160, "8000", 10, "a", "b"), (2161, "9000", 10, "a", "b"), (2162, None, 10, "a", "b")],
+        [(2160, "7281", 21, "a", "b"), (2161, "6312", 21, "a", "b"), (2162, None, 21, "a", "b")],
         schemas.LINE_CATALOG,
     )
     landed = snapshots.read_position_snapshots(spark, path)
@@ -82,15 +82,15 @@ def test_flatten_predictions(spark, tmp_path):
         "a.json",
         {
             "collected_at": "2025-08-15 10:00:00",
-            "line_id": 2411,
-            "ps": [{"cp": 5001, "vs": [{"p": 1001, "t": "10:15"}, {"p": "1002", "t": "10:20"}]}, {"cp": 5002}],
+            "line_id": 905,
+            "ps": [{"cp": 661, "vs": [{"p": 311, "t": "10:15"}, {"p": "312", "t": "10:20"}]}, {"cp": 662}],
         },
         {"collected_at": "2025-08-15 10:00:00", "line_id": 2412, "ps": None},
     )
     flat = snapshots.flatten_predictions(snapshots.read_prediction_snapshots(spark, path))
     assert rows_of(flat, "line_id", "vehicle_id", "stop_id", "predicted_at") == [
-        (2411, 1001, 5001, "10:15"),
-        (2411, 1002, 5001, "10:20"),
+        (905, 311, 661, "10:15"),
+        (905, 312, 661, "10:20"),
     ]
 
 
@@ -124,20 +124,20 @@ def test_catalog(spark, tmp_path):
 
 
 def test_reports(spark, tmp_path):
-    (tmp_path / "completeness.txt").write_text("8000-10|100|0.85\n9000-10|50|0.5\n")
-    (tmp_path / "centroids.txt").write_text("8000-10|-23.5|-46.6|396\n")
-    (tmp_path / "metrics.csv").write_text("line,lat,lon,n\n8000-10,-23.5,-46.6,396\n")
-    (tmp_path / "gps.csv").write_text("1|2025-08-14 17:43:11|11526|8000-10|-23.5|-46.6|2025-08-14T20:43:03Z\n")
+    (tmp_path / "completeness.txt").write_text("7281-21|100|0.85\n6312-21|50|0.5\n")
+    (tmp_path / "centroids.txt").write_text("7281-21|-23.5|-46.6|396\n")
+    (tmp_path / "metrics.csv").write_text("line,lat,lon,n\n7281-21,-23.5,-46.6,396\n")
+    (tmp_path / "gps.csv").write_text("1|2025-08-14 17:43:11|40217|7281-21|-23.5|-46.6|2025-08-14T20:43:03Z\n")
     path = str(tmp_path)
     assert rows_of(files.read_completeness_report(spark, f"{path}/completeness.txt")) == [
-        ("8000-10", 100, 85.0),
-        ("9000-10", 50, 50.0),
+        ("6312-21", 50, 50.0),
+        ("7281-21", 100, 85.0),
     ]
-    line = [("8000-10", -23.5, -46.6, 396)]
+    line = [("7281-21", -23.5, -46.6, 396)]
     assert rows_of(files.read_centroid_report(spark, f"{path}/centroids.txt")) == line
     assert rows_of(files.read_line_metrics(spark, f"{path}/metrics.csv")) == line
     assert rows_of(files.read_gps_sample(spark, f"{path}/gps.csv")) == [
-        (1, at("2025-08-14 17:43:11"), 11526, "8000-10", -23.5, -46.6, at("2025-08-14 20:43:03"))
+        (1, at("2025-08-14 17:43:11"), 40217, "7281-21", -23.5, -46.6, at("2025-08-14 20:43:03"))
     ]
     for read in (files.read_completeness_report, files.read_centroid_report, files.read_line_metrics):
         assert read(spark, f"{path}/absent").count() == 0

@@ -2,16 +2,12 @@ from __future__ import annotations
 
 import json
 
-from fleetlake import schemas
 from fleetlake.operators import quality
 from fleetlake.sources import snapshots
-from fleetlake.sources.layers import read_table
-from fleetlake.streaming.ingest import (
-    bronze_stream,
-    snapshot_stream,
-    stream_ingest,
-    stream_quarantine,
-)
+from fleetlake.plans import daily
+from fleetlake.plans.append import idempotent_append
+from fleetlake.sources.layers import Lake, read_table
+from fleetlake.streaming.ingest import flat_stream, snapshot_stream, start_stream, stream_ingest, stream_path, take_in
 from tests.conftest import at, rows_of
 
 
@@ -20,35 +16,54 @@ def land(folder, name, *documents):
     (folder / name).write_text("\n".join(json.dumps(d) for d in documents))
 
 
-def positions(time, *vehicles, line="8000-10"):
+def positions(time, *vehicles, line="7281-21"):
     vs = [{"p": p, "py": lat, "px": -46.6, "ta": "2025-08-15T13:00:00Z"} for p, lat in vehicles]
     return {"collected_at": time, "l": [{"c": line, "vs": vs}]}
 
 
 def ingest(spark, tmp_path, table, **options):
-    query = stream_ingest(
-        spark,
-        str(tmp_path / "landing"),
-        str(tmp_path / "bronze"),
-        str(tmp_path / "checkpoint"),
-        table,
-        **options,
-    )
-    query.awaitTermination()
-    return read_table(spark, str(tmp_path / "bronze"), table)
+    lake = Lake(str(tmp_path / "lake"))
+    stream_ingest(spark, str(tmp_path / "landing"), lake, str(tmp_path / "checkpoint"), table, **options)
+    return read_table(spark, lake.path("bronze", table), table)
 
 
 def test_stream_equals_batch(spark, tmp_path):
     landing = tmp_path / "landing"
     land(landing, "a.json", positions("2025-08-15 10:00:00", (1, -23.5), (2, -23.6), (1, -23.5)))
     land(landing, "b.json", positions("2025-08-15 10:05:00", (1, -23.5), (3, 100.0)))
-    land(landing, "c.json", positions("2025-08-16 00:05:00", (1, -23.5), line="other"))
+    land(landing, "c.json", positions("2025-08-16 02:05:00", (1, -23.5), line="other"))
+    (landing / "d.json").write_text('{"collected_at": "2025-08-15 10:00:00", "l"')
     stored = ingest(spark, tmp_path, "positions")
-    batch = snapshots.flatten_positions(snapshots.read_position_snapshots(spark, str(landing)))
-    expected = batch.where("lat < 90").dropDuplicates(schemas.POSITIONS_KEY)
-    columns = [c for c in schemas.POSITIONS.names if c != "id"]
-    assert rows_of(stored, *columns) == rows_of(expected, *columns)
-    assert stored.count() == 4
+    batch = Lake(str(tmp_path / "batch"))
+    landed = snapshots.read_position_snapshots(spark, str(landing))
+    rows = snapshots.flatten_positions(landed)
+    done = daily.store_batch(spark, batch, "positions", rows, "r", snapshots.unreadable_documents(landed))
+    assert done == {"landed": 6, "added": 3, "duplicates": 1, "outside_hours": 1, "quarantined": 1}
+    assert rows_of(stored) == rows_of(read_table(spark, batch.path("bronze", "positions"), "positions"))
+    for folder in ("positions", "documents/positions"):
+        both = [spark.read.parquet(f"{tmp_path}/{lake}/quarantine/{folder}").drop("run") for lake in ("lake", "batch")]
+        assert rows_of(both[0]) == rows_of(both[1]) and both[0].count() == 1
+
+
+def test_batch_jobs_work_after_a_stream(spark, tmp_path, make_positions):
+    land(tmp_path / "landing", "a.json", positions("2025-08-15 10:00:00", (1, -23.5), (2, -23.6)))
+    lake = Lake(str(tmp_path / "lake"))
+    assert ingest(spark, tmp_path, "positions").count() == 2
+    bronze = lake.path("bronze", "positions")
+    again = make_positions((None, "2025-08-15 10:00:00", 1, "A", 0.0, 0.0), (None, "2025-08-16 10:00:00", 1, "A", 0.0, 0.0))
+    assert idempotent_append(again, bronze, "positions") == 1
+    assert read_table(spark, bronze, "positions").count() == 3
+    assert daily.purge_table(spark, lake, "positions", at("2025-08-22 12:00:00")) == 2
+    assert read_table(spark, bronze, "positions").count() == 1
+
+
+def test_a_sink_left_by_a_broken_call_is_taken_in(spark, tmp_path):
+    land(tmp_path / "landing", "a.json", positions("2025-08-15 10:00:00", (1, -23.5)))
+    lake = Lake(str(tmp_path / "lake"))
+    sink = stream_path(lake, "positions")
+    start_stream(spark, str(tmp_path / "landing"), sink, str(tmp_path / "checkpoint"), "positions").awaitTermination()
+    assert ingest(spark, tmp_path, "positions").count() == 1
+    assert take_in(spark, lake, "positions") == {}
 
 
 def test_restart_takes_new_files_only(spark, tmp_path):
@@ -67,9 +82,9 @@ def test_target_lines_in_the_stream(spark, tmp_path):
         tmp_path / "landing",
         "a.json",
         positions("2025-08-15 10:00:00", (1, -23.5)),
-        positions("2025-08-15 10:00:00", (2, -23.5), line="9000-10"),
+        positions("2025-08-15 10:00:00", (2, -23.5), line="6312-21"),
     )
-    codes = spark.createDataFrame([("9000-10",)], "line_code string")
+    codes = spark.createDataFrame([("6312-21",)], "line_code string")
     assert rows_of(ingest(spark, tmp_path, "positions", codes=codes), "vehicle_id") == [(2,)]
 
 
@@ -101,9 +116,9 @@ def test_freshness_of_the_sink(spark, tmp_path):
 
 def test_stream_is_a_stream(spark, tmp_path):
     (tmp_path / "landing").mkdir()
-    rows = bronze_stream(snapshot_stream(spark, str(tmp_path / "landing"), "positions"), "positions")
+    rows = flat_stream(snapshot_stream(spark, str(tmp_path / "landing"), "positions"), "positions")
     assert rows.isStreaming
-    assert rows.columns == [*schemas.POSITIONS.names, "dt"]
+    assert {"collected_at", "vehicle_id", "unreadable", "document", "reason"} <= set(rows.columns)
 
 
 def late_snapshots(spark, tmp_path, **options):
@@ -114,12 +129,8 @@ def late_snapshots(spark, tmp_path, **options):
     return [str(r[0]) for r in rows_of(stored, "collected_at")]
 
 
-def test_rows_beyond_the_late_limit_do_not_pass(spark, tmp_path):
-    assert late_snapshots(spark, tmp_path) == ["2025-08-15 10:00:00", "2025-08-15 10:05:00"]
-
-
-def test_without_a_late_limit_no_row_is_late(spark, tmp_path):
-    assert late_snapshots(spark, tmp_path, late_limit=None) == [
+def test_no_row_is_late(spark, tmp_path):
+    assert late_snapshots(spark, tmp_path) == [
         "2025-08-01 10:00:00",
         "2025-08-15 10:00:00",
         "2025-08-15 10:05:00",
@@ -128,9 +139,6 @@ def test_without_a_late_limit_no_row_is_late(spark, tmp_path):
 
 def test_rejects_go_to_quarantine(spark, tmp_path):
     land(tmp_path / "landing", "a.json", positions("2025-08-15 10:00:00", (1, -23.5), (0, 100.0), (3, None)))
-    sink = str(tmp_path / "quarantine")
-    stream_quarantine(
-        spark, str(tmp_path / "landing"), sink, str(tmp_path / "quarantine_checkpoint"), "positions"
-    ).awaitTermination()
-    assert rows_of(spark.read.parquet(sink), "vehicle_id", "reasons") == [(0, "vehicle;lat;"), (3, "lat;")]
     assert rows_of(ingest(spark, tmp_path, "positions"), "vehicle_id") == [(1,)]
+    refused = spark.read.parquet(str(tmp_path / "lake/quarantine/positions"))
+    assert rows_of(refused, "vehicle_id", "reasons") == [(0, "vehicle;lat;"), (3, "lat;")]
