@@ -10,8 +10,10 @@ A new batch's array is merged with the levels that exist. Levels of equal size m
 one of twice the size, like the digits of a binary counter, so an entry moves as often as
 the logarithm of the number of batches. In the merged order equal seeds are neighbours:
 those are the matches of at least ``SEED`` bytes. Where a whole stretch occurs again, all its
-strings are repeats; where only the seed does, the strings of the stretch are compared by
-128-bit digests. So the result is exact, up to collisions of 128-bit digests.
+strings are repeats. Where only the seed does, up to ``FEW`` different stretches of a seed are
+laid over each other at the anchor: how far each pair agrees to both sides gives the strings
+they share. Of seeds with more, the strings are compared by 128-bit digests instead. So the
+result is exact, up to collisions of digests.
 
 Defined results: null counts as empty; texts shorter than ``LENGTH`` bytes lose nothing; a
 repeated row repeats all its strings; overlaps inside one document count; an empty table
@@ -36,6 +38,8 @@ SEED = 32
 BATCHES = 4
 #: Words of the filter that thins out what cannot match before a shuffle; it stays this size.
 FILTER_WORDS = 1 << 18
+#: Different stretches of a seed that are compared byte by byte in one task, at most.
+FEW = 64
 
 _PLACE = np.uint64((1 << 28) - 1)
 
@@ -184,36 +188,100 @@ def thinned(df: DataFrame, keys: DataFrame, key: Column, words: int = FILTER_WOR
     return kept.where("shiftrightunsigned(__bits, __bit) & 1 = 1").drop("__word", "__bit", "__bits")
 
 
-def _digest_rows(batches):
-    """128-bit digests of the strings of the stretches beside each text."""
+EDGE = "seed long, start int, strings int, ahead int, few boolean"
+PART = f"k1 long, k2 long, {EDGE}, bytes binary, d1 long, d2 long"
+
+
+def _edge_parts(batches):
+    """From the texts with their edge stretches: bytes of stretches, or digests of strings."""
     for batch in batches:
-        k1, k2, text, starts, strings = (
-            batch.column(batch.schema.get_field_index(c)) for c in ("k1", "k2", "text", "starts", "strings")
-        )
+        k1, k2, text, edges = (batch.column(batch.schema.get_field_index(c)) for c in ("k1", "k2", "text", "edges"))
         data, bounds = text_buffer(text)
         raw = memoryview(np.ascontiguousarray(data))
-        at = np.asarray(starts.offsets)
-        first, count = np.asarray(starts.values).astype(np.int64), np.asarray(strings.values).astype(np.int64)
-        for r in range(len(text)):
-            a, b = at[r] - at[0], at[r + 1] - at[0]
-            begin, n = first[at[r] : at[r + 1]], count[at[r] : at[r + 1]]
-            if b == a:
-                continue
-            place = np.unique(np.repeat(begin, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n))
-            where = (place + bounds[r]).tolist()
-            digests = b"".join([xxhash.xxh3_128_digest(raw[p : p + LENGTH]) for p in where])
+        at = np.asarray(edges.offsets)
+        inner = edges.flatten()
+        seed, start, strings, ahead, few = (inner.field(c) for c in ("seed", "start", "strings", "ahead", "few"))
+        owner = np.repeat(np.arange(len(text)), np.diff(at))
+        begin = start.to_numpy().astype(np.int64) + bounds[owner]
+        count = strings.to_numpy().astype(np.int64)
+        is_few = few.to_numpy(zero_copy_only=False)
+        small = np.flatnonzero(is_few)
+        for rows in np.array_split(small, max(1, len(small) // 5000)):
+            take = pa.array(rows)
+            texts = [bytes(raw[a:b]) for a, b in zip(begin[rows].tolist(), (begin + count + LENGTH - 1)[rows].tolist(), strict=True)]
+            none = pa.nulls(len(rows), pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [
+                    k1.take(pa.array(owner[rows])), k2.take(pa.array(owner[rows])), seed.take(take), start.take(take),
+                    strings.take(take), ahead.take(take), few.take(take), pa.array(texts, pa.binary()), none, none,
+                ],
+                _PART_NAMES,
+            )
+        for r in np.unique(owner[~is_few]).tolist():
+            own = np.flatnonzero((owner == r) & ~is_few)
+            n = count[own]
+            place = np.unique(np.repeat(begin[own], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n))
+            digests = b"".join([xxhash.xxh3_128_digest(raw[p : p + LENGTH]) for p in place.tolist()])
             pair = np.frombuffer(digests, np.int64).reshape(-1, 2)
-            rows = pa.array(np.full(len(where), r))
+            rows = pa.array(np.full(len(place), r))
+            one, no = pa.array(np.ones(len(place), np.int32)), pa.array(np.zeros(len(place), bool))
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(np.ascontiguousarray(pair[:, 0])),
-                    pa.array(np.ascontiguousarray(pair[:, 1])),
-                    k1.take(rows),
-                    k2.take(rows),
-                    pa.array(place.astype(np.int32)),
+                    k1.take(rows), k2.take(rows), pa.nulls(len(place), pa.int64()),
+                    pa.array((place - bounds[r]).astype(np.int32)), one, pa.nulls(len(place), pa.int32()), no,
+                    pa.nulls(len(place), pa.binary()),
+                    pa.array(np.ascontiguousarray(pair[:, 0])), pa.array(np.ascontiguousarray(pair[:, 1])),
                 ],
-                ["d1", "d2", "k1", "k2", "place"],
-            )
+                _PART_NAMES,
+            )
+
+
+_PART_NAMES = [field.split()[0] for field in PART.split(", ")]
+
+
+def shared_strings(stretches: list[tuple[bytes, int, int]]) -> list[list[tuple[int, int]]]:
+    """For stretches ``(bytes, strings, ahead)`` of one seed, the runs of strings that another has too.
+
+    A string that begins o bytes before the anchor is shared if the bytes agree for o to the
+    left and ``LENGTH - o`` to the right; runs are given as first place and number.
+    """
+    n = len(stretches)
+    count = np.array([s[1] for s in stretches])
+    ahead = np.array([s[2] for s in stretches])
+    # Unequal fillers end every comparison at the end of a stretch.
+    left = np.arange(n, dtype=np.int16)[:, None] + np.full((n, LENGTH + 1), 256, np.int16)
+    right = np.arange(n, dtype=np.int16)[:, None] + np.full((n, LENGTH + 1), 256, np.int16)
+    for k, (text, _, a) in enumerate(stretches):
+        data = np.frombuffer(text, np.uint8)
+        left[k, :a] = data[:a][::-1]
+        right[k, : len(data) - a] = data[a:][:LENGTH]
+    low = ahead - count + 1
+    out = []
+    for k in range(n):
+        reach_left = (left != left[k]).argmax(axis=1)
+        reach_right = (right != right[k]).argmax(axis=1)
+        reach_left[k] = reach_right[k] = 0
+        first = np.maximum(np.maximum(LENGTH - reach_right, low), low[k])
+        last = np.minimum(np.minimum(reach_left, ahead), ahead[k])
+        runs = [(int(ahead[k] - b), int(b - a + 1)) for a, b in zip(first, last, strict=True) if b >= a]
+        runs = [r for j, r in enumerate(runs) if r not in runs[:j]]
+        out.append(runs)
+    return out
+
+
+def _compared(batches):
+    """Runs of shared strings from the groups of a few stretches, one seed a row."""
+    for batch in batches:
+        rows = []
+        for group in batch.column(0).to_pylist():
+            found = shared_strings([(g["bytes"], g["strings"], g["ahead"]) for g in group])
+            for g, runs in zip(group, found, strict=True):
+                rows += [(g["k1"], g["k2"], g["start"] + first, n) for first, n in runs]
+        columns = list(zip(*rows, strict=True)) or [[], [], [], []]
+        types = (pa.int64(), pa.int64(), pa.int32(), pa.int32())
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(c, t) for c, t in zip(columns, types, strict=True)], ["k1", "k2", "start", "strings"]
+        )
 
 
 def repeated_strings(docs: DataFrame, batches: int = BATCHES) -> DataFrame:
@@ -231,26 +299,34 @@ def repeated_strings(docs: DataFrame, batches: int = BATCHES) -> DataFrame:
     likely = thinned(entries.drop("batch"), seeds_, F.col("seed")).join(seeds_, "seed", "left_semi")
     likely = staged(likely, scratch_path(spark, "likely"))
     stretches = likely.groupBy("seed", "stretch").agg(
-        F.count("*").alias("n"), F.min(F.struct("k1", "k2", "start", "strings")).alias("one")
+        F.count("*").alias("n"), F.min(F.struct("k1", "k2", "start", "strings", "ahead")).alias("one")
     )
     stretches = staged(stretches, scratch_path(spark, "stretches"))
     whole = likely.join(stretches.where("n > 1").select("seed", "stretch"), ["seed", "stretch"], "left_semi")
     whole = whole.select("k1", "k2", "start", F.col("strings").cast("int").alias("strings"))
-    # One copy of each stretch that differs from another of its seed is looked at string by string.
-    mixed_seeds = stretches.groupBy("seed").agg(F.count("*").alias("kinds")).where("kinds > 1").select("seed")
-    edge = stretches.join(mixed_seeds, "seed", "left_semi").select("one.*", "n")
-    per_text = edge.groupBy("k1", "k2").agg(
-        F.collect_list(F.struct("start", "strings")).alias("runs")
-    ).select("k1", "k2", F.col("runs.start").alias("starts"), F.col("runs.strings").alias("strings"))
+    # One copy of each stretch that differs from another of its seed is compared.
+    mixed_seeds = stretches.groupBy("seed").agg(F.count("*").alias("kinds")).where("kinds > 1")
+    edges = stretches.join(mixed_seeds, "seed").select(
+        "one.k1", "one.k2",
+        F.struct(
+            "seed", "one.start", F.col("one.strings").cast("int").alias("strings"),
+            F.col("one.ahead").cast("int").alias("ahead"), (F.col("kinds") <= FEW).alias("few"),
+        ).alias("edge"),
+    )
+    per_text = edges.groupBy("k1", "k2").agg(F.collect_list("edge").alias("edges"))
     per_text = staged(per_text, scratch_path(spark, "edges"))
-    strings = _with_texts(docs, per_text).mapInArrow(
-        _digest_rows, "d1 long, d2 long, k1 long, k2 long, place int"
+    parts = _with_texts(docs, per_text).dropDuplicates(["k1", "k2"]).mapInArrow(_edge_parts, PART)
+    parts = staged(parts, scratch_path(spark, "edge-parts"))
+    # At most FEW stretches of LENGTH bytes and some meet here.
+    groups = parts.where("few").groupBy("seed").agg(
+        F.collect_list(F.struct("k1", "k2", "start", "strings", "ahead", "bytes")).alias("group")
     )
-    strings = staged(strings, scratch_path(spark, "strings"))
+    compared = groups.select("group").mapInArrow(_compared, "k1 long, k2 long, start int, strings int")
+    strings = parts.where("not few").select("d1", "d2", "k1", "k2", "start")
     twice = strings.groupBy("d1", "d2").agg(F.count("*").alias("n")).where("n > 1").select("d1", "d2")
-    single = strings.join(twice, ["d1", "d2"], "left_semi")
-    single = single.select("k1", "k2", F.col("place").alias("start"), F.lit(1).alias("strings"))
-    runs = whole.unionByName(single).groupBy("k1", "k2").agg(F.collect_list(F.struct("start", "strings")).alias("runs"))
+    single = strings.join(twice, ["d1", "d2"], "left_semi").select("k1", "k2", "start", F.lit(1).alias("strings"))
+    runs = whole.unionByName(compared).unionByName(single)
+    runs = runs.groupBy("k1", "k2").agg(F.collect_list(F.struct("start", "strings")).alias("runs"))
     return runs.select("k1", "k2", F.col("runs.start").alias("starts"), F.col("runs.strings").alias("strings"))
 
 
