@@ -19,53 +19,86 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from fleetlake.llm.bpe import byte_alphabet
 from fleetlake.llm.common import CHUNK, as_long, chunks, text_buffer
 from fleetlake.session import scratch_path
 
-#: Distinct words a worker remembers before it starts anew.
+#: Distinct words, and distinct pieces of them, that a worker remembers before it starts anew.
 REMEMBERED = 400_000
-SCHEMA = "doc_id long, file int, place long, ids array<int>"
+SCHEMA = "doc_id long, file int, place long, n int, ids array<int>"
+
+# Fixed value: the file's split pattern.
+SPLIT = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+#: Characters that the normalizer changes to lower case and in no other way.
+SIMPLE = regex.compile("[!-~\u00a1-\u012f\u0131-\u0148\u014a-\u017f]*")
 
 
 class WordEncoder:
     """The tokenizers library on distinct words.
 
     The normalizer turns white space into spaces and the splitter drops it, so what stands
-    between two spaces or line ends is encoded the same wherever it occurs. Texts that hold
-    the string of an added token go through the library whole.
+    between two spaces or line ends is encoded the same wherever it occurs. Each distinct
+    one is normalized and split, and each distinct piece goes through the library's merges
+    once; ids are kept as little-endian bytes. Texts that hold the string of an added token
+    go through the library whole.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
+        self.library.no_truncation()
+        self.library.no_padding()
         self.added = [t.content for t in self.library.get_added_tokens_decoder().values()]
-        self.known: dict[str, tuple[int, ...]] = {"": ()}
-
-    def encode_all(self, texts: list[str]) -> list[list[int]]:
+        alphabet = {byte: char for char, byte in byte_alphabet().items()}
+        self.byte_chars = [alphabet[b] for b in range(256)]
+        self.known: dict[str, bytes] = {"": b""}
+        self.pieces: dict[str, bytes] = {}
+
+    def _piece(self, piece: str) -> bytes:
+        """Ids of a normalized piece, one character per byte."""
+        ids = self.pieces.get(piece)
+        if ids is None:
+            ids = self.pieces[piece] = packed([t.id for t in self.library.model.tokenize(piece)])
+        return ids
+
+    def _word(self, word: str) -> bytes:
+        if any(a in word for a in self.added):
+            return packed(self.library.encode(word, add_special_tokens=False).ids)
+        if SIMPLE.fullmatch(word):
+            chars = self.byte_chars
+            parts = SPLIT.findall(word.lower())
+            return b"".join([self._piece(p if p.isascii() else "".join([chars[b] for b in p.encode()])) for p in parts])
+        normal = self.library.normalizer.normalize_str(word)
+        return b"".join([self._piece(p) for p, _ in self.library.pre_tokenizer.pre_tokenize_str(normal)])
+
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text, packed."""
         if len(self.known) > REMEMBERED:
-            self.known = {"": ()}
+            self.known = {"": b""}
+        if len(self.pieces) > REMEMBERED:
+            self.pieces = {}
         split = [
             [t] if any(a in t for a in self.added) else t.replace("\n", " ").split(" ") for t in texts
         ]
-        new = list(set(chain.from_iterable(split)).difference(self.known))
-        made = self.library.encode_batch_fast(new, add_special_tokens=False)
         whole = {}
-        for part, encoding in zip(new, made, strict=True):
-            (self.known if len(part) <= 64 else whole)[part] = tuple(encoding.ids)
+        for word in set(chain.from_iterable(split)).difference(self.known):
+            (self.known if len(word) <= 64 else whole)[word] = self._word(word)
         known = ChainMap(self.known, whole) if whole else self.known
-        return [list(chain.from_iterable(map(known.__getitem__, parts))) for parts in split]
+        return [b"".join(map(known.__getitem__, parts)) for parts in split]
+
+
+def packed(ids: list[int]) -> bytes:
+    return np.array(ids, "<u4").tobytes()
 
 
 @functools.lru_cache(maxsize=2)
 def load(path: str) -> WordEncoder:
-    encoder = WordEncoder(path)
-    encoder.library.no_truncation()
-    encoder.library.no_padding()
-    return encoder
+    return WordEncoder(path)
 
 
 def write_tokens(docs: DataFrame, path: str, folder: str, end_id: int, files: int | None = None) -> None:
@@ -79,24 +112,25 @@ def write_tokens(docs: DataFrame, path: str, folder: str, end_id: int, files: in
     placed = placed.withColumn("file", F.spark_partition_id())
 
     def run(batches):
-        encoder, place = load(path), 0
+        encoder, place, end = load(path), 0, packed([end_id])
         for batch in batches:
             ids, text, file = (batch.column(batch.schema.get_field_index(c)) for c in ("doc_id", "text", "file"))
             _, bounds = text_buffer(text)
             for first, last in chunks(bounds, CHUNK):
                 texts = [t or "" for t in text.slice(first, last - first).to_pylist()]
                 lists = encoder.encode_all(texts)
-                sizes = np.array([len(x) + 1 for x in lists])
-                flat = np.fromiter(chain.from_iterable(x + [end_id] for x in lists), np.int32, int(sizes.sum()))
+                sizes = np.array([len(x) // 4 + 1 for x in lists])
+                flat = pa.array(np.frombuffer(end.join(lists) + end, "<i4"))
                 ends = np.cumsum(sizes)
                 yield pa.RecordBatch.from_arrays(
                     [
                         ids.slice(first, last - first),
                         file.slice(first, last - first),
                         pa.array(place + ends - sizes),
+                        pa.array(sizes.astype(np.int32)),
                         pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]).astype(np.int32)), flat),
                     ],
-                    ["doc_id", "file", "place", "ids"],
+                    ["doc_id", "file", "place", "n", "ids"],
                 )
                 place += int(ends[-1])
 
@@ -114,7 +148,7 @@ def write_tokens(docs: DataFrame, path: str, folder: str, end_id: int, files: in
 def read_tokens(spark: SparkSession, folder: str) -> DataFrame:
     """The stored rows with ``start``, the number of ids of all rows before each."""
     rows = spark.read.schema(SCHEMA).orc(folder)
-    totals = rows.groupBy("file").agg(F.sum(F.size("ids").cast("long")).alias("n"))
+    totals = rows.groupBy("file").agg(F.sum("n").alias("n"))
     before = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
     # One row per file that was written, so this window and the broadcast stay small.
     starts = totals.select("file", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
