@@ -11,6 +11,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from fleetlake.session import scratch_path, staged
+from fleetlake.sources.paths import remove
+
 #: Bytes of text that numpy works on at a time; a longer document makes a chunk alone.
 CHUNK = 1 << 20
 #: Words of a shingle.
@@ -157,5 +160,24 @@ def slices(column: pa.Array, limit: int = CHUNK) -> Iterator[tuple[int, int, np.
         yield first, last, data[part[0] : part[-1]], part - part[0]
 
 
+class Scratch:
+    """Tables in the shared folder that a job writes on its way, dropped once nothing needs them."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self._paths: dict[int, tuple[DataFrame, str]] = {}
+
+    def keep(self, df: DataFrame, name: str) -> DataFrame:
+        """``df`` written and read back."""
+        path = scratch_path(self.spark, name)
+        written = staged(df, path)
+        self._paths[id(written)] = written, path
+        return written
+
+    def drop(self, *tables: DataFrame) -> None:
+        for one in tables:
+            remove(self.spark, self._paths.pop(id(one))[1])
+
+
 def as_long(values: np.ndarray) -> pa.Array:
     return pa.array(values.view(np.int64))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fleetlake.session import scratch_path, staged
+from fleetlake.llm.common import Scratch
 
 
 def _stars(edges: DataFrame) -> DataFrame:
@@ -23,20 +23,22 @@ def components(edges: DataFrame) -> DataFrame:
     logarithm of the longest path. A hub's links meet only in an aggregation with partial
     sums and in a join that can be split. Rounds are cut by tables in the shared folder.
     """
-    spark = edges.sparkSession
     edges = edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
-    edges = staged(edges, scratch_path(spark, "links"))
+    scratch = Scratch(edges.sparkSession)
+    edges = scratch.keep(edges, "links")
     mark = None
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         large = both.join(_stars(both).withColumnRenamed("node", "u"), "u")
         large = large.where("v > u").select(F.col("v").alias("u"), F.col("least").alias("v"))
-        large = staged(large.where("u <> v").distinct(), scratch_path(spark, "links"))
+        large = scratch.keep(large.where("u <> v").distinct(), "links")
+        scratch.drop(edges)
         small = large.join(_stars(large).withColumnRenamed("node", "u"), "u")
         small = small.select(F.col("v").alias("u"), F.col("least").alias("v")).unionByName(
             _stars(large).select(F.col("node").alias("u"), F.col("least").alias("v"))
         )
-        edges = staged(small.where("u <> v").distinct(), scratch_path(spark, "links"))
+        edges = scratch.keep(small.where("u <> v").distinct(), "links")
+        scratch.drop(large)
         found = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if found == mark:
             break
