@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fleetlake.functions import minutes_between
+from fleetlake.operators.quantiles import exact_quantiles
 
 # Fixed value: a gap above this many minutes means that collections were lost.
 LOSS_MINUTES = 10
@@ -39,19 +40,18 @@ def external_time_match(rows: DataFrame, references: DataFrame) -> DataFrame:
 def external_gap_stats(matched: DataFrame, loss_minutes: float = LOSS_MINUTES) -> DataFrame:
     """Count, mean, sample deviation, extremes and quartiles of the gap in minutes.
 
-    The quartiles are interpolated and exact, from whole-table ``percentile``: give it
-    the recent rows of a line, as the report does.
+    The quartiles are interpolated and exact; they come from ranges of the ordered gaps,
+    whatever their number.
     """
-    gap = F.abs(minutes_between(F.col("ref_at"), F.col("collected_at")))
+    gaps = matched.select(F.abs(minutes_between(F.col("ref_at"), F.col("collected_at"))).alias("g"))
     g = F.col("g")
-    return matched.select(gap.alias("g")).agg(
+    quartiles = [F.lit(q).cast("double") for q in exact_quantiles(gaps, "g", (0.25, 0.5, 0.75))]
+    return gaps.agg(
         F.count(g).alias("n"),
         F.round(F.avg(g), 6).alias("mean"),
         F.round(F.stddev_samp(g), 6).alias("std"),
         F.min(g).alias("min"),
-        F.round(F.percentile(g, 0.25), 6).alias("p25"),
-        F.round(F.percentile(g, 0.5), 6).alias("p50"),
-        F.round(F.percentile(g, 0.75), 6).alias("p75"),
+        *[F.round(q, 6).alias(name) for q, name in zip(quartiles, ("p25", "p50", "p75"), strict=True)],
         F.max(g).alias("max"),
         F.count_if(g > loss_minutes).alias("over_10"),
     )

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import Column, DataFrame, Observation, Row
 from pyspark.sql import functions as F
 
 from fleetlake.session import scratch_path, staged
@@ -30,14 +30,13 @@ def hot_keys(df: DataFrame, keys: Sequence[str], min_rows: int = MIN_HOT_ROWS) -
 
     With T tasks a key is hot above total/T rows, so there are fewer than T of them:
     the list that reaches the driver is bounded by the task count, not by the data.
-    Counting combines on the map side and reads the key columns only. It is left out
-    where the planner's estimate is below a few bytes per row of the smallest hot key.
+    Counting combines on the map side and reads the key columns only.
     """
-    if estimated_bytes(df.select(*keys)) < 8 * min_rows:
+    total = df.count()
+    if total < min_rows:
         return []
     tasks = task_count(df)
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    total = counts.agg(F.sum("_n")).scalar()
     heavy = counts.where((F.col("_n") >= min_rows) & (F.col("_n") * tasks > total))
     return heavy.select(
         *keys, F.ceil(F.col("_n") * F.lit(2 * tasks) / total).cast("int").alias("_splits")
@@ -52,10 +51,18 @@ def hot_table(df: DataFrame, keys: Sequence[str], rows: list[Row]) -> DataFrame:
     return F.broadcast(df.sparkSession.createDataFrame(rows, schema))
 
 
+def row_bytes(df: DataFrame) -> Column:
+    """About what a row takes in memory: a word per column, and the bytes of texts."""
+    size = F.lit(8 * len(df.columns))
+    for name, kind in df.dtypes:
+        if kind == "string":
+            size = size + F.coalesce(F.octet_length(name), F.lit(0))
+    return size.cast("bigint")
+
+
 def measured_bytes(df: DataFrame) -> int:
-    """Size of the rows as text, summed where they lie."""
-    size = F.octet_length(F.to_json(F.struct("*"))).cast("bigint")
-    return df.agg(F.coalesce(F.sum(size), F.lit(0))).first()[0]
+    """Size of the rows, summed where they lie."""
+    return df.agg(F.coalesce(F.sum(row_bytes(df)), F.lit(0))).first()[0]
 
 
 def broadcast_if_small(df: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
@@ -79,18 +86,17 @@ def left_join_unique(
 ) -> DataFrame:
     """Left join ``fact`` to a ``lookup`` that has one row per key.
 
-    For a small fact table this is the plain join. Otherwise the lookup is computed once
-    and measured. If it may be broadcast, the fact table is joined where it is read,
+    The lookup is computed once and measured while it is written. If it may be broadcast, the fact table is joined where it is read,
     without a shuffle. If not, both sides shuffle, and rows of a hot key are dealt out
     over ``_splits`` salts by a hash of ``spread_by``; only the lookup rows of hot keys
     are repeated, at most 3T rows in all. The salt is a function of the row, so a
     recomputed task deals the same way.
     """
     keys = list(keys)
-    if estimated_bytes(fact.select(*keys)) < 8 * min_rows:
-        return fact.join(lookup, keys, "left")
-    lookup = staged(lookup, scratch_path(fact.sparkSession, "lookup"))
-    if measured_bytes(lookup) <= max_broadcast_bytes:
+    counted = Observation()
+    sized = lookup.observe(counted, F.coalesce(F.sum(row_bytes(lookup)), F.lit(0)).alias("bytes"))
+    lookup = staged(sized, scratch_path(fact.sparkSession, "lookup"))
+    if counted.get["bytes"] <= max_broadcast_bytes:
         return fact.join(F.broadcast(lookup), keys, "left")
     hot = hot_keys(fact, keys, min_rows)
     if not hot:

@@ -344,16 +344,16 @@ def test_backfill_twice(spark, tmp_path, three, old_and_new):
 
 def test_lineage(spark, tmp_path):
     path = str(tmp_path / "audit")
-    assert lineage.record_run(spark, path, "test_asset", "positions", "bronze", 100, "ok", at("2025-08-15 10:00:00"))
-    assert lineage.record_run(spark, path, "test_asset", "positions", "bronze", 7, "alert", at("2025-08-15 11:00:00"))
+    assert lineage.record_run(spark, path, "collect_one", "positions", "bronze", 42, "ok", at("2025-08-15 10:00:00"))
+    assert lineage.record_run(spark, path, "collect_one", "positions", "bronze", 7, "alert", at("2025-08-15 11:00:00"))
     assert lineage.record_run(spark, path, "other", "positions", "silver", run_timestamp=at("2025-08-15 09:00:00"))
     audit = read_table(spark, path, "lineage_audit")
     recent = [tuple(r) for r in lineage.recent_runs(audit, 2).collect()]
     assert recent == [
-        ("test_asset", "bronze", 7, "alert", at("2025-08-15 11:00:00")),
-        ("test_asset", "bronze", 100, "ok", at("2025-08-15 10:00:00")),
+        ("collect_one", "bronze", 7, "alert", at("2025-08-15 11:00:00")),
+        ("collect_one", "bronze", 42, "ok", at("2025-08-15 10:00:00")),
     ]
-    assert rows_of(lineage.last_run_per_asset(audit), "asset_name", "row_count") == [("other", 0), ("test_asset", 7)]
+    assert rows_of(lineage.last_run_per_asset(audit), "asset_name", "row_count") == [("collect_one", 7), ("other", 0)]
 
 
 def test_lineage_never_raises(spark, tmp_path):

@@ -124,20 +124,20 @@ def test_catalog(spark, tmp_path):
 
 
 def test_reports(spark, tmp_path):
-    (tmp_path / "completeness.txt").write_text("7281-21|100|0.85\n6312-21|50|0.5\n")
-    (tmp_path / "centroids.txt").write_text("7281-21|-23.5|-46.6|396\n")
-    (tmp_path / "metrics.csv").write_text("line,lat,lon,n\n7281-21,-23.5,-46.6,396\n")
-    (tmp_path / "gps.csv").write_text("1|2025-08-14 17:43:11|40217|7281-21|-23.5|-46.6|2025-08-14T20:43:03Z\n")
+    (tmp_path / "completeness.txt").write_text("7281-21|64|0.75\n6312-21|20|0.25\n")
+    (tmp_path / "centroids.txt").write_text("7281-21|-23.41|-46.72|58\n")
+    (tmp_path / "metrics.csv").write_text("line,lat,lon,n\n7281-21,-23.41,-46.72,58\n")
+    (tmp_path / "gps.csv").write_text("1|2025-03-02 09:21:40|40217|7281-21|-23.5|-46.6|2025-03-02T12:20:05Z\n")
     path = str(tmp_path)
     assert rows_of(files.read_completeness_report(spark, f"{path}/completeness.txt")) == [
-        ("6312-21", 50, 50.0),
-        ("7281-21", 100, 85.0),
+        ("6312-21", 20, 25.0),
+        ("7281-21", 64, 75.0),
     ]
-    line = [("7281-21", -23.5, -46.6, 396)]
+    line = [("7281-21", -23.41, -46.72, 58)]
     assert rows_of(files.read_centroid_report(spark, f"{path}/centroids.txt")) == line
     assert rows_of(files.read_line_metrics(spark, f"{path}/metrics.csv")) == line
     assert rows_of(files.read_gps_sample(spark, f"{path}/gps.csv")) == [
-        (1, at("2025-08-14 17:43:11"), 40217, "7281-21", -23.5, -46.6, at("2025-08-14 20:43:03"))
+        (1, at("2025-03-02 09:21:40"), 40217, "7281-21", -23.5, -46.6, at("2025-03-02 12:20:05"))
     ]
     for read in (files.read_completeness_report, files.read_centroid_report, files.read_line_metrics):
         assert read(spark, f"{path}/absent").count() == 0
