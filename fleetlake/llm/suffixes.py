@@ -12,8 +12,9 @@ the logarithm of the number of batches. In the merged order equal seeds are neig
 those are the matches of at least ``SEED`` bytes. Where a whole stretch occurs again, all its
 strings are repeats. Where only the seed does, up to ``FEW`` different stretches of a seed are
 laid over each other at the anchor: how far each pair agrees to both sides gives the strings
-they share. Of seeds with more, the strings are compared by 128-bit digests instead. So the
-result is exact, up to collisions of digests.
+they share. Of seeds with more, 128-bit digests are compared: first of blocks of ``BLOCK``
+strings, then, in one copy of each different block, of the strings themselves. So the result
+is exact, up to collisions of digests.
 
 Defined results: null counts as empty; texts shorter than ``LENGTH`` bytes lose nothing; a
 repeated row repeats all its strings; overlaps inside one document count; an empty table
@@ -30,8 +31,9 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fleetlake.llm.common import mixed, powers, row_keys, slices, text_buffer
+from fleetlake.llm.common import Scratch, mixed, powers, row_keys, slices, text_buffer
 from fleetlake.session import scratch_path, staged
+from fleetlake.sources.paths import remove
 
 LENGTH = 200
 SEED = 32
@@ -40,6 +42,8 @@ BATCHES = 4
 FILTER_WORDS = 1 << 18
 #: Different stretches of a seed that are compared byte by byte in one task, at most.
 FEW = 64
+#: Strings of a block, by their distance from the anchor.
+BLOCK = 8
 
 _PLACE = np.uint64((1 << 28) - 1)
 
@@ -133,8 +137,8 @@ class IndexFamily:
     A level is a table ``seed, n`` in the order of its seeds: how many suffixes begin so.
     """
 
-    def __init__(self, spark):
-        self.spark = spark
+    def __init__(self, scratch: Scratch):
+        self.scratch = scratch
         self.levels: list[tuple[int, DataFrame]] = []
         self.matches: list[DataFrame] = []
 
@@ -150,8 +154,10 @@ class IndexFamily:
             merged = level.select("seed", "n").unionByName(new.select("seed", "n"))
             merged = merged.groupBy("seed").agg(F.sum("n").alias("n"), F.count("*").alias("sides"))
             if level_size == size and scanned == len(self.levels) - 1:
+                older = new
                 new, size = self._stored(merged), size * 2
                 self.levels.pop()
+                self.scratch.drop(older, level)
                 self.matches.append(self._found(new.where("sides > 1").select("seed")))
             else:
                 self.matches.append(self._found(merged.where("sides > 1").select("seed")))
@@ -162,13 +168,21 @@ class IndexFamily:
         out = self.matches[0]
         for found in self.matches[1:]:
             out = out.unionByName(found)
-        return staged(out.distinct(), scratch_path(self.spark, "repeats"))
+        out = self.scratch.keep(out.distinct(), "repeats")
+        self.scratch.drop(*self.matches)
+        self.matches = []
+        return out
+
+    def close(self) -> None:
+        """Drops the levels, once all batches are in."""
+        self.scratch.drop(*(level for _, level in self.levels))
+        self.levels = []
 
     def _found(self, seeds_: DataFrame) -> DataFrame:
-        return staged(seeds_, scratch_path(self.spark, "matches"))
+        return self.scratch.keep(seeds_, "matches")
 
     def _stored(self, level: DataFrame) -> DataFrame:
-        return staged(level.sortWithinPartitions("seed"), scratch_path(self.spark, "level"))
+        return self.scratch.keep(level.sortWithinPartitions("seed"), "level")
 
 
 def thinned(df: DataFrame, keys: DataFrame, key: Column, words: int = FILTER_WORDS) -> DataFrame:
@@ -193,7 +207,7 @@ PART = f"k1 long, k2 long, {EDGE}, bytes binary, d1 long, d2 long"
 
 
 def _edge_parts(batches):
-    """From the texts with their edge stretches: bytes of stretches, or digests of strings."""
+    """From the texts with their edge stretches: bytes of stretches, or digests of blocks and their strings."""
     for batch in batches:
         k1, k2, text, edges = (batch.column(batch.schema.get_field_index(c)) for c in ("k1", "k2", "text", "edges"))
         data, bounds = text_buffer(text)
@@ -204,6 +218,7 @@ def _edge_parts(batches):
         owner = np.repeat(np.arange(len(text)), np.diff(at))
         begin = start.to_numpy().astype(np.int64) + bounds[owner]
         count = strings.to_numpy().astype(np.int64)
+        ahead_of = ahead.to_numpy()
         is_few = few.to_numpy(zero_copy_only=False)
         small = np.flatnonzero(is_few)
         for rows in np.array_split(small, max(1, len(small) // 5000)):
@@ -217,19 +232,26 @@ def _edge_parts(batches):
                 ],
                 _PART_NAMES,
             )
-        for r in np.unique(owner[~is_few]).tolist():
-            own = np.flatnonzero((owner == r) & ~is_few)
-            n = count[own]
-            place = np.unique(np.repeat(begin[own], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n))
-            digests = b"".join([xxhash.xxh3_128_digest(raw[p : p + LENGTH]) for p in place.tolist()])
-            pair = np.frombuffer(digests, np.int64).reshape(-1, 2)
-            rows = pa.array(np.full(len(place), r))
-            one, no = pa.array(np.ones(len(place), np.int32)), pa.array(np.zeros(len(place), bool))
+        rows, first, number, digests, inside = [], [], [], [], []
+        for e in np.flatnonzero(~is_few).tolist():
+            near, far = int(ahead_of[e] - count[e] + 1), int(ahead_of[e])
+            anchor = int(begin[e]) + far
+            for low in range(near - near % BLOCK, far + 1, BLOCK):
+                close, away = max(near, low), min(far, low + BLOCK - 1)
+                place, n = anchor - away, away - close + 1
+                rows.append(owner[e])
+                first.append(place - bounds[owner[e]])
+                number.append(n)
+                digests.append(xxhash.xxh3_128_digest(raw[place : place + n + LENGTH - 1], seed=close * BLOCK * 2 + n))
+                inside.append(b"".join([xxhash.xxh3_128_digest(raw[p : p + LENGTH]) for p in range(place, place + n)]))
+        if rows:
+            take, n = pa.array(rows), len(rows)
+            pair = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
             yield pa.RecordBatch.from_arrays(
                 [
-                    k1.take(rows), k2.take(rows), pa.nulls(len(place), pa.int64()),
-                    pa.array((place - bounds[r]).astype(np.int32)), one, pa.nulls(len(place), pa.int32()), no,
-                    pa.nulls(len(place), pa.binary()),
+                    k1.take(take), k2.take(take), pa.nulls(n, pa.int64()), pa.array(first, pa.int32()),
+                    pa.array(number, pa.int32()), pa.nulls(n, pa.int32()), pa.array(np.zeros(n, bool)),
+                    pa.array(inside, pa.binary()),
                     pa.array(np.ascontiguousarray(pair[:, 0])), pa.array(np.ascontiguousarray(pair[:, 1])),
                 ],
                 _PART_NAMES,
@@ -291,13 +313,17 @@ def repeated_strings(docs: DataFrame, batches: int = BATCHES) -> DataFrame:
     batch = F.pmod(F.xxhash64("k1"), F.lit(batches)).cast("int").alias("batch")
     suffix_entries(docs).select("*", batch).write.partitionBy("batch").parquet(folder)
     entries = spark.read.schema(f"{ENTRY}, batch int").parquet(folder)
-    family = IndexFamily(spark)
+    scratch = Scratch(spark)
+    family = IndexFamily(scratch)
     for k in range(batches):
         family.add(entries.where(F.col("batch") == k))
     seeds_ = family.repeated()
+    family.close()
     # Only suffixes whose seed occurs again are shuffled, but for the filter's few mistakes.
     likely = thinned(entries.drop("batch"), seeds_, F.col("seed")).join(seeds_, "seed", "left_semi")
     likely = staged(likely, scratch_path(spark, "likely"))
+    scratch.drop(seeds_)
+    remove(spark, folder)
     stretches = likely.groupBy("seed", "stretch").agg(
         F.count("*").alias("n"), F.min(F.struct("k1", "k2", "start", "strings", "ahead")).alias("one")
     )
@@ -322,10 +348,21 @@ def repeated_strings(docs: DataFrame, batches: int = BATCHES) -> DataFrame:
         F.collect_list(F.struct("k1", "k2", "start", "strings", "ahead", "bytes")).alias("group")
     )
     compared = groups.select("group").mapInArrow(_compared, "k1 long, k2 long, start int, strings int")
-    strings = parts.where("not few").select("d1", "d2", "k1", "k2", "start")
-    twice = strings.groupBy("d1", "d2").agg(F.count("*").alias("n")).where("n > 1").select("d1", "d2")
-    single = strings.join(twice, ["d1", "d2"], "left_semi").select("k1", "k2", "start", F.lit(1).alias("strings"))
-    runs = whole.unionByName(compared).unionByName(single)
+    blocks = parts.where("not few").select("d1", "d2", "k1", "k2", "start", "strings", "bytes")
+    kinds = blocks.groupBy("d1", "d2").agg(
+        F.count("*").alias("n"), F.min(F.struct("k1", "k2", "start", "strings", "bytes")).alias("one")
+    )
+    kinds = staged(kinds.select("d1", "d2", "n", "one.*"), scratch_path(spark, "blocks"))
+    again = blocks.join(kinds.where("n > 1").select("d1", "d2"), ["d1", "d2"], "left_semi")
+    again = again.select("k1", "k2", "start", "strings")
+    strings = kinds.select(
+        "n", "k1", "k2", "start", "bytes", F.explode(F.sequence(F.lit(0), F.col("strings") - 1)).alias("i")
+    ).select(
+        "n", "k1", "k2", (F.col("start") + F.col("i")).alias("start"), F.expr("substring(bytes, 16 * i + 1, 16)").alias("digest")
+    )
+    twice = strings.groupBy("digest").agg(F.count("*").alias("times")).where("times > 1").select("digest")
+    single = strings.where("n = 1").join(twice, "digest", "left_semi").select("k1", "k2", "start", F.lit(1).alias("strings"))
+    runs = whole.unionByName(compared).unionByName(again).unionByName(single)
     runs = runs.groupBy("k1", "k2").agg(F.collect_list(F.struct("start", "strings")).alias("runs"))
     return runs.select("k1", "k2", F.col("runs.start").alias("starts"), F.col("runs.strings").alias("strings"))
 

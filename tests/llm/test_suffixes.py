@@ -45,6 +45,13 @@ def test_removals_equal_brute_force(make_docs, batches):
     assert Counter(map(tuple, found.collect())) == brute_force(rows)
 
 
+@pytest.mark.parametrize("few", [0, 3])
+def test_seeds_of_many_stretches(make_docs, monkeypatch, few):
+    monkeypatch.setattr(suffixes, "FEW", few)
+    rows = passages()
+    assert Counter(map(tuple, suffixes.removals(make_docs(*rows)).collect())) == brute_force(rows)
+
+
 def test_odd_rows(odd_docs, no_docs):
     rows = [(r.doc_id, r.text) for r in odd_docs.collect()]
     assert Counter(map(tuple, suffixes.removals(odd_docs).collect())) == brute_force(rows)
