@@ -27,8 +27,8 @@ from fleetlake.llm.bpe import byte_alphabet
 from fleetlake.llm.common import CHUNK, as_long, chunks, text_buffer
 from fleetlake.session import scratch_path
 
-#: Distinct words, and distinct pieces of them, that a worker remembers before it starts anew.
-REMEMBERED = 400_000
+#: Distinct words, and distinct pieces of them, in each of a worker's two generations of memory.
+WORDS, PIECES = 300_000, 500_000
 SCHEMA = "doc_id long, file int, place long, n int, ids array<int>"
 
 # Fixed value: the file's split pattern.
@@ -56,19 +56,22 @@ class WordEncoder:
         self.added = [t.content for t in self.library.get_added_tokens_decoder().values()]
         alphabet = {byte: char for char, byte in byte_alphabet().items()}
         self.byte_chars = [alphabet[b] for b in range(256)]
+        # What is used again moves from the older generation to the newer one.
         self.known: dict[str, bytes] = {"": b""}
+        self.older: dict[str, bytes] = {}
         self.pieces: dict[str, bytes] = {}
+        self.older_pieces: dict[str, bytes] = {}
 
     def _piece(self, piece: str) -> bytes:
         """Ids of a normalized piece, one character per byte."""
         ids = self.pieces.get(piece)
-        if ids is None:
+        if ids is None and (ids := self.older_pieces.get(piece)) is not None:
+            self.pieces[piece] = ids
+        elif ids is None:
             ids = self.pieces[piece] = packed([t.id for t in self.library.model.tokenize(piece)])
         return ids
 
     def _word(self, word: str) -> bytes:
-        if any(a in word for a in self.added):
-            return packed(self.library.encode(word, add_special_tokens=False).ids)
         if SIMPLE.fullmatch(word):
             chars = self.byte_chars
             parts = SPLIT.findall(word.lower())
@@ -78,18 +81,26 @@ class WordEncoder:
 
     def encode_all(self, texts: list[str]) -> list[bytes]:
         """Ids of each text, packed."""
-        if len(self.known) > REMEMBERED:
-            self.known = {"": b""}
-        if len(self.pieces) > REMEMBERED:
-            self.pieces = {}
-        split = [
-            [t] if any(a in t for a in self.added) else t.replace("\n", " ").split(" ") for t in texts
-        ]
-        whole = {}
+        if len(self.known) > WORDS:
+            self.older, self.known = self.known, {"": b""}
+        if len(self.pieces) > PIECES:
+            self.older_pieces, self.pieces = self.pieces, {}
+        special = [any(a in t for a in self.added) for t in texts]
+        split = [[] if s else t.replace("\n", " ").split(" ") for t, s in zip(texts, special, strict=True)]
+        whole, older = {}, self.older
         for word in set(chain.from_iterable(split)).difference(self.known):
-            (self.known if len(word) <= 64 else whole)[word] = self._word(word)
+            if len(word) > 64:
+                whole[word] = self._word(word)
+            else:
+                ids = older.get(word)
+                self.known[word] = self._word(word) if ids is None else ids
         known = ChainMap(self.known, whole) if whole else self.known
-        return [b"".join(map(known.__getitem__, parts)) for parts in split]
+        return [
+            packed(self.library.encode(t, add_special_tokens=False).ids)
+            if s
+            else b"".join(map(known.__getitem__, parts))
+            for t, s, parts in zip(texts, special, split, strict=True)
+        ]
 
 
 def packed(ids: list[int]) -> bytes:
