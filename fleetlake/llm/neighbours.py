@@ -50,9 +50,9 @@ def usable(column: str) -> Column:
 def nearest(vectors: np.ndarray, others: np.ndarray, k: int) -> np.ndarray:
     """Indexes of the ``k`` nearest others of each vector."""
     out = []
-    for part in np.array_split(vectors, max(1, len(vectors) * len(others) // 4_000_000)):
+    for part in np.array_split(vectors, max(1, len(vectors) * len(others) // 1_000_000)):
         d = (part**2).sum(1)[:, None] - 2 * part @ others.T + (others**2).sum(1)
-        out.append(np.argpartition(d, min(k, len(others) - 1), axis=1)[:, :k])
+        out.append(np.argpartition(d, min(k, len(others) - 1), axis=1)[:, :k].copy())
     return np.concatenate(out)
 
 
@@ -194,8 +194,9 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
     asked = queries.select(F.col("query_id").cast("long").alias("query_id"), F.col("embedding").alias("vector"))
     asked = asked.where(usable("vector") & F.col("query_id").isNotNull() & (F.size("vector") == common["size"]))
     parts = int(min(MOST_PARTS, max(1, common["n"] // PART_ROWS)))
-    drawn = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).toPandas()["vector"]
-    sample = np.stack(drawn.to_numpy()).astype(np.float64)
+    drawn = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).select("vector").toArrow()
+    flat = drawn.column("vector").combine_chunks().flatten().to_numpy(zero_copy_only=False)
+    sample = flat.astype(np.float64).reshape(drawn.num_rows, -1)
     if parts > 1 and len(sample) > 4 * K:
         router, centre, scale, probes = fit(sample, parts)
     else:
