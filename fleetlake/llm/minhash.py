@@ -7,10 +7,16 @@ one of the registers and stays if it is the earliest there. A shingle whose next
 comes after all registers' times is finished, which ends a document early.
 
 Bands of registers give buckets. Copies with the same words are one node. In a bucket every
-node is compared with one member drawn at random for that bucket, so a bucket of any size
-costs one comparison per member; bands come in waves, and from the second on, only nodes
+node is first compared with one member drawn at random for that bucket, so a bucket of any
+size costs one comparison per member; bands come in waves, and from the second on, only nodes
 that are not yet linked to the drawn member are compared. Comparisons are exact.
 
+Then the buckets that still hold more than one class are open, and every near pair of their
+nodes is found: the index is at most the common mass of the two distributions, so in any
+order of all shingles the first common one has ``THRESHOLD`` of the mass from it on in both
+texts. Pairs of different classes that share such a leading shingle are compared; rare
+shingles lead, so what many texts share by a template leads in none of them.
+
 Defined results: null counts as empty; rows without a word are near-duplicates of each
 other only; texts under five words have one shingle; repeated rows fall into one class; the
 class is named by its smallest doc_id (null if it has none).
@@ -31,6 +37,10 @@ BANDS, ROWS = 32, 6
 REGISTERS = BANDS * ROWS
 WAVES = 2
 THRESHOLD = 0.8
+#: Counters that order shingles by how common they are; they stay this many.
+COUNTERS = 1 << 20
+#: Texts with at most this share of their mass in repeated shingles are even.
+EVEN = 0.01
 
 
 def weighted(hashes: np.ndarray, begin: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -182,9 +192,12 @@ def classes(docs: DataFrame) -> DataFrame:
         pairs = staged(pairs, scratch_path(spark, "pairs"))
         if texts is None:
             texts = _texts(docs, rows, band)
-        sides = [texts.select(F.col("node").alias(c), F.col("text").alias(f"text_{c}")) for c in "uv"]
-        checked = pairs.join(sides[0], "u").join(sides[1], "v").select("u", "v", "text_u", "text_v")
-        found = checked.mapInArrow(_similar, "u binary, v binary, similarity double").select("u", "v")
+        found = _verified(pairs, texts)
+        links = staged(links.unionByName(found), scratch_path(spark, "verified"))
+        linked = staged(components(links), scratch_path(spark, "classes"))
+    pairs = open_pairs(band, linked, texts)
+    if pairs is not None:
+        found = _verified(pairs, texts)
         links = staged(links.unionByName(found), scratch_path(spark, "verified"))
         linked = staged(components(links), scratch_path(spark, "classes"))
     placed = rows.drop("bands").join(linked, "node", "left")
@@ -198,6 +211,105 @@ def classes(docs: DataFrame) -> DataFrame:
     )
 
 
+def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """The pairs ``u, v`` that are as similar as ``THRESHOLD``."""
+    sides = [texts.select(F.col("node").alias(c), F.col("text").alias(f"text_{c}")) for c in "uv"]
+    checked = pairs.join(sides[0], "u").join(sides[1], "v").select("u", "v", "text_u", "text_v")
+    return checked.mapInArrow(_similar, "u binary, v binary, similarity double").select("u", "v")
+
+
+def _bags(batches):
+    """Node and component columns of a chunk of rows with their weighted shingles."""
+    for batch in batches:
+        named = [batch.column(batch.schema.get_field_index(c)) for c in ("node", "component")]
+        for first, last, data, bounds in slices(lowered(batch.column(batch.schema.get_field_index("text")))):
+            yield [c.slice(first, last - first) for c in named], weighted(*shingle_hashes(*word_hashes(data, bounds)))
+
+
+def _counter(hashes: np.ndarray) -> np.ndarray:
+    return (mixed(hashes) % np.uint64(COUNTERS)).astype(np.int64)
+
+
+def _counted(batches):
+    """How many nodes of the task hold a shingle of each counter."""
+    times = np.zeros(COUNTERS, np.int64)
+    for _, (hashes, _, _) in _bags(batches):
+        np.add.at(times, _counter(hashes), 1)
+    used = np.flatnonzero(times)
+    for part in np.array_split(used, max(1, len(used) // 100_000)):
+        yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(times[part])], ["counter", "n"])
+
+
+LEADING = "token long, node binary, component binary, size long, even boolean, inner boolean"
+
+
+def leading(hashes: np.ndarray, weights: np.ndarray, begin: np.ndarray, times: np.ndarray):
+    """Leading shingles of each row, rare ones first: place, row, size of the row, even, inner.
+
+    A row's leading shingles are those with ``THRESHOLD`` of its mass from them on. Two even
+    rows share ``2 t / (1 + t)`` of the shorter one's mass for ``t = THRESHOLD - 2 EVEN``: what
+    is not repeated has the plain Jaccard index, the rest adds at most its mass. Shingles
+    with that much from them on are ``inner``.
+    """
+    row = np.repeat(np.arange(len(begin) - 1), np.diff(begin))
+    order = np.lexsort((hashes, times[_counter(hashes)], row))
+    weight = weights[order].astype(np.int64)
+    total = np.concatenate([[0], np.cumsum(weight)])
+    size = total[begin[1:]] - total[begin[:-1]]
+    onward = total[begin[row + 1]] - total[:-1]
+    repeated = np.concatenate([[0], np.cumsum(np.where(weight > 1, weight, 0))])
+    even = repeated[begin[1:]] - repeated[begin[:-1]] <= EVEN * size
+    t = THRESHOLD - 2 * EVEN
+    at = np.flatnonzero(onward >= (THRESHOLD - 1e-6) * size[row])
+    inner = onward[at] >= (2 * t / (1 + t) - 1e-6) * size[row[at]]
+    return order[at], row[at], size[row[at]], even[row[at]], inner
+
+
+def open_pairs(band: DataFrame, linked: DataFrame, texts: DataFrame) -> DataFrame | None:
+    """Pairs ``u, v`` of different classes, among them all near ones that share a bucket."""
+    spark = band.sparkSession
+    named = band.join(linked, "node", "left").select("node", "bucket", F.coalesce("component", "node").alias("component"))
+    mixed_buckets = named.groupBy("bucket").agg(F.min("component").alias("a"), F.max("component").alias("b"))
+    nodes = named.join(mixed_buckets.where("a <> b").select("bucket"), "bucket", "left_semi")
+    nodes = staged(nodes.select("node", "component").distinct(), scratch_path(spark, "open"))
+    if nodes.isEmpty():
+        return None
+    own = texts.join(nodes, "node").select("node", "component", "text")
+    counts = own.mapInArrow(_counted, "counter long, n long").groupBy("counter").agg(F.sum("n").alias("n")).toArrow()
+    times = np.zeros(COUNTERS, np.int64)
+    times[counts.column("counter").to_numpy()] = counts.column("n").to_numpy()
+    shared = spark.sparkContext.broadcast(times)
+
+    def run(batches):
+        for names, (hashes, weights, begin) in _bags(batches):
+            at, row, size, even, inner = leading(hashes, weights, begin, shared.value)
+            # A shingle that its counter saw once is in one text only.
+            also = shared.value[_counter(hashes[at])] > 1
+            take = pa.array(row[also])
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(hashes[at][also].view(np.int64)), *(c.take(take) for c in names),
+                    pa.array(size[also]), pa.array(even[also]), pa.array(inner[also]),
+                ],
+                [field.split()[0] for field in LEADING.split(", ")],
+            )
+
+    tokens = staged(own.mapInArrow(run, LEADING), scratch_path(spark, "leading"))
+    # The class that holds a shingle most often is only compared with the others.
+    most = tokens.groupBy("token", "component").agg(F.count("*").alias("n")).groupBy("token").agg(
+        F.max_by("component", F.struct("n", "component")).alias("most"), F.count("*").alias("classes")
+    )
+    most = staged(most.where("classes > 1").select("token", "most"), scratch_path(spark, "common"))
+    tokens = tokens.join(most, "token")
+    left, right = (tokens.select("token", "most", *(F.col(c).alias(f"{c}_{s}") for c in tokens.columns[1:6])) for s in "ab")
+    pairs = left.where("component_a <> most").join(right.drop("most"), "token").where("component_a <> component_b")
+    plain = ~(F.col("even_a") & F.col("even_b"))
+    shorter = (F.col("inner_a") | (F.col("size_a") > F.col("size_b"))) & (F.col("inner_b") | (F.col("size_b") > F.col("size_a")))
+    pairs = pairs.where(plain | shorter)
+    pairs = pairs.select(F.greatest("node_a", "node_b").alias("u"), F.least("node_a", "node_b").alias("v")).distinct()
+    return staged(pairs, scratch_path(spark, "pairs"))
+
+
 def _texts(docs: DataFrame, rows: DataFrame, band: DataFrame) -> DataFrame:
     """The text of every node that shares a bucket with another, ``node, text``."""
     spark = docs.sparkSession

@@ -122,3 +122,54 @@ def test_components(spark):
     assert {found[k] for k in range(41)} == {0} and {found[k] for k in range(100, 130)} == {100}
     assert found[201] == 200
     assert graph.components(edges.limit(0)).count() == 0
+
+
+def changed(text, places, mark):
+    words = text.split()
+    for place in places:
+        words[place] += mark
+    return " ".join(words)
+
+
+def test_near_pairs_among_less_similar_texts(make_docs):
+    # Buckets of a near pair are filled by texts that are about 0.73 similar to one of the two.
+    rows, expected = [], []
+    for family in range(3):
+        base = sentence(3000 + family, 200)
+        near = changed(base, (31, 71, 111, 151), "x")
+        assert 0.8 <= probability_jaccard(shingles(base), shingles(near)) < 0.85
+        own = 1000 * family
+        rows += [(own, base), (own + 1, near)]
+        expected += [(own, own), (own + 1, own)]
+        for k in range(2, 250):
+            places = random.Random(own + k).sample(range(5, 195, 6), 6)
+            rows.append((own + k, changed(base, places, f"o{k}")))
+            expected.append((own + k, own + k))
+    found = minhash.near_duplicates(make_docs(*rows))
+    assert rows_of(found, "doc_id", "class_id") == sorted(expected, key=repr)
+
+
+def test_near_rows_share_a_leading_shingle():
+    draw = np.random.default_rng(3)
+    times = np.zeros(minhash.COUNTERS, np.int64)
+    near = 0
+    for _ in range(3000):
+        n = int(draw.integers(2, 120))
+        base = np.unique(draw.integers(0, 2**63, n).astype(np.uint64))
+        bags = []
+        for _ in range(2):
+            stay = base[draw.random(len(base)) > 0.08]
+            bags.append((stay, 1 + (draw.random(len(stay)) < draw.choice([0, 0.005, 0.1])).astype(np.int64)))
+        if not all(len(b[0]) for b in bags) or minhash.probability_jaccard(*bags) < 0.8:
+            continue
+        near += 1
+        found = []
+        for hashes, weights in bags:
+            at, _, size, even, inner = minhash.leading(hashes, weights, np.array([0, len(hashes)]), times)
+            found.append(({int(h): bool(i) for h, i in zip(hashes[at], inner, strict=True)}, int(size[0]), bool(even[0])))
+        (a, size_a, even_a), (b, size_b, even_b) = found
+        common = a.keys() & b.keys()
+        if even_a and even_b:
+            common = {h for h in common if (a[h] or size_a > size_b) and (b[h] or size_b > size_a)}
+        assert common
+    assert near > 500
