@@ -8,7 +8,8 @@ every fingerprint within the radius is found. A candidate counts if the weighted
 similarity of its shingles with the item's is ``THRESHOLD`` or more, computed exactly.
 
 Windows are fingerprinted only where enough of their shingles occur in the benchmark at all:
-a similarity of ``THRESHOLD`` needs that, so nothing is lost by it.
+a similarity of ``THRESHOLD`` needs that, so nothing is lost by it. A text of fewer words
+than an item is its one window, whole.
 
 The benchmark is the query set. It is taken in blocks of bounded bytes and rows, each sent
 to all tasks; documents are never shuffled.
@@ -101,6 +102,14 @@ class Items:
             n: np.unique(np.concatenate([b[0] for b, s in zip(self.bags, self.sizes, strict=True) if min(s, SHINGLE) == n]))
             for n in sorted({min(s, SHINGLE) for s in self.sizes})
         }
+        # The items that hold each known shingle.
+        self.holders = {}
+        for n, known in self.known.items():
+            own = [k for k, s in enumerate(self.sizes) if min(s, SHINGLE) == n]
+            place = np.searchsorted(known, np.concatenate([self.bags[k][0] for k in own]))
+            holder = np.repeat(own, [len(self.bags[k][0]) for k in own])
+            order = np.argsort(place, kind="stable")
+            self.holders[n] = np.searchsorted(place[order], np.arange(len(known) + 1)), holder[order]
 
     def matches(self, word: np.ndarray) -> list[tuple]:
         """``(item, similarity, first word, windows)`` of a text: its best window for each item."""
@@ -114,8 +123,31 @@ class Items:
                 continue
             for size in sorted({s for s in self.sizes if min(s, SHINGLE) == n and s <= len(word)}):
                 self._of_size(size, size - n + 1, gram, hit, best)
+            if n == SHINGLE:
+                self._longer(len(word), gram, hit, best)
         return [(self.ids[k], *v) for k, v in sorted(best.items())]
 
+    def _held(self, n: int, gram: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places of known shingles, and the items that hold each, in order of the places."""
+        starts, holders = self.holders[n]
+        at = np.searchsorted(self.known[n], gram)
+        many = starts[at + 1] - starts[at]
+        which = np.repeat(np.arange(len(gram)), many)
+        return which, holders[starts[at][which] + np.arange(len(which)) - (np.cumsum(many) - many)[which]]
+
+    def _longer(self, length: int, gram: np.ndarray, hit: np.ndarray, best: dict) -> None:
+        """Items of more words than the text: all of it is their one window."""
+        if hit.sum() < 2 * len(gram) * THRESHOLD / (1 + THRESHOLD) - 1e-9 or length >= self.size.max():
+            return
+        _, item = self._held(SHINGLE, gram[hit])
+        shared = np.bincount(item, minlength=len(self.ids))
+        least = (len(gram) + self.size - SHINGLE + 1) * THRESHOLD / (1 + THRESHOLD) - 1e-9
+        own = np.unique(gram, return_counts=True)
+        for k in np.flatnonzero((self.size > length) & (shared >= least)).tolist():
+            similarity = weighted_jaccard(own, self.bags[k])
+            if similarity >= THRESHOLD - 1e-9:
+                best[k] = [similarity, 0, 1]
+
     def _of_size(self, size: int, span: int, gram: np.ndarray, hit: np.ndarray, best: dict) -> None:
         total = np.concatenate([[0], np.cumsum(hit)])
         # c shared of span shingles on either side: c / (2 span - c) >= THRESHOLD.

@@ -84,6 +84,27 @@ def test_all_prints_within_the_radius_are_candidates():
         assert any(sum(1 << (b % 16) for b in flips if b // 16 == k) in masks for k in range(4))
 
 
+def test_texts_shorter_than_the_item(spark, make_docs):
+    items = [(k, sentence(7000 + k, n)) for k, n in enumerate((6, 9, 14, 30, 60))]
+    rows = []
+    for k, text in items:
+        own = text.split()
+        for cut in range(min(len(own), 16)):
+            rows += [(1000 * k + cut, " ".join(own[: len(own) - cut])), (1000 * k + 500 + cut, " ".join(own[cut:]))]
+    rows += [(9000, " ".join(items[4][1].split()[2:50])), (9001, edited(" ".join(items[4][1].split()[1:]), 1, 1))]
+    expected = set()
+    for d, t in rows:
+        for i, text in items:
+            own, asked = words(t), words(text)
+            for s in range(max(len(own) - len(asked), 0) + 1 if own else 0):
+                a, b = bag(own[s : s + len(asked)]), bag(asked)
+                if sum((a & b).values()) / sum((a | b).values()) >= 0.8 - 1e-9:
+                    expected.add((d, i))
+    benchmark, docs = spark.createDataFrame(items, ITEM), make_docs(*rows)
+    assert (3001, 3) in expected and (3501, 3) in expected
+    assert set(rows_of(decontam.contaminated(docs, benchmark), "doc_id", "item_id")) == expected
+
+
 @pytest.fixture
 def corpus(spark, tmp_path):
     """Tables with a case for each stage."""
