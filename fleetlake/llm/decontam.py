@@ -4,7 +4,8 @@ For each size that benchmark items have in words, the windows of that size in a
 a 64-bit SimHash of their weighted shingles. The items' fingerprints are indexed by four
 blocks of 16 bits: within ``RADIUS`` bits of each other, two fingerprints differ in at most
 a quarter of that in one block, so each item is filed under all block values that near, and
-every fingerprint within the radius is found. A candidate counts if the weighted Jaccard
+every fingerprint within the radius is found. Similar windows may lie further apart, so a
+window is also a candidate for each item of which it holds enough shingles. A candidate counts if the weighted Jaccard
 similarity of its shingles with the item's is ``THRESHOLD`` or more, computed exactly.
 
 Windows are fingerprinted only where enough of their shingles occur in the benchmark at all:
@@ -148,6 +149,20 @@ class Items:
             if similarity >= THRESHOLD - 1e-9:
                 best[k] = [similarity, 0, 1]
 
+    def _counted(self, size: int, span: int, gram: np.ndarray, hit: np.ndarray, part: np.ndarray, least: int) -> np.ndarray:
+        """Windows with enough shingles of an item, as ``window * items + item``; none that counts is left out."""
+        at = part[0] + np.flatnonzero(hit[part[0] : part[-1] + span])
+        which, item = self._held(min(size, SHINGLE), gram[at])
+        own = self.size[item] == size
+        place, item = at[which[own]], item[own]
+        often = np.bincount(item, minlength=len(self.ids))
+        found = [np.empty(0, np.int64)]
+        for k in np.flatnonzero(often >= least).tolist():
+            there = place[item == k]
+            shared = np.searchsorted(there, part + span) - np.searchsorted(there, part)
+            found.append(np.flatnonzero(shared >= least) * len(self.ids) + k)
+        return np.concatenate(found)
+
     def _of_size(self, size: int, span: int, gram: np.ndarray, hit: np.ndarray, best: dict) -> None:
         total = np.concatenate([[0], np.cumsum(hit)])
         # c shared of span shingles on either side: c / (2 span - c) >= THRESHOLD.
@@ -170,7 +185,9 @@ class Items:
             pair = np.unique(np.concatenate(pairs))
             which, item = pair // len(self.ids), pair % len(self.ids)
             near = (self.size[item] == size) & (np.bitwise_count(prints[which] ^ self.prints[item]) <= RADIUS)
-            for w, k in zip(which[near].tolist(), item[near].tolist(), strict=True):
+            counted = self._counted(size, span, gram, hit, part, least)
+            pair = np.unique(np.concatenate([pair[near], counted]))
+            for w, k in zip((pair // len(self.ids)).tolist(), (pair % len(self.ids)).tolist(), strict=True):
                 own, n = np.unique(gram[part[w] : part[w] + span], return_counts=True)
                 similarity = weighted_jaccard((own, n), self.bags[k])
                 if similarity >= THRESHOLD - 1e-9:

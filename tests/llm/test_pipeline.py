@@ -105,6 +105,27 @@ def test_texts_shorter_than_the_item(spark, make_docs):
     assert set(rows_of(decontam.contaminated(docs, benchmark), "doc_id", "item_id")) == expected
 
 
+def test_similar_windows_beyond_the_radius():
+    import numpy as np
+    import pyarrow as pa
+
+    from fleetlake.llm.common import lowered, text_buffer, word_hashes
+
+    beyond = 0
+    for k in range(1500):
+        text = sentence(8000 + k, 54)
+        # One edit inside leaves 45 of 55 shingles, and only one window of the item's size.
+        own = text.split()
+        own[20] = "changed"
+        items = decontam.Items([k], pa.array([text]))
+        word, _ = word_hashes(*text_buffer(lowered(pa.array([" ".join(own)]))))
+        assert [m[:1] + m[2:] for m in items.matches(word)] == [(k, 0, 1)]
+        gram = decontam.gram_hashes(word, 5)
+        prints = decontam.simhash(decontam._signs(gram).sum(axis=0)[None])
+        beyond += int(np.bitwise_count(prints[0] ^ items.prints[0])) > decontam.RADIUS
+    assert beyond > 0
+
+
 @pytest.fixture
 def corpus(spark, tmp_path):
     """Tables with a case for each stage."""
