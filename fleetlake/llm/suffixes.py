@@ -341,7 +341,7 @@ def repeated_strings(docs: DataFrame, batches: int = BATCHES) -> DataFrame:
     )
     per_text = edges.groupBy("k1", "k2").agg(F.collect_list("edge").alias("edges"))
     per_text = staged(per_text, scratch_path(spark, "edges"))
-    parts = _with_texts(docs, per_text).dropDuplicates(["k1", "k2"]).mapInArrow(_edge_parts, PART)
+    parts = _with_texts(docs, per_text).mapInArrow(_edge_parts, PART)
     parts = staged(parts, scratch_path(spark, "edge-parts"))
     # At most FEW stretches of LENGTH bytes and some meet here.
     groups = parts.where("few").groupBy("seed").agg(
@@ -363,14 +363,15 @@ def repeated_strings(docs: DataFrame, batches: int = BATCHES) -> DataFrame:
     twice = strings.groupBy("digest").agg(F.count("*").alias("times")).where("times > 1").select("digest")
     single = strings.where("n = 1").join(twice, "digest", "left_semi").select("k1", "k2", "start", F.lit(1).alias("strings"))
     runs = whole.unionByName(compared).unionByName(again).unionByName(single)
-    runs = runs.groupBy("k1", "k2").agg(F.collect_list(F.struct("start", "strings")).alias("runs"))
+    # Rows of one key have the same runs: a task sends each once, whatever the number of copies.
+    runs = runs.groupBy("k1", "k2").agg(F.collect_set(F.struct("start", "strings")).alias("runs"))
     return runs.select("k1", "k2", F.col("runs.start").alias("starts"), F.col("runs.strings").alias("strings"))
 
 
 def _with_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """The texts of the keys of ``wanted``, beside its columns; repeated rows come repeatedly."""
+    """The texts of the keys of ``wanted``, beside its columns; one row a key."""
     keyed = docs.select(*row_keys(), "text").where(F.octet_length("text") >= LENGTH)
-    likely = thinned(keyed, wanted, F.struct("k1", "k2"))
+    likely = thinned(keyed, wanted, F.struct("k1", "k2")).dropDuplicates(["k1", "k2"])
     return likely.join(wanted, ["k1", "k2"])
 
 
@@ -428,7 +429,7 @@ def cuts(docs: DataFrame, batches: int = BATCHES) -> DataFrame:
 
 def removals(docs: DataFrame, batches: int = BATCHES) -> DataFrame:
     """Per document how much goes, in how many runs, and a digest of the rest."""
-    found = cuts(docs, batches).drop("left").dropDuplicates(["k1", "k2"])
+    found = cuts(docs, batches).drop("left")
     plain = docs.select(
         "doc_id",
         *row_keys(),
@@ -447,7 +448,7 @@ def removals(docs: DataFrame, batches: int = BATCHES) -> DataFrame:
 def without_repeats(docs: DataFrame, batches: int = BATCHES) -> DataFrame:
     """``docs`` with repeated passages cut out of ``text`` and ``n_chars`` counted anew."""
     found = staged(cuts(docs, batches).select("k1", "k2", "left"), scratch_path(docs.sparkSession, "cut"))
-    found = found.dropDuplicates(["k1", "k2"]).select(
+    found = found.select(
         F.col("k1").alias("__k1"), F.col("k2").alias("__k2"), F.col("left").alias("__left"), F.lit(True).alias("__cut")
     )
     keyed = docs.select("*", *(k.alias(f"__{n}") for k, n in zip(row_keys(), ("k1", "k2"), strict=True)))

@@ -60,6 +60,16 @@ def test_odd_rows(odd_docs, no_docs):
     assert cut.columns == odd_docs.columns and cut.count() == odd_docs.count()
 
 
+def test_repeated_rows_meet_once(make_docs):
+    text = " ".join([sentence(1, 60), sentence(2, 20), sentence(1, 60)])
+    rows = [(1, text)] * 60 + [(None, text)] * 40 + [(2, sentence(1, 60))]
+    docs = make_docs(*rows)
+    runs = suffixes.repeated_strings(docs).collect()
+    assert len(runs) == 3
+    assert all(len(r.starts) == len(set(zip(r.starts, r.strings, strict=True))) for r in runs)
+    assert Counter(map(tuple, suffixes.removals(docs).collect())) == brute_force(rows)
+
+
 def test_cut_texts_are_what_is_left(make_docs):
     rows = passages()
     cut = suffixes.without_repeats(make_docs(*rows))
