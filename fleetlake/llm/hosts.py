@@ -1,9 +1,9 @@
 """URL filter: host rules, and personalised PageRank of trust and distrust over host links.
 
 Trust walks along links from trusted hosts, distrust walks against them from blocked ones
-(who links to a bad host is suspect). Both walks run together for a fixed number of steps on
-a table of host links, all in DataFrame operations; walkers of hosts without links go home
-to the seeds. A host whose distrust outweighs its trust by ``THRESHOLD`` is blocked, unless
+(who links to a bad host is suspect). Both walks run together on a table of host links, all
+in DataFrame operations, until what is still under way changes the scores of a kind by less
+than ``TOLERANCE``; walkers of hosts without links go home to the seeds. A host whose distrust outweighs its trust by ``THRESHOLD`` is blocked, unless
 a rule says otherwise.
 
 Defined results: a url that is null or has no ``://`` has an empty host and path, fits no
@@ -19,6 +19,7 @@ import string
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from fleetlake.llm.common import Scratch
 from fleetlake.session import scratch_path, staged
 
 #: (verdict, host and path prefix).
@@ -31,7 +32,12 @@ RULES = (
 )
 #: A host with one of these words in its name is a seed of distrust.
 BLOCKED_WORDS = ("ads", "adult", "bets", "casino", "farm", "pills", "porn", "spam")
+#: Steps of the SQL counterpart, which can't stop by itself.
 STEPS = 8
+#: Steps go on until all later ones together would add less than this to a kind's scores.
+TOLERANCE = 1e-6
+#: Steps whose scores are added up at once.
+FOLDED = 8
 DAMPING = 0.85
 #: Distrust counts this many times when it is weighed against trust.
 THRESHOLD = 1.0
@@ -85,8 +91,12 @@ def seed_kind(host: Column, rules=RULES, words=BLOCKED_WORDS) -> Column:
     return F.when(host == "", F.lit(None)).when(blocked, "distrust").when(allowed, "trust")
 
 
-def propagated(pages: DataFrame, steps: int = STEPS) -> DataFrame:
-    """``host, trust, distrust`` of every host that some walk reaches."""
+def propagated(pages: DataFrame, tolerance: float = TOLERANCE) -> DataFrame:
+    """``host, trust, distrust`` of every host that some walk reaches, converged.
+
+    The score is the sum of where walkers stand after each step, scaled to one per kind: who
+    goes home from a dead end begins again as the others did, which changes the scale only.
+    """
     spark = pages.sparkSession
     links = staged(host_links(pages), scratch_path(spark, "host-links"))
     host, _ = split_url("url")
@@ -102,19 +112,29 @@ def propagated(pages: DataFrame, steps: int = STEPS) -> DataFrame:
     leaving = edges.groupBy("kind", "host").agg(F.sum("n").alias("all"))
     edges = edges.join(leaving, ["kind", "host"]).select("kind", "host", "to", (F.col("n") / F.col("all")).alias("share"))
     edges = staged(edges, scratch_path(spark, "steps"))
-    score = home.select("kind", "host", F.col("home").alias("score"))
-    if edges.isEmpty():
-        steps = 0
-    for _ in range(steps):
-        moved = edges.join(score, ["kind", "host"]).select("kind", F.col("to").alias("host"), (F.col("share") * F.col("score")).alias("score"))
-        moved = staged(moved.groupBy("kind", "host").agg(F.sum("score").alias("score")), scratch_path(spark, "moved"))
-        # What did not move on goes home, so the scores of a kind add up to one.
-        arrived = F.broadcast(moved.groupBy("kind").agg(F.sum("score").alias("arrived")))
-        back = home.join(arrived, "kind", "left").select(
-            "kind", "host", (F.col("home") * (1 - DAMPING * F.coalesce("arrived", F.lit(0.0)))).alias("score")
+    start = term = home.select("kind", "host", F.col("home").alias("score"))
+    scratch = Scratch(spark)
+    total, terms, read = None, [start], []
+    while not edges.isEmpty():
+        moved = edges.join(term, ["kind", "host"]).select(
+            "kind", F.col("to").alias("host"), (F.col("share") * F.col("score") * DAMPING).alias("score")
         )
-        both = back.unionByName(moved.withColumn("score", F.col("score") * DAMPING))
-        score = staged(both.groupBy("kind", "host").agg(F.sum("score").alias("score")), scratch_path(spark, "scores"))
+        term = scratch.keep(moved.groupBy("kind", "host").agg(F.sum("score").alias("score")), "moved")
+        terms.append(term)
+        under_way = [row.score for row in term.groupBy("kind").agg(F.sum("score").alias("score")).collect()]
+        done = all(mass * DAMPING / (1 - DAMPING) < tolerance for mass in under_way)
+        if done or len(terms) > FOLDED:
+            added = functools.reduce(DataFrame.unionByName, terms if total is None else [total, *terms])
+            older = [*read, *([] if total is None else [total])]
+            total = scratch.keep(added.groupBy("kind", "host").agg(F.sum("score").alias("score")), "scores")
+            scratch.drop(*older)
+            # The next step still reads the last of them.
+            read, terms = [t for t in terms if t is not start], []
+        if done:
+            break
+    score = total if total is not None else term
+    whole = F.broadcast(score.groupBy("kind").agg(F.sum("score").alias("whole")))
+    score = score.join(whole, "kind").withColumn("score", F.col("score") / F.col("whole"))
     kinds = [F.coalesce(F.sum(F.when(F.col("kind") == k, F.col("score"))), F.lit(0.0)).alias(k) for k in ("trust", "distrust")]
     return score.groupBy("host").agg(*kinds)
 

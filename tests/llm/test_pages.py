@@ -107,6 +107,19 @@ def test_scores_of_a_kind_add_up_to_one(spark):
     assert list(sums) == pytest.approx([1.0, 1.0])
 
 
+def test_far_hosts_are_reached(spark):
+    # Host k links to host k + 1; the last links to a bad one. Nobody links to or from the lone one.
+    names = [f"h{k}.org" for k in range(14)] + ["spam-farm.org"]
+    rows = [(k, f"http://{names[k]}/", link(names[k + 1]), "x", "y") for k in range(14)]
+    pages = spark.createDataFrame([*rows, (99, "http://lone.org/", "", "x", "y")], f"{PAGE}, host string, verdict string")
+    scores = {r.host: r.distrust for r in hosts.propagated(pages).collect()}
+    whole = sum(0.85**k for k in range(15))
+    for k, name in enumerate(reversed(names)):
+        assert scores[name] == pytest.approx(0.85**k / whole)
+    found = {r.page_id: r.verdict for r in hosts.judged(pages).collect()}
+    assert found == {**dict.fromkeys(range(14), "block"), 99: "allow"}
+
+
 def test_no_python_in_the_plan(spark):
     plan = hosts.judged(host_pages(spark))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
