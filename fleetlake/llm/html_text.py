@@ -27,7 +27,7 @@ LEFT_OUT = frozenset(
     "label iframe object embed svg canvas math audio video dialog menu map".split()
 )
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog form menu menubar toolbar".split())
-#: Parts of class names and ids that mark the same.
+#: Words that mark the same as a class name or id, or as the first or last part of one.
 MARKS = frozenset(
     "ad ads adv advert adverts advertisement advertising banner banners sponsor sponsored promo promotion nav navbar "
     "navigation menu menus breadcrumb breadcrumbs sidebar aside footer masthead cookie cookies consent gdpr notice "
@@ -35,6 +35,13 @@ MARKS = frozenset(
     "recommended recommendations comment comments disqus reply replies respond pagination pager toolbar widget "
     "widgets hidden".split()
 )
+#: Parts beside a mark that tell of a state or of something else.
+STATES = frozenset(
+    "no not non without has have with is open opened closed enabled disabled on off allowed free science sciences "
+    "overflow visually backface studies work justice security network networks".split()
+)
+#: Marks of sections that may be longer than the article.
+APART = frozenset("comment comments disqus reply replies respond related recommended recommendations".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd mark q rp rt ruby s samp small span strike "
@@ -64,26 +71,63 @@ _CUT_TAG = re.compile(r"<[A-Za-z/!?][^<>]*\Z")
 class Element:
     __slots__ = ("tag", "parent", "children", "out", "chars", "tags", "link_chars", "link_tags", "density", "total")
 
-    def __init__(self, tag: str, parent: Element | None, out: bool = False):
+    def __init__(self, tag: str, parent: Element | None, out: str = ""):
         self.tag, self.parent, self.out = tag, parent, out
         self.children: list[Element | str] = []
         self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.density = self.total = 0.0
 
 
-def _marked(tag: str, attributes: list[tuple[str, str | None]]) -> bool:
+def _named(name: str) -> str:
+    """The mark that one class name or id is, begins or ends with; states and negations are none."""
+    words = [w.lower() for w in _WORDS.findall(re.sub(r"(?<=[a-z])(?=[A-Z])", " ", name))]
+    if len(words) > 1 and (STATES.intersection(words) or words[-1] == "hidden"):
+        return ""
+    return next((w for w in (*words[:1], *words[-1:]) if w in MARKS), "")
+
+
+def _marked(tag: str, attributes: list[tuple[str, str | None]]) -> str:
+    """What leaves an element out: ``tag`` for its tag, role or state, the mark of a class or id, or nothing."""
     if tag in LEFT_OUT:
-        return True
+        return "tag"
+    mark = ""
     for name, value in attributes:
         if name == "hidden" or (name == "aria-hidden" and value == "true"):
-            return True
+            return "tag"
         if name == "role" and (value or "").lower() in ROLES:
-            return True
+            return "tag"
         if name in ("class", "id") and value and tag not in ("body", "html", "article", "main"):
-            parts = re.sub(r"(?<=[a-z])(?=[A-Z])", " ", value)
-            if any(w.lower() in MARKS for w in _WORDS.findall(parts)):
-                return True
-    return False
+            mark = mark or next(filter(None, map(_named, value.split())), "")
+    return mark
+
+
+def _spare_wrappers(root: Element) -> None:
+    """Takes back marks of elements that hold the article: the page's only article or main, or most of its plain text.
+
+    A section of comments or related pages stays out, however long and whatever tags it uses.
+    """
+    order, stack = [], [(root, False)]
+    while stack:
+        element, inside = stack.pop()
+        order.append((element, inside))
+        fixed = element.out == "tag" or element.out in APART
+        stack += [] if fixed else [(c, inside or bool(element.out)) for c in element.children if isinstance(c, Element)]
+    plain: dict[int, int] = {}
+    holds: dict[int, bool] = {}
+    for element, _ in reversed(order):
+        if element.out == "tag" or element.out in APART or element.tag == "a":
+            plain[id(element)], holds[id(element)] = 0, False
+            continue
+        nested = [c for c in element.children if isinstance(c, Element)]
+        text = sum(len("".join(c.split())) for c in element.children if isinstance(c, str))
+        plain[id(element)] = text + sum(plain[id(c)] for c in nested)
+        holds[id(element)] = element.tag in ("article", "main") or any(holds[id(c)] for c in nested)
+    free = any(e.tag in ("article", "main") and not inside for e, inside in order)
+    for element, _ in order:
+        if not element.out or element.out == "tag" or element.out in APART or free:
+            continue
+        if holds[id(element)] if holds[id(root)] else plain[id(element)] > 0.5 * plain[id(root)]:
+            element.out = ""
 
 
 class Tree(HTMLParser):
@@ -211,6 +255,7 @@ def main_text(html: str | None) -> str:
     tree = Tree()
     tree.feed(_CUT_TAG.sub("", html))
     tree.close()
+    _spare_wrappers(tree.root)
     order = weigh(tree.root)
     top, threshold = main_subtree(order)
     if top is None:

@@ -35,6 +35,16 @@ def test_density_finds_an_unmarked_article():
     assert html_text.main_text(page) == " ".join(["Some sentence of the story goes on here."] * 24)
 
 
+@pytest.mark.parametrize(
+    "name",
+    ["content overflow-hidden", "has-sidebar", "layout no-sidebar", "post comments-open", "social-science", "ad-free", "page-share", "hidden"],
+)
+def test_wrappers_are_no_boilerplate(name):
+    for wrapped in (f"<article>{ARTICLE}</article>", f"<div>{ARTICLE}</div>"):
+        page = f"<body><div class='{name}'>{wrapped}<div class='sidebar-left'>Side.</div></div><div class='comments'>{'Reader words. ' * 50}</div>"
+        assert html_text.main_text(page) == WANTED
+
+
 @pytest.mark.parametrize("html", [None, "", "   ", "<html></html>", "<p", "<!--", "<body><script>x</script>", "&#0;&#xD800;"])
 def test_pages_without_text(html):
     assert html_text.main_text(html).strip("�") == ""
