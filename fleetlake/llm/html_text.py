@@ -4,9 +4,10 @@ A page becomes a tree of elements. What its tag, role, class or id calls a menu,
 footer, sidebar, notice, advert, form, script, style or comment section is taken out. For
 every element left, the density is its characters per tag, adjusted by how much of the text
 stands in links; the sums of the children's densities choose the main subtree. The smallest
-density on the way from there up to the body is the threshold: the subtree grows upwards
-while its parent is no thinner and no outer element, and elements inside it that consist of
-links and are thinner than the threshold go.
+density on the way from there up to the body is the threshold. An article or main element on
+that way is read whole. Without one, boxes beside the subtree that are thinner than the
+threshold go, and what is as dense stays, as do headings, paragraphs and lists of the boxes
+around it. Elements that consist of links and are thinner than the threshold go everywhere.
 
 Defined results: null, empty and unreadable pages give the empty text; rows are judged each
 for itself; nothing is cut off at any length; unclosed tags end where HTML ends them, and a tag that the page breaks off in is no text.
@@ -42,6 +43,8 @@ STATES = frozenset(
 )
 #: Marks of sections that may be longer than the article.
 APART = frozenset("comment comments disqus reply replies respond related recommended recommendations".split())
+#: Elements that hold blocks and are no text by themselves.
+CONTAINERS = frozenset("div section center fieldset details table tbody tr td".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd mark q rp rt ruby s samp small span strike "
@@ -219,12 +222,13 @@ def weigh(root: Element) -> list[Element]:
     return order
 
 
-def main_subtree(order: list[Element]) -> tuple[Element | None, float]:
-    """The element to read and the threshold on the way from it to the body."""
+def main_subtree(order: list[Element]) -> tuple[Element | None, float, list[Element]]:
+    """The element to read, the threshold on the way from the densest sum to the body, and the
+    elements to read only in parts: those around the densest sum."""
     body = next((e for e in order if e.tag == "body"), order[0])
     inside = [e for e in order if e.chars and _within(e, body)]
     if not inside:
-        return None, 0.0
+        return None, 0.0, []
     best = max(inside, key=lambda e: (e.total, e.chars))
     path = [best]
     while path[-1] is not body and path[-1].parent is not None:
@@ -232,12 +236,14 @@ def main_subtree(order: list[Element]) -> tuple[Element | None, float]:
     threshold = min(e.density for e in path)
     for element in reversed(path):
         if element.tag in ("article", "main"):
-            return element, threshold
-    # Only part of the text may stand in the best element: its container is as dense.
-    for element in path[1:]:
-        if element.density >= threshold and element.tag not in ("#root", "html"):
-            best = element
-    return best, threshold
+            return element, threshold, []
+    around = path[1:]
+    if best is body:
+        # Paragraphs that stand in the body itself leave no box for the article.
+        blocks = [c for c in body.children if isinstance(c, Element) and not c.out and c.tag in CONTAINERS]
+        if sum(c.chars for c in blocks) < 0.5 * body.chars:
+            around = [body]
+    return path[-1], threshold, around
 
 
 def _within(element: Element, top: Element) -> bool:
@@ -257,9 +263,17 @@ def main_text(html: str | None) -> str:
     tree.close()
     _spare_wrappers(tree.root)
     order = weigh(tree.root)
-    top, threshold = main_subtree(order)
+    top, threshold, around = main_subtree(order)
     if top is None:
         return ""
+    # Beside the densest sum, boxes thinner than the threshold are no part of the article.
+    path = {id(e) for e in around}
+    thin = {
+        id(c)
+        for e in around
+        for c in e.children
+        if isinstance(c, Element) and c.tag in CONTAINERS and c.density < threshold and id(c) not in path
+    }
     parts: list[str] = []
     stack: list[Element | str] = [top]
     while stack:
@@ -268,7 +282,7 @@ def main_text(html: str | None) -> str:
             parts.append(node)
             continue
         linked = node.chars and node.link_chars > 0.5 * node.chars and node.density < threshold
-        if node.out or (linked and node is not top and node.tag not in INLINE and node.link_tags > 1):
+        if node.out or id(node) in thin or (linked and node is not top and node.tag not in INLINE and node.link_tags > 1):
             continue
         spaced = node.tag not in INLINE
         if spaced:

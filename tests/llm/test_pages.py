@@ -35,6 +35,23 @@ def test_density_finds_an_unmarked_article():
     assert html_text.main_text(page) == " ".join(["Some sentence of the story goes on here."] * 24)
 
 
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<body><div>The Daily Site</div><div>3 May</div><div><h1>Title</h1>{a}{b}</div><div>(c) 2024 The Daily Site</div></body>",
+        "<body><div><div>The Daily Site</div><div><h1>Title</h1><div>{a}</div><div>{b}</div></div></div><div>(c) 2024</div></body>",
+        "<body><div>The Daily Site</div><h1>Title</h1>{a}{b}<div>(c) 2024 The Daily Site</div></body>",
+        "<div>The Daily Site</div><div><h1>Title</h1>{a}<p>Short.</p>{b}</div><div>All rights are with us.</div>",
+    ],
+)
+def test_unmarked_boilerplate_without_links(page):
+    first = "".join(f"<p>{'Some sentence of the story goes on here. ' * 6}</p>" for _ in range(3))
+    second = "".join(f"<p>{'The story has another side to it as well. ' * 5}</p>" for _ in range(3))
+    wanted = ["Title", *["Some sentence of the story goes on here."] * 18]
+    wanted += [*(["Short."] if "Short" in page else []), *["The story has another side to it as well."] * 15]
+    assert html_text.main_text(page.format(a=first, b=second)) == " ".join(wanted)
+
+
 @pytest.mark.parametrize(
     "name",
     ["content overflow-hidden", "has-sidebar", "layout no-sidebar", "post comments-open", "social-science", "ad-free", "page-share", "hidden"],
