@@ -1,12 +1,12 @@
-"""Removal of repeated passages by a logarithmic family of sparse suffix arrays.
+"""Removal of repeated passages by anchor fingerprints in a logarithmic family of levels.
 
 Every string of ``LENGTH`` bytes has an anchor: the place where a hash of the next ``SEED``
 bytes is smallest. Equal strings have it at the same offset, so the suffixes that begin at
-anchors, about one byte in 85, are enough to find every repeat. A batch's suffix array holds
-them sorted by the hash of their seed, that is by their first bytes, beside the stretch of
-text whose strings share the anchor.
+anchors, about one byte in 85, are enough to find every repeat. No suffix array is built: a
+batch's level holds the hashes of the anchors' seeds, that is of their first bytes, and how
+often each occurs; the stretches of text whose strings share an anchor are kept beside it.
 
-A new batch's array is merged with the levels that exist. Levels of equal size merge into
+A new batch's level is merged with the levels that exist. Levels of equal size merge into
 one of twice the size, like the digits of a binary counter, so an entry moves as often as
 the logarithm of the number of batches. In the merged order equal seeds are neighbours:
 those are the matches of at least ``SEED`` bytes. Where a whole stretch occurs again, all its
@@ -132,7 +132,7 @@ def suffix_entries(docs: DataFrame) -> DataFrame:
 
 
 class IndexFamily:
-    """Suffix arrays of batches, merged geometrically, in the shared folder.
+    """Counts of the batches' seeds, merged geometrically, in the shared folder.
 
     A level is a table ``seed, n`` in the order of its seeds: how many suffixes begin so.
     """
