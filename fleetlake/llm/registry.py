@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from fleetlake.llm import bpe, decontam, hosts, html_text, lattice, minhash, neighbours, orc_tokens, suffixes, toxicity
+from fleetlake.llm import bpe, credentials, decontam, hosts, html_text, lattice, minhash, neighbours, orc_tokens, suffixes, toxicity
 from fleetlake.llm.common import table
 
 
@@ -51,6 +51,10 @@ def op10_hosts(spark: SparkSession, folder: str) -> DataFrame:
     return hosts.judged(table(spark, folder, "pages"))
 
 
+def op11_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    return credentials.digests(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -64,6 +68,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_suffix_dedup,
         op9_minhash,
         op10_hosts,
+        op11_secrets,
     )
 }
 
