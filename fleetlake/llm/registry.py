@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from fleetlake.llm import bpe, credentials, decontam, hosts, html_text, lattice, minhash, neighbours, orc_tokens, suffixes, toxicity
+from fleetlake.llm import bpe, codes, credentials, decontam, hosts, html_text, lattice, minhash, neighbours, orc_tokens, suffixes, toxicity
 from fleetlake.llm.common import table
 
 
@@ -55,6 +55,10 @@ def op11_secrets(spark: SparkSession, folder: str) -> DataFrame:
     return credentials.digests(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
 
+def op12_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
+    return codes.coded_vectors(table(spark, folder, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -69,6 +73,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_minhash,
         op10_hosts,
         op11_secrets,
+        op12_vector_codes,
     )
 }
 

@@ -1,0 +1,106 @@
+"""Vector codes against plain rounds in numpy."""
+
+from __future__ import annotations
+
+import hashlib
+import math
+from collections import defaultdict
+
+import numpy as np
+import pytest
+
+from fleetlake.llm import codes
+
+SCHEMA = "vec_id long, embedding array<float>, label int"
+
+
+def plain(rows, rounds=4, entries=256):
+    """The contract as written: rows to (vec_id, code, error, label_error), and the digest."""
+    kept = [(i, [math.floor(1024 * float(np.float32(x))) for x in v], y) for i, v, y in rows if v is not None and all(x is not None and math.isfinite(x) for x in v)]
+    sizes = [len(v) for _, v, _ in kept]
+    kept = [r for r in kept if len(r[1]) == max(sorted(set(sizes)), key=sizes.count)]
+    first = {}
+    for i, v, _ in sorted(kept, key=lambda r: (r[0] is None, r[0] or 0, r[1])):
+        first.setdefault(i, v)
+    whole = np.array([r[1] for r in kept], np.int64)
+    cuts = np.array_split(np.arange(whole.shape[1]), 4)
+    books = [np.array(list(first.values())[:entries], np.int64)[:, c] for c in cuts]
+    nearest = lambda book, c: ((whole[:, None, c] - book) ** 2).sum(2)
+    for _ in range(rounds):
+        for p, c in enumerate(cuts):
+            code = nearest(books[p], c).argmin(1)
+            for e in set(code.tolist()):
+                books[p][e] = [int(s) // int((code == e).sum()) for s in whole[code == e][:, c].sum(0)]
+    found = [nearest(books[p], c) for p, c in enumerate(cuts)]
+    error = sum(d.min(1) for d in found)
+    total = defaultdict(int)
+    for (_, _, y), x in zip(kept, error.tolist(), strict=True):
+        total[y] += x
+    text = [bytes(int(d[k].argmin()) for d in found).hex() for k in range(len(kept))]
+    digest = hashlib.sha256(",".join(str(x) for b in books for x in b.ravel().tolist()).encode()).hexdigest()
+    return sorted(((i, t, e, total[y]) for (i, _, y), t, e in zip(kept, text, error.tolist(), strict=True)), key=repr), digest
+
+
+def check(spark, rows):
+    found = codes.coded_vectors(spark.createDataFrame(rows, SCHEMA)).collect()
+    expected, digest = plain(rows)
+    assert sorted(((r.vec_id, r.code, r.error, r.label_error) for r in found), key=repr) == expected
+    assert {r.codebooks_sha256 for r in found} == {digest}
+
+
+def test_codes_equal_plain_rounds(spark):
+    draw = np.random.default_rng(5)
+    centres = draw.normal(size=(40, 16)) / 4
+    rows = [(k, (centres[k % 40] + 0.08 * draw.normal(size=16)).tolist(), k % 3 or None) for k in range(1500)]
+    check(spark, rows)
+
+
+def test_codes_of_odd_vectors(spark):
+    draw = np.random.default_rng(6)
+    same = [0.25, -0.5, 0.125, 0.0, 0.0, -0.0001]
+    rows = [(k, same, 1) for k in range(300)] + [(5, same, 1), (7, [0.5] * 6, None), (None, [0.1] * 6, 2), (None, [-0.1] * 6, 2)]
+    rows += [(1000 + k, np.round(draw.normal(size=6), 1).tolist(), 3) for k in range(200)]
+    rows += [(900, None, 1), (901, [float("nan")] * 6, 1), (902, [1.0, None, 1.0, 1.0, 1.0, 1.0], 1), (903, [1.0, 2.0], 1)]
+    rows += [(904, [float("inf")] + [0.0] * 5, 1), (905, [], 1), (906, [60000.0, -60000.0, 0.0, 1.0, 2.0, 3.0], 4)]
+    check(spark, rows)
+    check(spark, [(3, [1.0, 2.0, 3.0, 4.0], None), (1, [1.0, 2.0, 3.0, 4.5], None)])
+    check(spark, [(3, [1.0, 2.0], 1), (None, [1.5, 2.0], 1)])
+    assert codes.coded_vectors(spark.createDataFrame([], SCHEMA)).count() == 0
+    assert codes.coded_vectors(spark.createDataFrame([(1, None, 2), (2, [float("nan")], 2)], SCHEMA)).count() == 0
+
+
+def test_clashing_columns(spark):
+    rows = spark.createDataFrame([(1, [1.0] * 4, "a", "x", 0)], "vec_id long, embedding array<double>, label string, v string, code int")
+    assert [(r.vec_id, r.code, r.error, r.label_error) for r in codes.coded_vectors(rows).collect()] == [(1, "00" * 4, 0, 0)]
+
+
+@pytest.mark.parametrize("b", [1, 4, 9])
+def test_bounds_hold_and_save_work(b):
+    draw = np.random.default_rng(b)
+    v = (draw.normal(size=(3000, 4)) * 300).astype(np.int64)
+    entries = v[:60].copy()
+    kept, saved = codes.from_scratch(v, entries, b), []
+    for _ in range(8):
+        new = entries.copy()
+        for e in set(kept.code.tolist()):
+            new[e] = v[kept.code == e].sum(0) // (kept.code == e).sum()
+        moves = codes._moves(entries, new)
+        kept, entries = codes.moved(kept, v, new, moves), new
+        d = codes.all_distances(v, entries)
+        assert (kept.code == d.argmin(1)).all()
+        far = np.sqrt(d.astype(np.float64))
+        row = np.arange(len(v))
+        assert (kept.upper >= far[row, kept.code]).all()
+        assert (kept.low <= np.take_along_axis(far, kept.near, 1)).all()
+        far[row, kept.code] = np.inf
+        np.put_along_axis(far, kept.near, np.inf, 1)
+        assert (kept.outer <= far.min(1)).all()
+        saved.append((kept.need <= b).mean())
+    assert saved[-1] > 0.5 and (kept.need == 0).any()
+
+
+def test_large_numbers_are_exact():
+    v = np.array([[1 << 26, -(1 << 26)], [(1 << 26) - 1, 5]], np.int64)
+    entries = np.array([[-(1 << 26), 1 << 26], [0, 1]], np.int64)
+    expected = [[sum((int(a) - int(b)) ** 2 for a, b in zip(x, e, strict=True)) for e in entries] for x in v]
+    assert codes.all_distances(v, entries).tolist() == expected
