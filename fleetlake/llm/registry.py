@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from fleetlake.llm import bpe, codes, credentials, decontam, hosts, html_text, lattice, minhash, neighbours, orc_tokens, suffixes, toxicity
+from fleetlake.llm import bpe, codes, credentials, decontam, hosts, html_text, lattice, minhash, negatives, neighbours, orc_tokens, suffixes, toxicity
 from fleetlake.llm.common import table
 
 
@@ -59,6 +59,10 @@ def op12_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
     return codes.coded_vectors(table(spark, folder, "embeddings"))
 
 
+def op13_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    return negatives.hard_negatives(table(spark, folder, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -74,6 +78,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op10_hosts,
         op11_secrets,
         op12_vector_codes,
+        op13_hard_negatives,
     )
 }
 
