@@ -10,12 +10,13 @@ from pyspark.sql import functions as F
 from fleetlake.operators import contracts
 from fleetlake.operators.quality import freshness, last_batch, reconcile
 from fleetlake.plans.append import idempotent_append
-from fleetlake.plans.compaction import compact, unarchived, verify_day
+from fleetlake.plans.compaction import compact, verify_day
+from fleetlake.plans.digests import Archive
 from fleetlake.plans.lineage import record_run
 from fleetlake.plans.retention import KEEP_DAYS, cutoff, purge
 from fleetlake.session import scratch_path, staged
 from fleetlake.sources import snapshots
-from fleetlake.sources.layers import Lake, read_newest_day, read_table, stored_days
+from fleetlake.sources.layers import Lake, read_newest_day, read_table
 from fleetlake.sources.paths import remove
 
 RULES = {"positions": contracts.position_rules, "predictions": contracts.prediction_rules}
@@ -103,35 +104,45 @@ def collect_predictions(spark: SparkSession, lake: Lake, landing: str, as_of: da
     return collect(spark, lake, "predictions", rows, as_of, snapshots.unreadable_documents(landed))
 
 
+def _merge(archive: Archive, days: list[str]) -> int:
+    """Merge days of bronze into silver; returns the rows that silver gained."""
+    rows = read_table(archive.spark, archive.paths["bronze"], archive.table)
+    compact(rows.where(F.col("dt").isin(days)), archive.paths["silver"], archive.table)
+    return archive.compacted(days)
+
+
 def compact_day(spark: SparkSession, lake: Lake, table: str, day: date, as_of: datetime) -> int:
-    """Copy one day of bronze to silver; returns what the silver partition then holds."""
-    silver = lake.path("silver", table)
-    if compact(read_table(spark, lake.path("bronze", table), table), silver, table, day) == 0:
+    """Copy one day of bronze to silver; returns what the silver partition then holds.
+
+    A day that silver is known to hold is not read.
+    """
+    archive, name = Archive(spark, lake, table), day.isoformat()
+    if name not in archive.days:
         return 0
-    total = verify_day(spark, silver, table, day)
-    record_run(spark, audit_path(lake), f"compact_{table}", table, "silver", total, "ok", as_of)
+    if archive.lacking([name]):
+        _merge(archive, [name])
+    archive.save()
+    total = verify_day(spark, archive.paths["silver"], table, day)
+    if total:
+        record_run(spark, audit_path(lake), f"compact_{table}", table, "silver", total, "ok", as_of)
     return total
 
 
-def compact_changed(spark: SparkSession, lake: Lake, table: str, as_of: datetime) -> int:
+def compact_changed(
+    spark: SparkSession, lake: Lake, table: str, as_of: datetime, archive: Archive | None = None
+) -> int:
     """Take every day of bronze into silver that has rows silver lacks; returns how many rows were lacking.
 
-    Rows that reach an older day late are found this way. Bronze is the hot window, so it
-    and the same days of silver are compared whole, in one shuffle.
+    Rows that reach an older day late are found this way. Days whose files are those of the
+    last run are not read; see ``plans/digests.py``. A caller that hands in ``archive`` saves it.
     """
-    bronze, silver = (lake.path(layer, table) for layer in ("bronze", "silver"))
-    days = sorted(stored_days(spark, bronze))
-    if not days:
-        return 0
-    rows = read_table(spark, bronze, table)
-    stored = read_table(spark, silver, table).where(F.col("dt").isin(days))
-    # At most one row per calendar day.
-    lacking = {r["dt"]: r["n"] for r in unarchived(rows, stored).collect()}
-    if not lacking:
-        return 0
-    compact(rows.where(F.col("dt").isin(sorted(lacking))), silver, table)
-    total = sum(lacking.values())
-    record_run(spark, audit_path(lake), f"compact_{table}", table, "silver", total, "ok", as_of)
+    alone, archive = archive is None, archive or Archive(spark, lake, table)
+    lacking = archive.lacking()
+    total = _merge(archive, sorted(lacking)) if lacking else 0
+    if alone:
+        archive.save()
+    if total:
+        record_run(spark, audit_path(lake), f"compact_{table}", table, "silver", total, "ok", as_of)
     return total
 
 
@@ -166,14 +177,18 @@ def purge_table(
 
     A day of which silver still lacks a row stays.
     """
-    compact_changed(spark, lake, table, as_of)
+    archive = Archive(spark, lake, table)
+    compact_changed(spark, lake, table, as_of, archive)
     removed = purge(
         spark,
-        lake.path("bronze", table),
+        archive.paths["bronze"],
         table,
         cutoff(as_of, keep_days),
-        archive_path=lake.path("silver", table),
+        archived={day for day in archive.days if archive.is_proven(day)},
     )
+    if removed:
+        archive.purged()
+    archive.save()
     if removed:
         record_run(spark, audit_path(lake), f"purge_{table}", table, "bronze", removed, "ok", as_of)
     return removed

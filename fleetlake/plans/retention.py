@@ -60,17 +60,21 @@ def purge(
     table: str,
     limit: datetime,
     archive_path: str | None = None,
+    archived: set[str] | None = None,
 ) -> int:
     """Remove rows collected before ``limit``; returns how many.
 
     With ``archive_path`` a day stays whole unless that table holds every row of it that
-    would go, each as often as here. Days that end before the limit go as whole folders.
+    would go, each as often as here. ``archived`` names the days for which that is known
+    already; others stay. Days that end before the limit go as whole folders.
     Only the day the limit falls into is rewritten: its survivors are written aside, then
     take the folder's place.
     """
     recover(spark, path)
     boundary = limit.date().isoformat()
     days = {d for d in stored_days(spark, path) if d <= boundary}
+    if archived is not None:
+        days &= archived
     if not days:
         return 0
     rows = read_table(spark, path, table)
