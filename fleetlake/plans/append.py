@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 
 from fleetlake import schemas
 from fleetlake.operators.pick import has_null, ranked_row, unranked
-from fleetlake.sources.layers import read_table
-from fleetlake.sources.paths import STAGED, exists, recover, split, swap_in
+from fleetlake.sources.layers import read_table, stored_days
+from fleetlake.sources.paths import STAGED, exists, files, move, recover, split, swap_in
 
 
 class IncompleteRows(ValueError):
@@ -62,9 +62,12 @@ def idempotent_append(
     table: str,
     order: Sequence[str] = ("id",),
     quarantine: str | None = None,
+    aside: str | None = None,
 ) -> int:
     """Append the rows whose natural key is not stored yet; returns the rows written.
 
+    With ``aside`` they are written to that folder instead, for :func:`publish`.
+
     Of equal keys within the batch the smallest ``order`` wins. A key with a NULL equals
     nothing, so such rows are always written. Rows without a required column go to
     ``quarantine``; without one they are an error. The batch is looked at once for its
@@ -85,6 +88,7 @@ def idempotent_append(
         rows.where(~complete).write.mode("overwrite").parquet(quarantine)
     if first is None:
         return 0
+    target = (path, "append") if aside is None else (aside, "overwrite")
     stored = read_table(spark, path, table).where(
         F.col("dt").between(first.date(), last.date())
         & F.col(time).between(*(F.lit(t.isoformat(sep=" ")).cast("timestamp_ntz") for t in (first, last)))
@@ -92,7 +96,18 @@ def idempotent_append(
     fresh = unseen(rows.where(complete), stored, schemas.NATURAL_KEYS[table], order)
     fresh = with_day(conform(fresh, table), table)
     many = last.date() - first.date() >= timedelta(days=1)
-    return _write((spread_by_day(fresh) if many else fresh).sortWithinPartitions("dt", time), path, "append")
+    return _write((spread_by_day(fresh) if many else fresh).sortWithinPartitions("dt", time), *target)
+
+
+def publish(spark: SparkSession, aside: str, path: str, run: str) -> None:
+    """Move the files of a finished folder into the table, each under a name that ``run`` gives.
+
+    A call that broke off is repeated: files that were moved are no longer there to move.
+    """
+    for day in sorted(stored_days(spark, aside)):
+        for name in files(spark, f"{aside}/dt={day}", ".parquet"):
+            move(spark, f"{aside}/dt={day}/{name}", f"{path}/dt={day}/{run}-{name}")
+    spark.catalog.refreshByPath(path)
 
 
 def unseen(

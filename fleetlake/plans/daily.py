@@ -32,10 +32,18 @@ def quarantine_path(lake: Lake, table: str, run: str) -> str:
 
 
 def store_batch(
-    spark: SparkSession, lake: Lake, table: str, rows: DataFrame, run: str, documents: DataFrame | None = None
+    spark: SparkSession,
+    lake: Lake,
+    table: str,
+    rows: DataFrame,
+    run: str,
+    documents: DataFrame | None = None,
+    aside: str | None = None,
 ) -> dict[str, int]:
     """Take one staged batch of flat rows into bronze; what is refused goes to quarantine.
 
+    With ``aside`` the rows to add are written to that folder and left for the caller to publish.
+
     The contract comes first, so a row without a readable time is refused with its reason
     and not taken for one outside the hours. Returns what became of the rows: ``landed``,
     ``added``, ``duplicates``, ``outside_hours``, ``quarantined``.
@@ -48,7 +56,12 @@ def store_batch(
         F.count("*"), F.count_if(good & open_), F.count_if(good & ~open_)
     ).first()
     added = idempotent_append(
-        valid.where(open_), lake.path("bronze", table), table, ["ordinal"], quarantine_path(lake, table, f"{run}-incomplete")
+        valid.where(open_),
+        lake.path("bronze", table),
+        table,
+        ["ordinal"],
+        quarantine_path(lake, table, f"{run}-incomplete"),
+        aside,
     )
     contracts.rejects(rows, rules).write.mode("overwrite").parquet(quarantine_path(lake, table, run))
     if documents is not None:

@@ -22,7 +22,7 @@ from fleetlake.plans.status import refresh_fleet_status
 from fleetlake.session import scratch_path
 from fleetlake.sources import snapshots
 from fleetlake.sources.layers import Lake, read_silver, read_table
-from fleetlake.streaming.ingest import stream_ingest
+from fleetlake.streaming import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -657,7 +657,7 @@ def _streamed(spark: SparkSession, folder: str, table: str) -> DataFrame:
     root = scratch_path(spark, f"stream_{table}")
     fixtures.as_json(nest[table](fixtures.events(spark, folder))).write.text(f"{root}/landing")
     lake = Lake(f"{root}/lake")
-    stream_ingest(spark, f"{root}/landing", lake, f"{root}/checkpoint", table)
+    ingest.stream_ingest(spark, f"{root}/landing", lake, f"{root}/checkpoint", table)
     return read_table(spark, lake.path("bronze", table), table)
 
 
@@ -675,12 +675,34 @@ def stream_then_batch(spark: SparkSession, folder: str) -> DataFrame:
     landed = fixtures.position_snapshots(fixtures.events(spark, folder))
     fixtures.as_json(landed.where(F.hour("collected_at") % 2 == 0)).write.text(f"{root}/even")
     fixtures.as_json(landed).write.text(f"{root}/all")
-    stream_ingest(spark, f"{root}/even", lake, f"{root}/checkpoint", "positions")
+    ingest.stream_ingest(spark, f"{root}/even", lake, f"{root}/checkpoint", "positions")
     rows = snapshots.flatten_positions(snapshots.read_position_snapshots(spark, f"{root}/all"))
     daily.collect(spark, lake, "positions", rows, AS_OF)
     return read_table(spark, lake.path("bronze", "positions"), "positions").select(*schemas.POSITIONS_KEY)
 
 
+@_query(
+    """
+select count(*) as landed, max(collected_at) as newest,
+  count(distinct (collected_at, vehicle_id)) filter (where hour(collected_at) >= 5) as added,
+  count(*) filter (where hour(collected_at) < 5) as outside_hours
+from positions
+""",
+    "positions",
+)
+def stream_progress(spark: SparkSession, folder: str) -> DataFrame:
+    # Several landed files, two in a micro-batch; batches are added up.
+    root = scratch_path(spark, "progress")
+    landed = fixtures.as_json(fixtures.position_snapshots(fixtures.events(spark, folder)))
+    landed.repartition(6).write.text(f"{root}/landing")
+    lake = Lake(f"{root}/lake")
+    ingest.stream_ingest(spark, f"{root}/landing", lake, f"{root}/checkpoint", "positions", max_files=2)
+    batches = ingest.stream_progress(spark, lake, "positions")
+    return batches.agg(
+        *[F.sum(c).alias(c) for c in ("landed", "added", "outside_hours")], F.max("newest").alias("newest")
+    )
+
+
 @_query(
     """
 select reasons, count(*) as n from (

@@ -26,6 +26,13 @@ def subfolders(spark: SparkSession, path: str) -> list[str]:
     return [s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()]
 
 
+def files(spark: SparkSession, path: str, suffix: str) -> list[str]:
+    """Names of the files directly below ``path`` that end so."""
+    fs, p = _locate(spark, path)
+    names = [s.getPath().getName() for s in fs.listStatus(p) if s.isFile()] if fs.exists(p) else []
+    return sorted(name for name in names if name.endswith(suffix))
+
+
 def remove(spark: SparkSession, path: str) -> bool:
     fs, p = _locate(spark, path)
     return fs.delete(p, True)

@@ -2,12 +2,15 @@ from __future__ import annotations
 
 import json
 
+import pytest
+
 from fleetlake.operators import quality
-from fleetlake.sources import snapshots
-from fleetlake.plans import daily
+from fleetlake.plans import append, daily
 from fleetlake.plans.append import idempotent_append
+from fleetlake.sources import snapshots
 from fleetlake.sources.layers import Lake, read_table
-from fleetlake.streaming.ingest import flat_stream, snapshot_stream, start_stream, stream_ingest, stream_path, take_in
+from fleetlake.streaming import ingest as ingest_module
+from fleetlake.streaming.ingest import flat_stream, snapshot_stream, stream_ingest, stream_progress
 from tests.conftest import at, rows_of
 
 
@@ -57,13 +60,68 @@ def test_batch_jobs_work_after_a_stream(spark, tmp_path, make_positions):
     assert read_table(spark, bronze, "positions").count() == 1
 
 
-def test_a_sink_left_by_a_broken_call_is_taken_in(spark, tmp_path):
-    land(tmp_path / "landing", "a.json", positions("2025-08-15 10:00:00", (1, -23.5)))
+NULL_STOPS = {
+    "collected_at": "2025-08-15 10:00:00",
+    "line_id": 1,
+    "ps": [{"cp": 5, "vs": [{"p": 7, "t": "10:15"}]}, {"cp": None, "vs": [{"p": 7, "t": "10:15"}, {"p": 7, "t": "10:15"}]}],
+}
+
+
+@pytest.mark.parametrize("when", ["before", "after"])
+@pytest.mark.parametrize("step", ["_prepare", "store_batch", "publish", "move", "_record", "_mark", "remove"])
+def test_a_batch_broken_at_any_step_is_taken_once(spark, tmp_path, monkeypatch, step, when):
+    """Rows with a NULL in the key tell: they equal nothing, so a second append would keep them again."""
+    later = NULL_STOPS | {"collected_at": "2025-08-16 10:00:00"}
+    land(tmp_path / "landing", "a.json", NULL_STOPS, later)
+    (tmp_path / "landing/b.json").write_text('{"collected_at": ')
+    module = append if step == "move" else ingest_module
+    real, calls = getattr(module, step), []
+
+    def broken(*arguments, **named):
+        calls.append(1)
+        first = len(calls) == (2 if step == "move" else 1)
+        if first and when == "before":
+            raise OSError("broken")
+        result = real(*arguments, **named)
+        if first:
+            raise OSError("broken")
+        return result
+
+    monkeypatch.setattr(module, step, broken)
+    with pytest.raises(Exception, match="broken"):
+        ingest(spark, tmp_path, "predictions")
+    monkeypatch.setattr(module, step, real)
+    stored = ingest(spark, tmp_path, "predictions")
+    assert rows_of(stored, "dt", "stop_id") == [(d, s) for d in (at("2025-08-15").date(), at("2025-08-16").date()) for s in (5, None, None)]
     lake = Lake(str(tmp_path / "lake"))
-    sink = stream_path(lake, "positions")
-    start_stream(spark, str(tmp_path / "landing"), sink, str(tmp_path / "checkpoint"), "positions").awaitTermination()
-    assert ingest(spark, tmp_path, "positions").count() == 1
-    assert take_in(spark, lake, "positions") == {}
+    assert rows_of(stream_progress(spark, lake, "predictions"), "batch", "documents", "landed", "added") == [(0, 1, 6, 6)]
+    assert spark.read.parquet(str(tmp_path / "lake/quarantine/documents/predictions")).count() == 1
+    assert not (tmp_path / "checkpoint/batch").exists()
+
+
+def test_bookkeeping_stays_small(spark, tmp_path):
+    """Whatever the number of batches: one number is kept, and no files of finished batches."""
+    lake, landing = Lake(str(tmp_path / "lake")), tmp_path / "landing"
+    for k in range(5):
+        land(landing, f"{k}.json", positions(f"2025-08-15 10:0{k}:00", (1, -23.5), (2, 100.0)))
+    counts = stream_ingest(spark, str(landing), lake, str(tmp_path / "checkpoint"), "positions", max_files=2)
+    assert counts == {"documents": 0, "landed": 10, "added": 5, "duplicates": 0, "outside_hours": 0, "quarantined": 5}
+    assert spark.read.parquet(str(tmp_path / "checkpoint/taken")).first()[0] == 2
+    assert not (tmp_path / "checkpoint/batch").exists() and not (tmp_path / "lake/stream").exists()
+    progress = stream_progress(spark, lake)
+    assert rows_of(progress, "batch", "landed") == [(0, 4), (1, 4), (2, 2)]
+    assert progress.agg({"newest": "max"}).first()[0] == at("2025-08-15 10:04:00")
+    assert stream_progress(spark, Lake(str(tmp_path / "none"))).count() == 0
+
+
+def test_a_new_checkpoint_starts_over_without_copies(spark, tmp_path):
+    land(tmp_path / "landing", "a.json", positions("2025-08-15 10:00:00", (1, -23.5), (0, -23.5)))
+    lake = Lake(str(tmp_path / "lake"))
+    for checkpoint in ("one", "two"):
+        stream_ingest(spark, str(tmp_path / "landing"), lake, str(tmp_path / checkpoint), "positions")
+    assert read_table(spark, lake.path("bronze", "positions"), "positions").count() == 1
+    assert rows_of(stream_progress(spark, lake), "added", "duplicates", "quarantined") == [(0, 1, 1), (1, 0, 1)]
+    assert spark.read.parquet(str(tmp_path / "lake/quarantine/positions")).count() == 2
 
 
 def test_restart_takes_new_files_only(spark, tmp_path):
