@@ -3,14 +3,16 @@
 A word is the mean of the vectors of its character n-grams, with marks at both ends, and a
 text is the mean of its distinct words and of ``PADDING`` zero vectors, which keep texts of
 a few words from extreme scores; a softmax over two classes stands on top. Vectors and weights
-are learned together by Adam on a bounded sample of labelled rows. A misspelling never seen
+are learned together by Adam on a bounded sample of labelled rows, under a group lasso that sets the vectors
+of n-grams which tell nothing to zero; a kept-out fifth chooses its strength and when to stop.
+N-grams of a single text are not learned. A misspelling never seen
 shares most n-grams with the word it comes from, and so its vector.
 
 Once trained the model is linear in the text, so what a text costs is one number per
 distinct word: the difference of the two class scores of its mean vector.
 
 Defined results: null and empty texts, and texts without a word, get the score of the bias
-alone; rows are scored each for itself; without labelled rows every score is 0; labels that
+alone; rows are scored each for itself, and of an id that repeats the smallest text is learned from; without labelled rows every score is 0; labels that
 are neither 0 nor 1 are not learned from.
 """
 
@@ -20,21 +22,25 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fleetlake.llm.common import extended, held_out, lowered, mixed, prefix_sums, slices, span_hashes, words
 
-#: Rows of each label that are learned from at most: those of smallest id hash.
-SAMPLE = 3000
+#: Rows of each label that are learned from at most, those of smallest id hash, and the bytes
+#: of their texts at most; a text that no longer fits is passed over.
+SAMPLE, SAMPLE_BYTES = 3000, 1 << 25
 BUCKETS = 1 << 18
 DIMENSIONS = 8
 SHORTEST, LONGEST = 3, 6
-STEPS = 120
+#: Steps in all, and those after which vectors that are zero leave.
+STEPS, SETTLED = 120, 20
 RATE = 0.2
-#: Pull of the vectors towards zero.
-DECAY = 3e-5
+#: Strengths of the group lasso that are tried.
+LASSO = (1e-4, 3e-4, 1e-3)
+#: Share of the learning texts that chooses among them, and texts of a label below which all are learned from.
+KEPT_OUT, FEW = 0.2, 8
 #: Mean vectors are scaled by this before the softmax, as a text has hundreds of words.
 SCALE = 300.0
 THRESHOLD = 0.7
@@ -93,14 +99,23 @@ def _means(values: np.ndarray, begin: np.ndarray, padding: int = 0) -> np.ndarra
     return (sums[begin[1:]] - sums[begin[:-1]]) / np.maximum(np.diff(begin) + padding, 1)
 
 
-def train(texts: pa.Array, labels: np.ndarray, seed: int = 7) -> Model:
-    """Learns from whole texts, all of them in each step.
+@dataclass(frozen=True)
+class Bags:
+    """Texts as bags of distinct words, words as bags of n-gram buckets.
 
-    With two classes a softmax sees only the difference of its two columns, so gradients
-    need one number per text, word and n-gram; the vectors are updated from those.
+    ``bucket`` lists the buckets that occur in more than one text; ``gram`` points into it.
+    Other n-grams count as zero vectors, but still count in a word's mean.
     """
-    if not len(labels):
-        return Model(None, 0.0)
+
+    bucket: np.ndarray
+    gram: np.ndarray
+    owner: np.ndarray
+    sizes: np.ndarray
+    token: np.ndarray
+    counts: np.ndarray
+
+
+def all_bags(texts: pa.Array) -> Bags:
     seen = np.empty(0, np.uint64)
     kinds, gram, sizes, token, counts = [], [], [], [], []
     for _, _, data, bounds in slices(lowered(texts)):
@@ -115,46 +130,100 @@ def train(texts: pa.Array, labels: np.ndarray, seed: int = 7) -> Model:
     order = np.argsort(np.concatenate(kinds))
     token = order[np.searchsorted(seen, np.concatenate(token))].astype(np.int32)
     gram, sizes, counts = np.concatenate(gram), np.concatenate(sizes), np.concatenate(counts)
-    begin, at = (np.concatenate([[0], np.cumsum(x)]) for x in (sizes, counts))
-    share = SCALE / (counts + PADDING)
+    owner = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
+    # A bucket of one text can only tell that text by heart. Words of one text may share it.
+    texts_of = np.bincount(token, minlength=len(sizes))
+    bucket = np.flatnonzero(np.bincount(gram, texts_of[owner], BUCKETS) > 1)
+    known = np.isin(gram, bucket)
+    return Bags(bucket, np.searchsorted(bucket, gram[known]).astype(np.int32), owner[known], sizes, token, counts)
+
+
+def _learned(bag: Bags, labels: np.ndarray, tuned: np.ndarray, lasso: float, seed: int) -> tuple[float, Model]:
+    """The model of the step at which the kept-out texts, those not ``tuned``, had the least loss."""
     random = np.random.default_rng(seed)
-    vectors = random.normal(0, 0.01, (BUCKETS, DIMENSIONS)).astype(np.float32)
+    vectors = random.normal(0, 0.01, (len(bag.bucket), DIMENSIONS)).astype(np.float32)
     out, bias = random.normal(0, 1, DIMENSIONS).astype(np.float32), np.zeros(1, np.float32)
     state = [(np.zeros_like(p), np.zeros_like(p)) for p in (vectors, out, bias)]
-    balance = np.where(labels == 1, 0.5 / max(1, (labels == 1).sum()), 0.5 / max(1, (labels == 0).sum()))
+    share = SCALE / (bag.counts + PADDING)
+    sides = [tuned, ~tuned] if (~tuned).any() else [tuned, tuned]
+    weights = []
+    for side in sides:
+        n = [max(1, int((side & (labels == y)).sum())) for y in (0, 1)]
+        weights.append(np.where(labels == 1, 0.5 / n[1], 0.5 / n[0]) * side)
+    least, best = np.inf, Model(np.zeros(BUCKETS, np.float32), 0.0)
+    bucket, gram, owner, token = bag.bucket, bag.gram, bag.owner, bag.token
+    text = np.repeat(np.arange(len(labels)), bag.counts)
     for step in range(1, STEPS + 1):
-        per_word = _means((vectors @ out)[gram], begin)
-        logits = SCALE * _means(per_word[token], at, PADDING) + bias[0]
-        error = (1 / (1 + np.exp(-np.clip(logits, -500, 500))) - labels) * balance
-        of_word = np.bincount(token, np.repeat(error * share, counts), len(sizes))
-        of_gram = np.bincount(gram, np.repeat(of_word / sizes, sizes), BUCKETS).astype(np.float32)
-        gradients = (
-            of_gram[:, None] * out + DECAY * vectors,
-            vectors.T @ of_gram,
-            np.array([error.sum()], np.float32),
-        )
+        if step > SETTLED and step % 10 == 1:
+            # Vectors that are zero by now stay so, and words of nothing else are passed over.
+            alive = vectors.any(axis=1)
+            here = alive[gram]
+            gram, owner, bucket = (np.cumsum(alive) - 1)[gram[here]], owner[here], bucket[alive]
+            vectors, state[0] = vectors[alive], (state[0][0][alive], state[0][1][alive])
+            told = np.isin(token, owner)
+            token, text = token[told], text[told]
+        weight = vectors @ out
+        per_word = np.bincount(owner, weight[gram], len(bag.sizes)) / bag.sizes
+        logits = np.clip(np.bincount(text, per_word[token], len(labels)) * share + bias[0], -500, 500)
+        chance = 1 / (1 + np.exp(-logits))
+        loss = float((np.logaddexp(0, np.where(labels == 1, -logits, logits)) * weights[1]).sum())
+        if loss < least:
+            whole = np.zeros(BUCKETS, np.float32)
+            whole[bucket] = weight * np.float32(SCALE)
+            least, best = loss, Model(whole, float(bias[0]))
+        error = (chance - labels) * weights[0]
+        of_word = np.bincount(token, (error * share)[text], len(bag.sizes)) / bag.sizes
+        of_gram = np.bincount(gram, of_word[owner], len(bucket)).astype(np.float32)
+        gradients = (of_gram[:, None] * out, vectors.T @ of_gram, np.array([error.sum()], np.float32))
         rate = RATE * (1 - (step - 1) / STEPS)
         for parameter, (m, v), g in zip((vectors, out, bias), state, gradients, strict=True):
-            m += 0.1 * (g - m)
-            v += 0.001 * (g * g - v)
-            parameter -= rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-12)
-    return Model((vectors @ out) * np.float32(SCALE), float(bias[0]))
+            m += np.float32(0.1) * (g - m)
+            v += np.float32(0.001) * (g * g - v)
+            parameter -= np.float32(rate / (1 - 0.9**step)) * m / (np.sqrt(v * np.float32(1 / (1 - 0.999**step))) + np.float32(1e-12))
+        # The lasso's step in the scale of Adam's: a vector the data don't call for becomes zero.
+        spread = np.sqrt(state[0][1] / (1 - 0.999**step)).mean(1) + 1e-12
+        length = np.sqrt((vectors**2).sum(1))
+        vectors *= np.maximum(0, 1 - rate * lasso / spread / (length + 1e-20))[:, None]
+    return least, best
+
+
+def train(texts: pa.Array, labels: np.ndarray, seed: int = 7) -> Model:
+    """Learns from whole texts, all of them in each step.
+
+    With two classes a softmax sees only the difference of its two columns, so gradients
+    need one number per text, word and n-gram; the vectors are updated from those. A fifth of
+    the texts is kept out: it chooses the strength of the group lasso that clears n-grams
+    which tell nothing, and the step to stop at.
+    """
+    if not len(labels):
+        return Model(None, 0.0)
+    bag = all_bags(texts)
+    tuned = np.random.default_rng(seed).random(len(labels)) >= KEPT_OUT
+    for y in (0, 1):
+        # Few texts of a label: learn from all of them.
+        if (tuned & (labels == y)).sum() < FEW or (~tuned & (labels == y)).sum() == 0:
+            tuned |= labels == y
+    return min((_learned(bag, labels, tuned, lasso, seed) for lasso in LASSO), key=lambda found: found[0])[1]
 
 
-def labelled(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
-    """At most ``sample`` whole texts of each label, outside the held-out third."""
+def labelled(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, limit: int = SAMPLE_BYTES) -> DataFrame:
+    """At most ``sample`` whole texts of each label, and ``limit`` bytes of them, outside the held-out third."""
     known = labels.select("doc_id", "toxic").where("toxic in (0, 1) and doc_id is not null")
     known = known.where(~held_out(3, 1)).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     order = (F.xxhash64("doc_id"), F.col("doc_id"))
     drawn = [known.where(F.col("toxic") == y).orderBy(*order).limit(sample) for y in (0, 1)]
-    # At most two samples of ids, so the broadcast is bounded.
-    chosen = F.broadcast(drawn[0].unionByName(drawn[1]))
-    return docs.select("doc_id", "text").join(chosen, "doc_id").select("doc_id", "text", "toxic")
+    # At most two samples of ids, so the broadcast is bounded. Of an id that repeats the smallest text counts.
+    chosen = docs.select("doc_id", "text").join(F.broadcast(drawn[0].unionByName(drawn[1])), "doc_id")
+    chosen = chosen.groupBy("doc_id", "toxic").agg(F.min(F.coalesce("text", F.lit(""))).alias("text"))
+    sized = Window.partitionBy("toxic").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    size = F.octet_length("text")
+    fits = F.sum(F.when(size <= limit, size).otherwise(0)).over(sized)
+    return chosen.withColumn("upto", fits).where((F.col("upto") <= limit) & (size <= limit)).drop("upto")
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     """A model learned on the driver from the bounded sample."""
-    rows = labelled(docs, labels, sample).dropDuplicates(["doc_id"]).toArrow()
+    rows = labelled(docs, labels, sample).toArrow()
     order = np.argsort(rows.column("doc_id").to_numpy(), kind="stable")
     rows = rows.take(pa.array(order)).combine_chunks()
     texts = rows.column("text").chunk(0) if rows.num_rows else pa.array([], pa.string())
