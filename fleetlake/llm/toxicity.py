@@ -138,8 +138,13 @@ def all_bags(texts: pa.Array) -> Bags:
     return Bags(bucket, np.searchsorted(bucket, gram[known]).astype(np.int32), owner[known], sizes, token, counts)
 
 
-def _learned(bag: Bags, labels: np.ndarray, tuned: np.ndarray, lasso: float, seed: int) -> tuple[float, Model]:
-    """The model of the step at which the kept-out texts, those not ``tuned``, had the least loss."""
+def _learned(
+    bag: Bags, labels: np.ndarray, tuned: np.ndarray, lasso: float, seed: int, stop: int = 0
+) -> tuple[float, int, Model]:
+    """Loss, step and model where the kept-out texts, those not ``tuned``, had the least loss.
+
+    With ``stop`` it is the model of that step.
+    """
     random = np.random.default_rng(seed)
     vectors = random.normal(0, 0.01, (len(bag.bucket), DIMENSIONS)).astype(np.float32)
     out, bias = random.normal(0, 1, DIMENSIONS).astype(np.float32), np.zeros(1, np.float32)
@@ -150,7 +155,7 @@ def _learned(bag: Bags, labels: np.ndarray, tuned: np.ndarray, lasso: float, see
     for side in sides:
         n = [max(1, int((side & (labels == y)).sum())) for y in (0, 1)]
         weights.append(np.where(labels == 1, 0.5 / n[1], 0.5 / n[0]) * side)
-    least, best = np.inf, Model(np.zeros(BUCKETS, np.float32), 0.0)
+    least, best = np.inf, (1, Model(np.zeros(BUCKETS, np.float32), 0.0))
     bucket, gram, owner, token = bag.bucket, bag.gram, bag.owner, bag.token
     text = np.repeat(np.arange(len(labels)), bag.counts)
     for step in range(1, STEPS + 1):
@@ -167,10 +172,12 @@ def _learned(bag: Bags, labels: np.ndarray, tuned: np.ndarray, lasso: float, see
         logits = np.clip(np.bincount(text, per_word[token], len(labels)) * share + bias[0], -500, 500)
         chance = 1 / (1 + np.exp(-logits))
         loss = float((np.logaddexp(0, np.where(labels == 1, -logits, logits)) * weights[1]).sum())
-        if loss < least:
+        if step == stop if stop else loss < least:
             whole = np.zeros(BUCKETS, np.float32)
             whole[bucket] = weight * np.float32(SCALE)
-            least, best = loss, Model(whole, float(bias[0]))
+            least, best = loss, (step, Model(whole, float(bias[0])))
+            if stop:
+                break
         error = (chance - labels) * weights[0]
         of_word = np.bincount(token, (error * share)[text], len(bag.sizes)) / bag.sizes
         of_gram = np.bincount(gram, of_word[owner], len(bucket)).astype(np.float32)
@@ -184,7 +191,7 @@ def _learned(bag: Bags, labels: np.ndarray, tuned: np.ndarray, lasso: float, see
         spread = np.sqrt(state[0][1] / (1 - 0.999**step)).mean(1) + 1e-12
         length = np.sqrt((vectors**2).sum(1))
         vectors *= np.maximum(0, 1 - rate * lasso / spread / (length + 1e-20))[:, None]
-    return least, best
+    return least, *best
 
 
 def train(texts: pa.Array, labels: np.ndarray, seed: int = 7) -> Model:
@@ -193,7 +200,7 @@ def train(texts: pa.Array, labels: np.ndarray, seed: int = 7) -> Model:
     With two classes a softmax sees only the difference of its two columns, so gradients
     need one number per text, word and n-gram; the vectors are updated from those. A fifth of
     the texts is kept out: it chooses the strength of the group lasso that clears n-grams
-    which tell nothing, and the step to stop at.
+    which tell nothing, and the step to stop at. Then all texts are learned from that way.
     """
     if not len(labels):
         return Model(None, 0.0)
@@ -203,7 +210,9 @@ def train(texts: pa.Array, labels: np.ndarray, seed: int = 7) -> Model:
         # Few texts of a label: learn from all of them.
         if (tuned & (labels == y)).sum() < FEW or (~tuned & (labels == y)).sum() == 0:
             tuned |= labels == y
-    return min((_learned(bag, labels, tuned, lasso, seed) for lasso in LASSO), key=lambda found: found[0])[1]
+    found = [(*_learned(bag, labels, tuned, lasso, seed)[:2], lasso) for lasso in LASSO]
+    _, step, lasso = min(found)
+    return _learned(bag, labels, np.ones(len(labels), bool), lasso, seed, step)[2]
 
 
 def labelled(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, limit: int = SAMPLE_BYTES) -> DataFrame:
