@@ -14,8 +14,9 @@ that are not yet linked to the drawn member are compared. Comparisons are exact.
 Then the buckets that still hold more than one class are open, and every near pair of their
 nodes is found: the index is at most the common mass of the two distributions, so in any
 order of all shingles the first common one has ``THRESHOLD`` of the mass from it on in both
-texts. Pairs of different classes that share such a leading shingle are compared; rare
-shingles lead, so what many texts share by a template leads in none of them.
+texts. Pairs of different classes that share such a leading shingle are compared, unless the bits
+that sum up their shingles differ in more places than near texts can; rare shingles lead, so
+what many texts share by a template seldom does.
 
 Defined results: null counts as empty; rows without a word are near-duplicates of each
 other only; texts under five words have one shingle; repeated rows fall into one class; the
@@ -26,7 +27,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fleetlake.llm.common import chunks, lowered, mixed, powers, row_keys, shingle_hashes, slices, text_buffer, word_hashes
@@ -41,6 +42,8 @@ THRESHOLD = 0.8
 COUNTERS = 1 << 20
 #: Texts with at most this share of their mass in repeated shingles are even.
 EVEN = 0.01
+#: Words of 64 parity bits that a text is summed up in.
+PARITIES = 16
 
 
 def weighted(hashes: np.ndarray, begin: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -240,7 +243,44 @@ def _counted(batches):
         yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(times[part])], ["counter", "n"])
 
 
-LEADING = "token long, node binary, component binary, size long, even boolean, inner boolean"
+MASKS = [f"mask{k}" for k in range(PARITIES)]
+LEADING = "token long, node binary, component binary, size long, even boolean, inner boolean, repeated double, " + ", ".join(f"{m} long" for m in MASKS)
+
+
+def parities(hashes: np.ndarray, weights: np.ndarray, begin: np.ndarray) -> np.ndarray:
+    """For each row, whether the shingles that fall to a bit are odd in number.
+
+    Two rows differ in at most as many bits as units of weight, so the bits in which they
+    differ bound the distance of the rows from below.
+    """
+    row = np.repeat(np.arange(len(begin) - 1), np.diff(begin))
+    bit = mixed(hashes ^ np.uint64(0x5851F42D4C957F2D)) % np.uint64(64 * PARITIES)
+    odd = weights % 2 == 1
+    out = np.zeros((len(begin) - 1, PARITIES), np.uint64)
+    np.bitwise_xor.at(out, (row[odd], (bit // np.uint64(64)).astype(np.int64)[odd]), np.uint64(1) << (bit[odd] % np.uint64(64)))
+    return out
+
+
+def repeated_share(weights: np.ndarray, begin: np.ndarray) -> np.ndarray:
+    """The share of each row's mass in repeated shingles."""
+    sums = [np.concatenate([[0], np.cumsum(w)]) for w in (weights, np.where(weights > 1, weights, 0))]
+    size, repeated = (x[begin[1:]] - x[begin[:-1]] for x in sums)
+    return repeated / np.maximum(size, 1)
+
+
+def far_apart() -> Column:
+    """Whether sizes and parities of rows ``_a`` and ``_b`` rule out that they are near.
+
+    With the common weight c and the distance d = |a| + |b| - 2c, what is not repeated adds at
+    most c / (|a| + |b| - c) to the index and the rest at most its mass, so near rows need
+    c >= t / (1 + t) * (|a| + |b|) for t = ``THRESHOLD`` less both repeated shares; they also need a
+    common mass, which is at most c / min(|a|, |b|), of ``THRESHOLD``.
+    """
+    differing = sum((F.bit_count(F.col(f"{m}_a").bitwiseXOR(F.col(f"{m}_b"))) for m in MASKS), F.lit(0))
+    both, shorter = F.col("size_a") + F.col("size_b"), F.least("size_a", "size_b")
+    t = F.lit(THRESHOLD) - F.col("repeated_a") - F.col("repeated_b")
+    no_index = (t > 0) & (differing > (1 - t) / (1 + t) * both + 1e-6)
+    return no_index | (both - differing < (2 * THRESHOLD - 1e-6) * shorter)
 
 
 def leading(hashes: np.ndarray, weights: np.ndarray, begin: np.ndarray, times: np.ndarray):
@@ -286,10 +326,13 @@ def open_pairs(band: DataFrame, linked: DataFrame, texts: DataFrame) -> DataFram
             # A shingle that its counter saw once is in one text only.
             also = shared.value[_counter(hashes[at])] > 1
             take = pa.array(row[also])
+            repeated = repeated_share(weights, begin)[row[also]]
+            masks = parities(hashes, weights, begin).view(np.int64)[row[also]]
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(hashes[at][also].view(np.int64)), *(c.take(take) for c in names),
-                    pa.array(size[also]), pa.array(even[also]), pa.array(inner[also]),
+                    pa.array(size[also]), pa.array(even[also]), pa.array(inner[also]), pa.array(repeated),
+                    *(pa.array(np.ascontiguousarray(masks[:, k])) for k in range(PARITIES)),
                 ],
                 [field.split()[0] for field in LEADING.split(", ")],
             )
@@ -300,12 +343,14 @@ def open_pairs(band: DataFrame, linked: DataFrame, texts: DataFrame) -> DataFram
         F.max_by("component", F.struct("n", "component")).alias("most"), F.count("*").alias("classes")
     )
     most = staged(most.where("classes > 1").select("token", "most"), scratch_path(spark, "common"))
+    own_columns = tokens.columns[1:]
     tokens = tokens.join(most, "token")
-    left, right = (tokens.select("token", "most", *(F.col(c).alias(f"{c}_{s}") for c in tokens.columns[1:6])) for s in "ab")
+    left, right = (tokens.select("token", "most", *(F.col(c).alias(f"{c}_{s}") for c in own_columns)) for s in "ab")
     pairs = left.where("component_a <> most").join(right.drop("most"), "token").where("component_a <> component_b")
     plain = ~(F.col("even_a") & F.col("even_b"))
     shorter = (F.col("inner_a") | (F.col("size_a") > F.col("size_b"))) & (F.col("inner_b") | (F.col("size_b") > F.col("size_a")))
-    pairs = pairs.where(plain | shorter)
+    # Texts of one template share all of it; in the join, parities leave those of them that can be near.
+    pairs = pairs.where((plain | shorter) & ~far_apart())
     pairs = pairs.select(F.greatest("node_a", "node_b").alias("u"), F.least("node_a", "node_b").alias("v")).distinct()
     return staged(pairs, scratch_path(spark, "pairs"))
 

@@ -173,3 +173,32 @@ def test_near_rows_share_a_leading_shingle():
             common = {h for h in common if (a[h] or size_a > size_b) and (b[h] or size_b > size_a)}
         assert common
     assert near > 500
+
+
+def test_parities_never_part_near_rows(spark):
+    """Bits that differ stay below the distance, and the bound cuts no near pair but most others."""
+    draw, rows, near = np.random.default_rng(5), [], []
+    for _ in range(1500):
+        base = np.unique(draw.integers(0, 2**63, int(draw.integers(2, 300))).astype(np.uint64))
+        loss, repeats = draw.choice([0.02, 0.06, 0.1, 0.2]), draw.choice([0, 0.005, 0.1])
+        bags = []
+        for _ in range(2):
+            own = np.concatenate([base[draw.random(len(base)) > loss], draw.integers(0, 2**63, int(loss * len(base))).astype(np.uint64)])
+            own = np.unique(own)
+            bags.append((own, 1 + (draw.random(len(own)) < repeats).astype(np.int64)))
+        if not all(len(b[0]) for b in bags):
+            continue
+        masks = [minhash.parities(h, w, np.array([0, len(h)]))[0] for h, w in bags]
+        weights = [dict(zip(h.tolist(), w.tolist(), strict=True)) for h, w in bags]
+        distance = sum(abs(weights[0].get(h, 0) - weights[1].get(h, 0)) for h in weights[0].keys() | weights[1].keys())
+        assert sum(int(x ^ y).bit_count() for x, y in zip(*masks, strict=True)) <= distance
+        share = [float(minhash.repeated_share(w, np.array([0, len(w)]))[0]) for _, w in bags]
+        side = [[int(w.sum()), e, *(m.view(np.int64).tolist())] for (_, w), e, m in zip(bags, share, masks, strict=True)]
+        near.append(minhash.probability_jaccard(*bags) >= 0.8)
+        rows.append((len(near) - 1, *side[0], *side[1]))
+    names = [f"{c}_{s}" for s in "ab" for c in ("size", "repeated", *minhash.MASKS)]
+    kinds = ["double" if n.startswith("repeated") else "long" for n in names]
+    table = spark.createDataFrame(rows, "n long, " + ", ".join(f"{n} {k}" for n, k in zip(names, kinds, strict=True)))
+    cut = {r.n: r.far for r in table.select("n", minhash.far_apart().alias("far")).collect()}
+    assert sum(near) > 200 and not any(cut[n] for n, is_near in enumerate(near) if is_near)
+    assert np.mean([cut[n] for n, is_near in enumerate(near) if not is_near]) > 0.6
