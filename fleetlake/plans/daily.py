@@ -106,13 +106,13 @@ def collect_positions(
     target_ids: list[int],
 ) -> int:
     codes = snapshots.target_codes(catalog, target_ids)
-    landed = snapshots.read_position_snapshots(spark, landing)
+    landed = snapshots.read_position_snapshots(spark, landing, whole_files=True)
     rows = snapshots.flatten_positions(landed, codes)
     return collect(spark, lake, "positions", rows, as_of, snapshots.unreadable_documents(landed))
 
 
 def collect_predictions(spark: SparkSession, lake: Lake, landing: str, as_of: datetime) -> int:
-    landed = snapshots.read_prediction_snapshots(spark, landing)
+    landed = snapshots.read_prediction_snapshots(spark, landing, whole_files=True)
     rows = snapshots.flatten_predictions(landed)
     return collect(spark, lake, "predictions", rows, as_of, snapshots.unreadable_documents(landed))
 

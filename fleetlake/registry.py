@@ -287,7 +287,7 @@ def trusted_line_metrics(spark: SparkSession, folder: str) -> DataFrame:
     """
 with predicted as (
   select s.*, row_number() over (order by analyzed_at, id) as place
-  from fleet_status s where next_stop_id > 0 or next_stop_id <= 0)
+  from fleet_status s where next_stop_id is not null)
 select analyzed_at, vehicle_id, line_code, next_stop_id, predicted_arrival from predicted where place <= 10
 """,
     "fleet_status",
@@ -598,6 +598,20 @@ def flatten_predictions(spark: SparkSession, folder: str) -> DataFrame:
     return snapshots.flatten_predictions(parsed).drop("ordinal", "unreadable")
 
 
+@_query("select * exclude (id) from positions", "positions")
+def flatten_indented(spark: SparkSession, folder: str) -> DataFrame:
+    # Every collection is one file; half of them are written over several lines, as one array.
+    path = scratch_path(spark, "indented")
+    landed = fixtures.position_snapshots(fixtures.events(spark, folder))
+    plain = F.hour("collected_at") % 2 == 0
+    fixtures.as_json(landed.where(plain)).write.text(f"{path}/lines")
+    arrays = landed.where(~plain).groupBy("collected_at").agg(F.collect_list(F.struct("*")).alias("all"))
+    options = {"ignoreNullFields": "false", "pretty": "true"}
+    arrays.select(F.to_json("all", options).alias("value"), F.col("collected_at").alias("hour")).write.partitionBy("hour").text(f"{path}/arrays")
+    read = [snapshots.read_position_snapshots(spark, f"{path}/{kind}", whole_files=True) for kind in ("lines", "arrays")]
+    return snapshots.flatten_positions(read[0].unionByName(read[1].select(*read[0].columns))).drop("ordinal", "unreadable")
+
+
 @_query(
     """
 select p.id from positions p
@@ -825,6 +839,25 @@ def backfill_counts(spark: SparkSession, folder: str) -> DataFrame:
     return backfill.backfill(spark, sources, Lake(scratch_path(spark, "lake")))
 
 
+@_query(
+    """
+select id from (
+  select id, stop_id, predicted_at, row_number() over (
+    partition by collected_at, line_id, vehicle_id, stop_id, predicted_at order by id) as rn
+  from predictions_dup) t
+where rn = 1 or stop_id is null or predicted_at is null
+""",
+    "predictions_dup",
+)
+def backfill_resumed(spark: SparkSession, folder: str) -> DataFrame:
+    # The first call ends after two slices, the second goes on.
+    sources = {"predictions": fixtures.predictions_dup(fixtures.events(spark, folder))}
+    lake = Lake(scratch_path(spark, "lake"))
+    backfill.backfill(spark, sources, lake, slice_days=7, at_most=2)
+    backfill.backfill(spark, sources, lake, slice_days=7)
+    return read_table(spark, lake.path("bronze", "predictions"), "predictions").select("id")
+
+
 @_query(
     """
 select 'positions' as table_name, cast(count(*) as bigint) as to_remove from positions

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from fleetlake import schemas
 from fleetlake.functions import gps_to_local, parse_local, parse_utc, seconds_of_day
@@ -16,18 +17,57 @@ OPENING_SECOND = 5 * 3600
 CLOSING_SECOND = 23 * 3600
 
 
-def read_position_snapshots(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(schemas.POSITION_SNAPSHOT).json(path)
+def read_position_snapshots(spark: SparkSession, path: str, whole_files: bool = False) -> DataFrame:
+    return _read(spark, path, schemas.POSITION_SNAPSHOT, whole_files)
 
 
-def read_prediction_snapshots(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(schemas.PREDICTION_SNAPSHOT).json(path)
+def read_prediction_snapshots(spark: SparkSession, path: str, whole_files: bool = False) -> DataFrame:
+    return _read(spark, path, schemas.PREDICTION_SNAPSHOT, whole_files)
+
+
+def _read(spark: SparkSession, path: str, schema: str, whole_files: bool) -> DataFrame:
+    """Landed documents, one per line; with ``whole_files`` also such as fill a file over several lines.
+
+    Files are read by lines first. Only those with a line that is no document are read again as a
+    whole, and where all of the text is one document or an array of them, that replaces the lines.
+    """
+    lines = spark.read.schema(schema).json(path)
+    if not whole_files:
+        return lines
+    named = lines.withColumn("_file", F.col("_metadata.file_path"))
+    # Reading the broken text alone is not allowed; the second test is always true.
+    broken = F.col("_corrupt_record").isNotNull() & (F.length(F.coalesce("collected_at", F.lit(""))) >= 0)
+    # Some of the names that the planner lists for the scan anyway.
+    files = [r["_file"] for r in named.where(broken).select("_file").distinct().collect()]
+    if not files:
+        return lines
+    whole = whole_documents(spark, files, schema)
+    kept = named.join(whole.select("_file").distinct(), "_file", "left_anti")
+    return kept.drop("_file").unionByName(whole.drop("_file"))
+
+
+def whole_documents(spark: SparkSession, files: list[str], schema: str) -> DataFrame:
+    """``_file`` and the documents of files that hold one, or an array of them, as their whole text."""
+    texts = spark.read.text(files, wholetext=True).select(F.col("_metadata.file_path").alias("_file"), "value")
+    # The parser passes over what follows a document. No text that goes on after one fits into both frames.
+    framed = [F.try_parse_json(F.concat(F.lit(a), "value", F.lit(b))) for a, b in (("[", "]"), ('{"a":', "}"))]
+    parsed = texts.where(framed[0].isNotNull() & framed[1].isNotNull())
+    one = F.array(F.from_json("value", schema))
+    several = F.from_json("value", f"array<struct<{_as_fields(schema)}>>")
+    listed = F.when(F.ltrim("value").startswith("["), several).otherwise(one)
+    documents = parsed.select("_file", F.explode(listed).alias("document"))
+    return documents.select("_file", "document.*").where("collected_at is not null and _corrupt_record is null")
+
+
+def _as_fields(schema: str) -> str:
+    return ", ".join(f"{f.name}: {f.dataType.simpleString()}" for f in T.StructType.fromDDL(schema))
 
 
 def unreadable_documents(snapshots: DataFrame) -> DataFrame:
     """``document, reason`` of landed lines that are no snapshot: broken JSON, or no collection time.
 
-    A document written over several lines shows up here line by line.
+    A document written over several lines shows up here line by line, unless it was read
+    with ``whole_files``.
     """
     reason = F.when(F.col("_corrupt_record").isNotNull(), "broken").when(
         F.col("collected_at").isNull(), "no collection time"

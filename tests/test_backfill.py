@@ -1,0 +1,83 @@
+from __future__ import annotations
+
+import pytest
+
+from fleetlake.plans import append, backfill
+from fleetlake.sources.layers import Lake, read_table
+from fleetlake.sources.paths import exists
+from tests.conftest import rows_of
+
+
+@pytest.fixture
+def source(make_predictions):
+    """Four slices; the rows without a stop equal nothing, so a second append would keep them again."""
+    days = ["2025-08-01", "2025-08-04", "2025-08-12", "2025-08-20"]
+    rows = [(10 * k + i, f"{day} 10:00:00", 1, 7, stop, "10:15") for k, day in enumerate(days) for i, stop in enumerate((5, 5, None, None))]
+    return make_predictions(*rows)
+
+
+def stored(spark, lake):
+    return rows_of(read_table(spark, lake.path("bronze", "predictions"), "predictions"), "id")
+
+
+EXPECTED = sorted(((10 * k + i,) for k in range(4) for i in (0, 2, 3)), key=repr)
+
+
+@pytest.mark.parametrize("when", ["before", "after"])
+@pytest.mark.parametrize("step", ["idempotent_append", "publish", "move", "remove"])
+def test_a_run_broken_in_a_slice_goes_on_there(spark, tmp_path, monkeypatch, source, step, when):
+    lake, calls = Lake(str(tmp_path)), []
+    real = getattr(backfill, step)
+
+    def broken(*arguments, **named):
+        calls.append(1)
+        # The second slice; a slice removes the folder aside before and after it is taken.
+        here = len(calls) == (4 if step == "remove" else 2)
+        if here and when == "before":
+            raise OSError("broken")
+        result = real(*arguments, **named)
+        if here:
+            raise OSError("broken")
+        return result
+
+    with monkeypatch.context() as patch:
+        patch.setattr(backfill, step, broken)
+        with pytest.raises(OSError, match="broken"):
+            backfill.backfill(spark, {"predictions": source}, lake, slice_days=7)
+    first = stored(spark, lake)
+    assert first and len(first) < len(EXPECTED)
+    taken = []
+    with monkeypatch.context() as patch:
+        patch.setattr(backfill, "_take_slice", lambda *a, f=backfill._take_slice: taken.append(a[6]) or f(*a))
+        found = backfill.backfill(spark, {"predictions": source}, lake, slice_days=7)
+    assert rows_of(found) == [("predictions", 16, 12)] and stored(spark, lake) == EXPECTED
+    assert len(taken) <= 3 < len(backfill._slices(source, "collected_at", 7))
+    assert not exists(spark, f"{lake.path('state', 'backfill')}/predictions")
+
+
+def test_slices_by_the_call(spark, tmp_path, source):
+    lake = Lake(str(tmp_path))
+    taken = [rows_of(backfill.backfill(spark, {"predictions": source}, lake, slice_days=7, at_most=1))[0] for _ in range(4)]
+    assert [t[1:] for t in taken] == [(4, 3), (8, 6), (12, 9), (16, 12)]
+    assert stored(spark, lake) == EXPECTED
+    # All is done, so the next call looks at everything again and adds only what equals nothing.
+    assert rows_of(backfill.backfill(spark, {"predictions": source.where("stop_id is not null")}, lake)) == [("predictions", 8, 12)]
+
+
+def test_rows_without_a_time_are_quarantined(spark, tmp_path, make_predictions):
+    lake = Lake(str(tmp_path))
+    rows = make_predictions((1, "2025-08-01 10:00:00", 1, 7, 5, "10:15"))
+    untimed = rows.selectExpr("2 as id", "cast(null as timestamp_ntz) as collected_at", "line_id", "vehicle_id", "stop_id", "predicted_at")
+    found = backfill.backfill(spark, {"predictions": rows.unionByName(untimed), "positions": rows.limit(0)}, lake)
+    assert rows_of(found) == [("predictions", 2, 1)]
+    assert rows_of(spark.read.parquet(lake.path("quarantine", "predictions")), "id") == [(2,)]
+
+
+def test_files_of_a_slice_keep_their_names(spark, tmp_path, source):
+    """Publishing twice moves nothing twice."""
+    lake = Lake(str(tmp_path))
+    aside, bronze = str(tmp_path / "aside"), lake.path("bronze", "predictions")
+    append.idempotent_append(source, bronze, "predictions", aside=aside)
+    append.publish(spark, aside, bronze, "r")
+    append.publish(spark, aside, bronze, "r")
+    assert stored(spark, lake) == EXPECTED

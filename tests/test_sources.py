@@ -157,3 +157,23 @@ def test_load_layer(spark, tmp_path, make_positions):
     assert read_silver(spark, silver, "positions").columns == schemas.POSITIONS.names
     assert stored_days(spark, silver) == {"2025-08-16"}
     assert load_layer(spark, lake, "predictions").columns == schemas.PREDICTIONS.names
+
+
+def test_documents_over_several_lines(spark, tmp_path):
+    document = {"collected_at": "2025-08-14 10:00:00", "l": [{"c": "a-1", "vs": [{"p": "1", "py": -23.5, "px": -46.6, "ta": None}]}]}
+    other = document | {"collected_at": "2025-08-14 10:05:00"}
+    (tmp_path / "a.json").write_text(json.dumps(document, indent=2))
+    (tmp_path / "b.json").write_text(json.dumps([document, other], indent=1))
+    (tmp_path / "c.json").write_text(json.dumps(document) + '\n{"collected_at": \n' + json.dumps(other))
+    (tmp_path / "d.json").write_text(json.dumps(document, indent=2)[:-3])
+    (tmp_path / "e.json").write_text(json.dumps(document, indent=2) + json.dumps(other, indent=2))
+    (tmp_path / "f.json").write_text(json.dumps(document))
+    read = snapshots.read_position_snapshots(spark, str(tmp_path), whole_files=True)
+    rows = snapshots.flatten_positions(read)
+    found = rows_of(rows.groupBy("collected_at").count())
+    # One of a, two of b, two of c, one of f; the texts of d and e are no document.
+    assert found == [(at("2025-08-14 10:00:00"), 4), (at("2025-08-14 10:05:00"), 2)]
+    refused = snapshots.unreadable_documents(read)
+    assert refused.where("reason = 'broken'").count() > 10
+    assert snapshots.unreadable_documents(snapshots.read_position_snapshots(spark, str(tmp_path))).count() > refused.count()
+    assert snapshots.read_position_snapshots(spark, str(tmp_path / "f.json"), whole_files=True).columns == read.columns
