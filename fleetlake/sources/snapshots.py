@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -43,12 +45,14 @@ def _read(spark: SparkSession, path: str, schema: str, whole_files: bool) -> Dat
         return lines
     whole = whole_documents(spark, files, schema)
     kept = named.join(whole.select("_file").distinct(), "_file", "left_anti")
-    return kept.drop("_file").unionByName(whole.drop("_file"))
+    return kept.drop("_file").unionByName(whole.drop("_file"), allowMissingColumns=True).select(*lines.columns)
 
 
 def whole_documents(spark: SparkSession, files: list[str], schema: str) -> DataFrame:
     """``_file`` and the documents of files that hold one, or an array of them, as their whole text."""
-    texts = spark.read.text(files, wholetext=True).select(F.col("_metadata.file_path").alias("_file"), "value")
+    # Spark names files as URLs but takes paths, in which some characters stand for patterns.
+    paths = [re.sub(r"([\[\]{}*?\\])", r"\\\1", unquote(file)) for file in files]
+    texts = spark.read.text(paths, wholetext=True).select(F.col("_metadata.file_path").alias("_file"), "value")
     # The parser passes over what follows a document. No text that goes on after one fits into both frames.
     framed = [F.try_parse_json(F.concat(F.lit(a), "value", F.lit(b))) for a, b in (("[", "]"), ('{"a":', "}"))]
     parsed = texts.where(framed[0].isNotNull() & framed[1].isNotNull())

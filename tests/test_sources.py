@@ -162,7 +162,7 @@ def test_load_layer(spark, tmp_path, make_positions):
 def test_documents_over_several_lines(spark, tmp_path):
     document = {"collected_at": "2025-08-14 10:00:00", "l": [{"c": "a-1", "vs": [{"p": "1", "py": -23.5, "px": -46.6, "ta": None}]}]}
     other = document | {"collected_at": "2025-08-14 10:05:00"}
-    (tmp_path / "a.json").write_text(json.dumps(document, indent=2))
+    (tmp_path / "a b+c.json").write_text(json.dumps(document, indent=2))
     (tmp_path / "b.json").write_text(json.dumps([document, other], indent=1))
     (tmp_path / "c.json").write_text(json.dumps(document) + '\n{"collected_at": \n' + json.dumps(other))
     (tmp_path / "d.json").write_text(json.dumps(document, indent=2)[:-3])
