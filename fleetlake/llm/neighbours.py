@@ -6,8 +6,9 @@ most probable part. A query goes to as many of its most probable parts as it too
 sample rows kept out of the training, to find ``TARGET`` of the true neighbours; what is
 filed there is compared exactly.
 
-Parts are dealt out in chunks of bounded size on both sides, so neither a large part nor a
-vector that a third of all rows share meets in one task.
+Parts are dealt out in chunks of bounded size on both sides, by the place of a row and not by
+what it holds, so neither a large part nor a row that a third of all rows repeat meets in one
+task. Copies of a query are asked once.
 
 Defined results: vectors that are null, zero, of another size than most, or hold null or
 non-finite components take no part; equal distances go to smaller ids; rows that repeat an
@@ -30,7 +31,8 @@ from fleetlake.session import scratch_path, staged
 K = 10
 #: Rows the graph and the classifier are made from, at most: those of smallest id hash.
 SAMPLE = 8192
-#: Rows of a part that are aimed at, and most parts.
+#: Rows of a part that are aimed at, and most parts: as many as the sample can tell apart, with
+#: 16 of its rows each. Beyond MOST_PARTS * PART_ROWS rows parts grow and take more chunks.
 PART_ROWS, MOST_PARTS = 1000, 512
 #: Rows and queries that one task compares at a time.
 CHUNK_ROWS, CHUNK_QUERIES = 8192, 2048
@@ -151,30 +153,29 @@ def fit(sample: np.ndarray, parts: int, seed: int = 3) -> tuple[Router, np.ndarr
 
 
 def _exact(rows: pd.DataFrame, queries: pd.DataFrame, k: int) -> pd.DataFrame:
-    """The ``k`` nearest of a chunk's rows for each of its queries, in double precision."""
+    """The ``k`` nearest of a chunk's ids for each of its queries, in double precision."""
+    rows = rows.sort_values("vec_id", kind="stable")
     base = np.stack(rows["vector"].to_numpy()).astype(np.float64)
     ids = rows["vec_id"].to_numpy()
+    first = np.flatnonzero(np.append(True, ids[1:] != ids[:-1]))
     squares = (base**2).sum(1)
     out = []
     for query_id, vector in zip(queries["query_id"], queries["vector"], strict=True):
         q = np.asarray(vector, np.float64)
         rough = squares - 2 * (base @ q)
-        other = ids != query_id
-        if not other.any():
+        rough[ids == query_id] = np.inf
+        # An id counts by its nearest row, so that copies of a row crowd out no other id.
+        each = np.minimum.reduceat(rough, first)
+        if not np.isfinite(each).any():
             continue
-        rough[~other] = np.inf
         # The exact distance is taken of all that rounding could bring among the nearest.
-        limit = np.partition(rough, min(4 * k, len(rough)) - 1)[min(4 * k, len(rough)) - 1]
-        near = np.flatnonzero((rough <= limit + 1e-9 * (np.abs(limit) + q @ q + 1)) & other)
+        last = min(4 * k, len(each)) - 1
+        limit = np.partition(each, last)[last]
+        near = np.flatnonzero((rough <= limit + 1e-9 * (np.abs(limit) + q @ q + 1)) & (ids != query_id))
         exact = np.sqrt(((base[near] - q) ** 2).sum(1))
-        order = np.lexsort((ids[near], exact))
-        kept, seen = [], set()
-        for i in order.tolist():
-            if ids[near[i]] not in seen:
-                seen.add(ids[near[i]])
-                kept.append(i)
-                if len(kept) == k:
-                    break
+        order = np.lexsort((exact, ids[near]))
+        order = order[np.append(True, ids[near[order[1:]]] != ids[near[order[:-1]]])]
+        kept = order[np.lexsort((ids[near[order]], exact[order]))[:k]]
         out.append(pd.DataFrame({"query_id": query_id, "vec_id": ids[near[kept]], "score": exact[kept]}))
     if not out:
         return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype({"query_id": "int64", "vec_id": "int64", "score": "float64"})
@@ -192,9 +193,12 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
         return empty
     rows = rows.where(F.size("vector") == common["size"])
     asked = queries.select(F.col("query_id").cast("long").alias("query_id"), F.col("embedding").alias("vector"))
-    asked = asked.where(usable("vector") & F.col("query_id").isNotNull() & (F.size("vector") == common["size"]))
+    asked = asked.where(usable("vector") & F.col("query_id").isNotNull() & (F.size("vector") == common["size"])).distinct()
     parts = int(min(MOST_PARTS, max(1, common["n"] // PART_ROWS)))
-    drawn = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).select("vector").toArrow()
+    # Ids are drawn, not rows, so that copies of a row take one place in the sample.
+    ids = rows.select("vec_id").distinct().orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE)
+    drawn = rows.join(F.broadcast(ids), "vec_id").groupBy("vec_id").agg(F.min("vector").alias("vector"))
+    drawn = drawn.orderBy("vec_id").select("vector").toArrow()
     flat = drawn.column("vector").combine_chunks().flatten().to_numpy(zero_copy_only=False)
     sample = flat.astype(np.float64).reshape(drawn.num_rows, -1)
     if parts > 1 and len(sample) > 4 * K:
@@ -223,7 +227,10 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
 
     kind = vectors.schema["embedding"].dataType.simpleString()
     filed = rows.mapInArrow(routed(1, "vec_id"), f"vec_id long, vector {kind}, parts array<int>")
-    filed = staged(filed.select("vec_id", "vector", F.col("parts")[0].alias("part")), scratch_path(spark, "parts"))
+    # The place of a row is written with it: copies of a row go to different chunks, and a
+    # repeated task finds them in the same ones.
+    filed = filed.select("vec_id", "vector", F.col("parts")[0].alias("part"), F.monotonically_increasing_id().alias("place"))
+    filed = staged(filed, scratch_path(spark, "parts"))
     sizes = filed.groupBy("part").agg(F.count("*").alias("n"))
     sizes = sizes.select("part", F.ceil(F.col("n") / CHUNK_ROWS).cast("int").alias("chunks"))
 
@@ -234,7 +241,7 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
         # One row per part, of which there are at most MOST_PARTS.
         plan = F.broadcast(sizes.join(groups, "part"))
         left = filed.join(plan, "part").select(
-            "part", F.pmod(F.xxhash64("vec_id", "vector"), "chunks").cast("int").alias("chunk"),
+            "part", F.pmod(F.xxhash64("place"), "chunks").cast("int").alias("chunk"),
             F.explode(F.sequence(F.lit(0), F.col("lots") - 1)).alias("lot"), "vec_id", "vector",
         )
         right = sent.join(plan, "part").select(

@@ -171,6 +171,22 @@ def test_search_of_odd_vectors(spark):
     assert neighbours.self_search(vectors(spark, [])).count() == 0
 
 
+def test_copies_crowd_out_no_other_row(spark, monkeypatch):
+    draw = np.random.default_rng(8)
+    many = draw.normal(size=(60, 6)).astype(np.float32).tolist()
+    rows = [(0, many[0], 0)] + [(5, many[5], 0)] * 60 + [(k, many[k], 0) for k in range(1, 60) if k != 5]
+    for size in (neighbours.CHUNK_ROWS, 16):
+        monkeypatch.setattr(neighbours, "CHUNK_ROWS", size)
+        for every, extra in ((100, []), (5, [(5, many[7], 0)])):
+            found = neighbours.self_search(vectors(spark, rows + extra), every).collect()
+            if not extra:
+                expected = brute_neighbours(rows, every)
+                assert sorted((r.query_id, r.rank, r.vec_id) for r in found) == [
+                    (q, k + 1, i) for q in sorted(expected) for k, (_, i) in enumerate(sorted(expected[q])[:10])
+                ]
+            assert Counter(r.query_id for r in found) == dict.fromkeys(range(0, 60, every), 10)
+
+
 def test_parts_are_balanced():
     draw = np.random.default_rng(4)
     x = draw.normal(size=(600, 8))
