@@ -4,10 +4,13 @@ A page becomes a tree of elements. What its tag, role, class or id calls a menu,
 footer, sidebar, notice, advert, form, script, style or comment section is taken out. For
 every element left, the density is its characters per tag, adjusted by how much of the text
 stands in links; the sums of the children's densities choose the main subtree. The smallest
-density on the way from there up to the body is the threshold. An article or main element on
-that way is read whole. Without one, boxes beside the subtree that are thinner than the
-threshold go, and what is as dense stays, as do headings, paragraphs and lists of the boxes
-around it. Elements that consist of links and are thinner than the threshold go everywhere.
+density on the way from there up to the body is the threshold. An article element on that way
+is read whole, with the headline in its header and its lists of links. Without one, boxes
+beside the subtree that are thinner than the threshold go, up to the main element or the body,
+and what is as dense stays, as do headings, paragraphs and lists of the boxes around it;
+elements that consist of links and are thinner than the threshold go too.
+
+A page costs time in proportion to its length, however deep its elements are.
 
 Defined results: null, empty and unreadable pages give the empty text; rows are judged each
 for itself; nothing is cut off at any length; unclosed tags end where HTML ends them, and a tag that the page breaks off in is no text.
@@ -15,6 +18,7 @@ for itself; nothing is cut off at any length; unclosed tags end where HTML ends
 
 from __future__ import annotations
 
+import bisect
 import math
 import re
 from html.parser import HTMLParser
@@ -25,7 +29,7 @@ from pyspark.sql import DataFrame
 #: Elements that are no part of the main text, whatever they hold.
 LEFT_OUT = frozenset(
     "head title script style noscript template nav header footer aside form button select option textarea input "
-    "label iframe object embed svg canvas math audio video dialog menu map".split()
+    "label iframe object embed svg canvas audio video dialog menu map".split()
 )
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog form menu menubar toolbar".split())
 #: Words that mark the same as a class name or id, or as the first or last part of one.
@@ -48,7 +52,8 @@ CONTAINERS = frozenset("div section center fieldset details table tbody tr td".s
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd mark q rp rt ruby s samp small span strike "
-    "strong sub sup time tt u var wbr".split()
+    "strong sub sup time tt u var wbr "
+    "math mi mn mo ms mtext mrow mfrac msqrt mroot msub msup msubsup munder mover munderover mstyle semantics".split()
 )
 #: What an opening tag closes, up to the nearest of the elements after the colon.
 CLOSES = {
@@ -66,6 +71,11 @@ ENDS_PARAGRAPH = frozenset(
     "address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 "
     "h3 h4 h5 h6 header hgroup hr main menu nav ol p pre section table ul li dd dt".split()
 )
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: Elements of running text: of their names only those count that are marks from end to end.
+RUNNING = INLINE | HEADINGS | frozenset("p li dt dd blockquote pre td th caption figcaption".split())
+#: What is out for good: a section apart, or by its tag, role or state.
+FIXED = APART | {"tag", "header"}
 _WORDS = re.compile(r"[A-Za-z]+")
 #: A tag that the page ends in.
 _CUT_TAG = re.compile(r"<[A-Za-z/!?][^<>]*\Z")
@@ -81,17 +91,20 @@ class Element:
         self.density = self.total = 0.0
 
 
-def _named(name: str) -> str:
+def _named(name: str, tag: str) -> str:
     """The mark that one class name or id is, begins or ends with; states and negations are none."""
     words = [w.lower() for w in _WORDS.findall(re.sub(r"(?<=[a-z])(?=[A-Z])", " ", name))]
     if len(words) > 1 and (STATES.intersection(words) or words[-1] == "hidden"):
         return ""
+    if tag in RUNNING and not MARKS.issuperset(words):
+        return ""
     return next((w for w in (*words[:1], *words[-1:]) if w in MARKS), "")
 
 
 def _marked(tag: str, attributes: list[tuple[str, str | None]]) -> str:
-    """What leaves an element out: ``tag`` for its tag, role or state, the mark of a class or id, or nothing."""
-    if tag in LEFT_OUT:
+    """What leaves an element out: ``tag`` for its tag, role or state, ``header`` for the tag header
+    alone, the mark of a class or id, or nothing."""
+    if tag in LEFT_OUT and tag != "header":
         return "tag"
     mark = ""
     for name, value in attributes:
@@ -100,7 +113,9 @@ def _marked(tag: str, attributes: list[tuple[str, str | None]]) -> str:
         if name == "role" and (value or "").lower() in ROLES:
             return "tag"
         if name in ("class", "id") and value and tag not in ("body", "html", "article", "main"):
-            mark = mark or next(filter(None, map(_named, value.split())), "")
+            mark = mark or next(filter(None, (_named(n, tag) for n in value.split())), "")
+    if tag == "header":
+        return "tag" if mark else "header"
     return mark
 
 
@@ -113,12 +128,11 @@ def _spare_wrappers(root: Element) -> None:
     while stack:
         element, inside = stack.pop()
         order.append((element, inside))
-        fixed = element.out == "tag" or element.out in APART
-        stack += [] if fixed else [(c, inside or bool(element.out)) for c in element.children if isinstance(c, Element)]
+        stack += [] if element.out in FIXED else [(c, inside or bool(element.out)) for c in element.children if isinstance(c, Element)]
     plain: dict[int, int] = {}
     holds: dict[int, bool] = {}
     for element, _ in reversed(order):
-        if element.out == "tag" or element.out in APART or element.tag == "a":
+        if element.out in FIXED or element.tag == "a":
             plain[id(element)], holds[id(element)] = 0, False
             continue
         nested = [c for c in element.children if isinstance(c, Element)]
@@ -127,61 +141,76 @@ def _spare_wrappers(root: Element) -> None:
         holds[id(element)] = element.tag in ("article", "main") or any(holds[id(c)] for c in nested)
     free = any(e.tag in ("article", "main") and not inside for e, inside in order)
     for element, _ in order:
-        if not element.out or element.out == "tag" or element.out in APART or free:
+        if not element.out or element.out in FIXED or free:
             continue
         if holds[id(element)] if holds[id(root)] else plain[id(element)] > 0.5 * plain[id(root)]:
             element.out = ""
 
 
 class Tree(HTMLParser):
+    """Builds the tree. ``places`` holds, for each tag, where its open elements stand in ``stack``,
+    so that what a tag closes is found without walking over all that is open."""
+
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.root = self.at = Element("#root", None)
+        self.root = Element("#root", None)
+        self.stack = [self.root]
+        self.places: dict[str, list[int]] = {}
+        self.blocks = [0]
 
     def handle_starttag(self, tag, attrs):
-        if tag in ("html", "body") and any(e.tag == tag for e in self._open()):
+        if tag in ("html", "body") and self.places.get(tag):
             return
         if tag in CLOSES:
             self._close_any(*CLOSES[tag])
         if tag in ENDS_PARAGRAPH:
             self._close_any({"p"}, {"table", "td", "th", "button", "object"})
-            if tag[0] == "h" and tag[1:].isdigit():
-                self._close_any({"h1", "h2", "h3", "h4", "h5", "h6"}, {"div", "section", "article", "td"})
-        made = Element(tag, self.at, _marked(tag, attrs))
-        self.at.children.append(made)
+            if tag in HEADINGS:
+                self._close_any(HEADINGS, {"div", "section", "article", "td"})
+                self._spare_header()
+        made = Element(tag, self.stack[-1], _marked(tag, attrs))
+        self.stack[-1].children.append(made)
         if tag not in VOID:
-            self.at = made
+            self.places.setdefault(tag, []).append(len(self.stack))
+            if tag not in INLINE:
+                self.blocks.append(len(self.stack))
+            self.stack.append(made)
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
 
     def handle_endtag(self, tag):
-        for element in self._open():
-            if element.tag == tag:
-                self.at = element.parent
-                return
-            # An inline end does not reach out of the block it stands in.
-            if tag in INLINE and element.tag not in INLINE:
-                return
+        place = self._last(tag)
+        # An inline end does not reach out of the block it stands in.
+        if place > 0 and (tag not in INLINE or place > self.blocks[-1]):
+            self._close(place)
 
     def handle_data(self, data):
-        self.at.children.append(data)
+        self.stack[-1].children.append(data)
+
+    def _last(self, tag: str) -> int:
+        return (self.places.get(tag) or [0])[-1]
 
-    def _open(self):
-        element = self.at
-        while element is not self.root:
-            yield element
-            element = element.parent
+    def _close(self, place: int) -> None:
+        while len(self.stack) > place:
+            tag = self.stack.pop().tag
+            self.places[tag].pop()
+            if tag not in INLINE:
+                self.blocks.pop()
 
     def _close_any(self, tags: set[str], until: set[str]) -> None:
-        last = None
-        for element in self._open():
-            if element.tag in until:
-                break
-            if element.tag in tags:
-                last = element
-        if last is not None:
-            self.at = last.parent
+        limit = max(map(self._last, until))
+        found = []
+        for places in filter(None, map(self.places.get, tags)):
+            found += places[bisect.bisect_right(places, limit) :][:1]
+        if found:
+            self._close(min(found))
+
+    def _spare_header(self) -> None:
+        """The header of an article that holds a heading is its headline, not the page's header."""
+        place = self._last("header")
+        if place and self.stack[place].out == "header" and max(self._last("article"), self._last("main")) in range(1, place):
+            self.stack[place].out = ""
 
 
 def _kept(root: Element) -> list[Element]:
@@ -226,7 +255,7 @@ def main_subtree(order: list[Element]) -> tuple[Element | None, float, list[Elem
     """The element to read, the threshold on the way from the densest sum to the body, and the
     elements to read only in parts: those around the densest sum."""
     body = next((e for e in order if e.tag == "body"), order[0])
-    inside = [e for e in order if e.chars and _within(e, body)]
+    inside = [e for e in _kept(body) if e.chars]
     if not inside:
         return None, 0.0, []
     best = max(inside, key=lambda e: (e.total, e.chars))
@@ -235,25 +264,19 @@ def main_subtree(order: list[Element]) -> tuple[Element | None, float, list[Elem
         path.append(path[-1].parent)
     threshold = min(e.density for e in path)
     for element in reversed(path):
-        if element.tag in ("article", "main"):
+        if element.tag == "article":
             return element, threshold, []
+    mains = [k for k, e in enumerate(path) if e.tag == "main"]
+    path = path[: mains[-1] + 1] if mains else path
     around = path[1:]
-    if best is body:
+    if best is path[-1]:
         # Paragraphs that stand in the body itself leave no box for the article.
-        blocks = [c for c in body.children if isinstance(c, Element) and not c.out and c.tag in CONTAINERS]
-        if sum(c.chars for c in blocks) < 0.5 * body.chars:
-            around = [body]
+        blocks = [c for c in best.children if isinstance(c, Element) and not c.out and c.tag in CONTAINERS]
+        if sum(c.chars for c in blocks) < 0.5 * best.chars:
+            around = [best]
     return path[-1], threshold, around
 
 
-def _within(element: Element, top: Element) -> bool:
-    while element is not None:
-        if element is top:
-            return True
-        element = element.parent
-    return False
-
-
 def main_text(html: str | None) -> str:
     """The main text of one page: blocks in order, joined by a space."""
     if not html:
@@ -281,7 +304,7 @@ def main_text(html: str | None) -> str:
         if isinstance(node, str):
             parts.append(node)
             continue
-        linked = node.chars and node.link_chars > 0.5 * node.chars and node.density < threshold
+        linked = top.tag != "article" and node.chars and node.link_chars > 0.5 * node.chars and node.density < threshold
         if node.out or id(node) in thin or (linked and node is not top and node.tag not in INLINE and node.link_tags > 1):
             continue
         spaced = node.tag not in INLINE

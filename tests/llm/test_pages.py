@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+
 import duckdb
 import pytest
 
@@ -67,6 +69,29 @@ def test_pages_without_text(html):
     assert html_text.main_text(html).strip("�") == ""
 
 
+@pytest.mark.parametrize(
+    ("page", "wanted"),
+    [
+        ("<body><header>Site<h2>Daily</h2></header><article><header><h1>Head</h1><nav>x</nav></header>{p}</article>", "Head {p}"),
+        ("<body><article>{p}<ul><li><a href=1>One</a><li><a href=2>Two</a></ul></article>", "{p} One Two"),
+        ("<body><article><p class='notice-period'>Three months.</p>{p}<p class='advert'>Buy.</p></article>", "Three months. {p}"),
+        ("<body><article>{p}<math><mi>x</mi><mo>=</mo><mn>2</mn></math></article>", "{p} x=2"),
+        ("<body><main><div>3 May</div><div><h1>Head</h1>{p}</div><div>Buy now.</div></main>", "Head {p}"),
+    ],
+)
+def test_what_belongs_to_the_article(page, wanted):
+    said = "Some sentence of the story goes on here."
+    prose = "".join(f"<p>{' '.join([said] * 6)}</p>" for _ in range(4))
+    assert html_text.main_text(page.format(p=prose)) == wanted.format(p=" ".join([said] * 24))
+
+
+@pytest.mark.parametrize("tags", ["<div>", "<p><button><div>", "<b><div></i>", "<li><div></p>", "<h1><span>", "<main><header>"])
+def test_time_follows_length_however_deep(tags):
+    begun = time.process_time()
+    html_text.main_text(tags * 40_000 + "deep")
+    assert time.process_time() - begun < 15
+
+
 def test_deep_and_long_pages():
     assert html_text.main_text("<div>" * 5000 + "deep") == "deep"
     assert len(html_text.main_text("<p>" + "word " * 300_000)) == 300_000 * 5 - 1
