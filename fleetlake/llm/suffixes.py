@@ -10,11 +10,12 @@ A new batch's level is merged with the levels that exist. Levels of equal size m
 one of twice the size, like the digits of a binary counter, so an entry moves as often as
 the logarithm of the number of batches. In the merged order equal seeds are neighbours:
 those are the matches of at least ``SEED`` bytes. Where a whole stretch occurs again, all its
-strings are repeats. Where only the seed does, up to ``FEW`` different stretches of a seed are
-laid over each other at the anchor: how far each pair agrees to both sides gives the strings
-they share. Of seeds with more, 128-bit digests are compared: first of blocks of ``BLOCK``
-strings, then, in one copy of each different block, of the strings themselves. So the result
-is exact, up to collisions of digests.
+strings are repeats. Where only the seed does, one copy of each stretch is cut into blocks of
+``BLOCK`` strings. All strings of a block hold its core, the bytes they have in common, and
+differ by at most ``BLOCK - 1`` bytes on either side of it. So a block is a 128-bit digest of
+its core and two integers for the bytes beside it; equal blocks repeat all their strings, and
+only blocks whose core occurs in another block are taken apart into strings. The result is
+exact, up to collisions of digests.
 
 Defined results: null counts as empty; texts shorter than ``LENGTH`` bytes lose nothing; a
 repeated row repeats all its strings; overlaps inside one document count; an empty table
@@ -24,6 +25,7 @@ gives no rows.
 from __future__ import annotations
 
 import hashlib
+import math
 
 import numpy as np
 import pyarrow as pa
@@ -40,10 +42,10 @@ SEED = 32
 BATCHES = 4
 #: Words of the filter that thins out what cannot match before a shuffle; it stays this size.
 FILTER_WORDS = 1 << 18
-#: Different stretches of a seed that are compared byte by byte in one task, at most.
-FEW = 64
-#: Strings of a block, by their distance from the anchor.
+#: Strings of a block, by their distance from the anchor; at most 8, so that the bytes beside a core fit an integer.
 BLOCK = 8
+#: Stretches that are cut into blocks at a time.
+EDGES = 5000
 
 _PLACE = np.uint64((1 << 28) - 1)
 
@@ -202,108 +204,58 @@ def thinned(df: DataFrame, keys: DataFrame, key: Column, words: int = FILTER_WOR
     return kept.where("shiftrightunsigned(__bits, __bit) & 1 = 1").drop("__word", "__bit", "__bits")
 
 
-EDGE = "seed long, start int, strings int, ahead int, few boolean"
-PART = f"k1 long, k2 long, {EDGE}, bytes binary, d1 long, d2 long"
+PART = "k1 long, k2 long, start int, strings int, skip int, core1 long, core2 long, left long, right long"
+_PART_NAMES = [field.split()[0] for field in PART.split(", ")]
+
+
+def _packed(data: np.ndarray, place: np.ndarray, count: np.ndarray, step: int) -> np.ndarray:
+    """Up to ``BLOCK - 1`` bytes from ``place`` on, going by ``step``, the first one lowest."""
+    out = np.zeros(len(place), np.int64)
+    for k in range(BLOCK - 1):
+        there = count > k
+        out[there] |= data[place[there] + step * k].astype(np.int64) << (8 * k)
+    return out
+
 
+def blocks_of(data: np.ndarray, anchor: np.ndarray, far: np.ndarray, near: np.ndarray):
+    """Blocks of stretches whose strings begin ``near`` to ``far`` bytes before their anchors.
 
-def _edge_parts(batches):
-    """From the texts with their edge stretches: bytes of stretches, or digests of blocks and their strings."""
+    Gives, for each block, its stretch, its first string's place, the number of its strings, how many strings
+    of a whole block are missing at the near end, two halves of its core's digest, and the bytes before and behind the core.
+    """
+    number = far // BLOCK - near // BLOCK + 1
+    edge = np.repeat(np.arange(len(anchor)), number)
+    inner = np.arange(len(edge)) - np.repeat(np.cumsum(number) - number, number)
+    low = (near[edge] // BLOCK + inner) * BLOCK
+    close, away = np.maximum(near[edge], low), np.minimum(far[edge], low + BLOCK - 1)
+    core = anchor[edge] - low
+    width = LENGTH - BLOCK + 1
+    raw = memoryview(np.ascontiguousarray(data))
+    digest = xxhash.xxh3_128_digest
+    digests = b"".join([digest(raw[c : c + width], seed=o) for c, o in zip(core.tolist(), low.tolist(), strict=True)])
+    pair = np.frombuffer(digests, np.int64).reshape(-1, 2)
+    left = _packed(data, core - 1, away - low, -1)
+    right = _packed(data, core + width, BLOCK - 1 - (close - low), 1)
+    return edge, anchor[edge] - away, away - close + 1, close - low, pair[:, 0], pair[:, 1], left, right
+
+
+def _edge_blocks(batches):
+    """Blocks of the texts' edge stretches."""
     for batch in batches:
         k1, k2, text, edges = (batch.column(batch.schema.get_field_index(c)) for c in ("k1", "k2", "text", "edges"))
         data, bounds = text_buffer(text)
-        raw = memoryview(np.ascontiguousarray(data))
         at = np.asarray(edges.offsets)
         inner = edges.flatten()
-        seed, start, strings, ahead, few = (inner.field(c) for c in ("seed", "start", "strings", "ahead", "few"))
         owner = np.repeat(np.arange(len(text)), np.diff(at))
-        begin = start.to_numpy().astype(np.int64) + bounds[owner]
-        count = strings.to_numpy().astype(np.int64)
-        ahead_of = ahead.to_numpy()
-        is_few = few.to_numpy(zero_copy_only=False)
-        small = np.flatnonzero(is_few)
-        for rows in np.array_split(small, max(1, len(small) // 5000)):
-            take = pa.array(rows)
-            texts = [bytes(raw[a:b]) for a, b in zip(begin[rows].tolist(), (begin + count + LENGTH - 1)[rows].tolist(), strict=True)]
-            none = pa.nulls(len(rows), pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [
-                    k1.take(pa.array(owner[rows])), k2.take(pa.array(owner[rows])), seed.take(take), start.take(take),
-                    strings.take(take), ahead.take(take), few.take(take), pa.array(texts, pa.binary()), none, none,
-                ],
-                _PART_NAMES,
-            )
-        rows, first, number, digests, inside = [], [], [], [], []
-        for e in np.flatnonzero(~is_few).tolist():
-            near, far = int(ahead_of[e] - count[e] + 1), int(ahead_of[e])
-            anchor = int(begin[e]) + far
-            for low in range(near - near % BLOCK, far + 1, BLOCK):
-                close, away = max(near, low), min(far, low + BLOCK - 1)
-                place, n = anchor - away, away - close + 1
-                rows.append(owner[e])
-                first.append(place - bounds[owner[e]])
-                number.append(n)
-                digests.append(xxhash.xxh3_128_digest(raw[place : place + n + LENGTH - 1], seed=close * BLOCK * 2 + n))
-                inside.append(b"".join([xxhash.xxh3_128_digest(raw[p : p + LENGTH]) for p in range(place, place + n)]))
-        if rows:
-            take, n = pa.array(rows), len(rows)
-            pair = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    k1.take(take), k2.take(take), pa.nulls(n, pa.int64()), pa.array(first, pa.int32()),
-                    pa.array(number, pa.int32()), pa.nulls(n, pa.int32()), pa.array(np.zeros(n, bool)),
-                    pa.array(inside, pa.binary()),
-                    pa.array(np.ascontiguousarray(pair[:, 0])), pa.array(np.ascontiguousarray(pair[:, 1])),
-                ],
-                _PART_NAMES,
-            )
-
-
-_PART_NAMES = [field.split()[0] for field in PART.split(", ")]
-
-
-def shared_strings(stretches: list[tuple[bytes, int, int]]) -> list[list[tuple[int, int]]]:
-    """For stretches ``(bytes, strings, ahead)`` of one seed, the runs of strings that another has too.
-
-    A string that begins o bytes before the anchor is shared if the bytes agree for o to the
-    left and ``LENGTH - o`` to the right; runs are given as first place and number.
-    """
-    n = len(stretches)
-    count = np.array([s[1] for s in stretches])
-    ahead = np.array([s[2] for s in stretches])
-    # Unequal fillers end every comparison at the end of a stretch.
-    left = np.arange(n, dtype=np.int16)[:, None] + np.full((n, LENGTH + 1), 256, np.int16)
-    right = np.arange(n, dtype=np.int16)[:, None] + np.full((n, LENGTH + 1), 256, np.int16)
-    for k, (text, _, a) in enumerate(stretches):
-        data = np.frombuffer(text, np.uint8)
-        left[k, :a] = data[:a][::-1]
-        right[k, : len(data) - a] = data[a:][:LENGTH]
-    low = ahead - count + 1
-    out = []
-    for k in range(n):
-        reach_left = (left != left[k]).argmax(axis=1)
-        reach_right = (right != right[k]).argmax(axis=1)
-        reach_left[k] = reach_right[k] = 0
-        first = np.maximum(np.maximum(LENGTH - reach_right, low), low[k])
-        last = np.minimum(np.minimum(reach_left, ahead), ahead[k])
-        runs = [(int(ahead[k] - b), int(b - a + 1)) for a, b in zip(first, last, strict=True) if b >= a]
-        runs = [r for j, r in enumerate(runs) if r not in runs[:j]]
-        out.append(runs)
-    return out
-
-
-def _compared(batches):
-    """Runs of shared strings from the groups of a few stretches, one seed a row."""
-    for batch in batches:
-        rows = []
-        for group in batch.column(0).to_pylist():
-            found = shared_strings([(g["bytes"], g["strings"], g["ahead"]) for g in group])
-            for g, runs in zip(group, found, strict=True):
-                rows += [(g["k1"], g["k2"], g["start"] + first, n) for first, n in runs]
-        columns = list(zip(*rows, strict=True)) or [[], [], [], []]
-        types = (pa.int64(), pa.int64(), pa.int32(), pa.int32())
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(c, t) for c, t in zip(columns, types, strict=True)], ["k1", "k2", "start", "strings"]
-        )
+        start, strings, ahead = (inner.field(c).to_numpy().astype(np.int64) for c in ("start", "strings", "ahead"))
+        anchor = start + bounds[owner] + ahead
+        for rows in np.array_split(np.arange(len(owner)), max(1, math.ceil(len(owner) / EDGES))):
+            edge, place, *numbers = blocks_of(data, anchor[rows], ahead[rows], (ahead - strings + 1)[rows])
+            of = owner[rows][edge]
+            take = pa.array(of)
+            counts = [pa.array(n.astype(np.int32)) for n in (place - bounds[of], *numbers[:2])]
+            longs = [pa.array(np.ascontiguousarray(n)) for n in numbers[2:]]
+            yield pa.RecordBatch.from_arrays([k1.take(take), k2.take(take), *counts, *longs], _PART_NAMES)
 
 
 def repeated_strings(docs: DataFrame, batches: int = BATCHES) -> DataFrame:
@@ -332,37 +284,35 @@ def repeated_strings(docs: DataFrame, batches: int = BATCHES) -> DataFrame:
     whole = whole.select("k1", "k2", "start", F.col("strings").cast("int").alias("strings"))
     # One copy of each stretch that differs from another of its seed is compared.
     mixed_seeds = stretches.groupBy("seed").agg(F.count("*").alias("kinds")).where("kinds > 1")
-    edges = stretches.join(mixed_seeds, "seed").select(
+    edges = stretches.join(mixed_seeds, "seed", "left_semi").select(
         "one.k1", "one.k2",
-        F.struct(
-            "seed", "one.start", F.col("one.strings").cast("int").alias("strings"),
-            F.col("one.ahead").cast("int").alias("ahead"), (F.col("kinds") <= FEW).alias("few"),
-        ).alias("edge"),
+        F.struct("one.start", F.col("one.strings").cast("int").alias("strings"), F.col("one.ahead").cast("int").alias("ahead")).alias("edge"),
     )
     per_text = edges.groupBy("k1", "k2").agg(F.collect_list("edge").alias("edges"))
-    per_text = staged(per_text, scratch_path(spark, "edges"))
-    parts = _with_texts(docs, per_text).mapInArrow(_edge_parts, PART)
-    parts = staged(parts, scratch_path(spark, "edge-parts"))
-    # At most FEW stretches of LENGTH bytes and some meet here.
-    groups = parts.where("few").groupBy("seed").agg(
-        F.collect_list(F.struct("k1", "k2", "start", "strings", "ahead", "bytes")).alias("group")
-    )
-    compared = groups.select("group").mapInArrow(_compared, "k1 long, k2 long, start int, strings int")
-    blocks = parts.where("not few").select("d1", "d2", "k1", "k2", "start", "strings", "bytes")
-    kinds = blocks.groupBy("d1", "d2").agg(
-        F.count("*").alias("n"), F.min(F.struct("k1", "k2", "start", "strings", "bytes")).alias("one")
-    )
-    kinds = staged(kinds.select("d1", "d2", "n", "one.*"), scratch_path(spark, "blocks"))
-    again = blocks.join(kinds.where("n > 1").select("d1", "d2"), ["d1", "d2"], "left_semi")
-    again = again.select("k1", "k2", "start", "strings")
-    strings = kinds.select(
-        "n", "k1", "k2", "start", "bytes", F.explode(F.sequence(F.lit(0), F.col("strings") - 1)).alias("i")
-    ).select(
-        "n", "k1", "k2", (F.col("start") + F.col("i")).alias("start"), F.expr("substring(bytes, 16 * i + 1, 16)").alias("digest")
+    per_text = scratch.keep(per_text, "edges")
+    blocks = scratch.keep(_with_texts(docs, per_text).mapInArrow(_edge_blocks, PART), "blocks")
+    scratch.drop(per_text)
+    # What has a core of its own shares no string; the rest is a small part.
+    halves = scratch.keep(blocks.groupBy("core1").agg(F.count("*").alias("n")).where("n > 1").select("core1"), "cores")
+    likely_blocks = thinned(blocks, halves, F.col("core1")).join(halves, "core1", "left_semi").select(*_PART_NAMES)
+    recurring = staged(likely_blocks, scratch_path(spark, "recurring"))
+    scratch.drop(blocks, halves)
+    content = ["core1", "core2", "skip", "strings", "left", "right"]
+    kinds = recurring.groupBy(*content).agg(F.count("*").alias("n"), F.min(F.struct("k1", "k2", "start")).alias("one"))
+    kinds = staged(kinds, scratch_path(spark, "kinds"))
+    again = recurring.join(kinds.where("n > 1").select(*content), content, "left_semi").select("k1", "k2", "start", "strings")
+    cores = kinds.groupBy("core1", "core2").agg(F.count("*").alias("blocks")).where("blocks > 1")
+    strings = kinds.join(cores, ["core1", "core2"], "left_semi")
+    # String j of a block takes j bytes before the core and the rest behind it.
+    strings = strings.select("*", F.explode(F.sequence(F.col("skip"), F.col("skip") + F.col("strings") - 1)).alias("j")).select(
+        "n", "one.k1", "one.k2", (F.col("one.start") + F.col("skip") + F.col("strings") - 1 - F.col("j")).alias("start"), "core1", "core2", "j",
+        F.expr("`left` & (shiftleft(1L, 8 * j) - 1)").alias("before"),
+        F.expr(f"`right` & (shiftleft(1L, 8 * ({BLOCK - 1} - j)) - 1)").alias("behind"),
     )
-    twice = strings.groupBy("digest").agg(F.count("*").alias("times")).where("times > 1").select("digest")
-    single = strings.where("n = 1").join(twice, "digest", "left_semi").select("k1", "k2", "start", F.lit(1).alias("strings"))
-    runs = whole.unionByName(compared).unionByName(again).unionByName(single)
+    one_string = ["core1", "core2", "j", "before", "behind"]
+    twice = strings.groupBy(*one_string).agg(F.count("*").alias("times")).where("times > 1").select(*one_string)
+    single = strings.where("n = 1").join(twice, one_string, "left_semi").select("k1", "k2", "start", F.lit(1).alias("strings"))
+    runs = whole.unionByName(again).unionByName(single)
     # Rows of one key have the same runs: a task sends each once, whatever the number of copies.
     runs = runs.groupBy("k1", "k2").agg(F.collect_set(F.struct("start", "strings")).alias("runs"))
     return runs.select("k1", "k2", F.col("runs.start").alias("starts"), F.col("runs.strings").alias("strings"))

@@ -45,11 +45,35 @@ def test_removals_equal_brute_force(make_docs, batches):
     assert Counter(map(tuple, found.collect())) == brute_force(rows)
 
 
-@pytest.mark.parametrize("few", [0, 3])
-def test_seeds_of_many_stretches(make_docs, monkeypatch, few):
-    monkeypatch.setattr(suffixes, "FEW", few)
-    rows = passages()
-    assert Counter(map(tuple, suffixes.removals(make_docs(*rows)).collect())) == brute_force(rows)
+def test_seeds_of_many_stretches(make_docs):
+    # Every piece of one passage, of any length and place, in texts of their own; some differ in one byte.
+    draw = random.Random(9)
+    passage = sentence(77, 90)[:420]
+    rows = []
+    for k in range(150):
+        first = draw.randrange(0, 200)
+        piece = passage[first : first + draw.randrange(195, 221)]
+        if k % 3 == 0:
+            at = draw.randrange(len(piece))
+            piece = piece[:at] + "#" + piece[at + 1 :]
+        rows.append((k, f"{sentence(200 + k, 20)} {piece}{chr(65 + k % 26)} {sentence(500 + k, 20)}"))
+    found = suffixes.removals(make_docs(*rows))
+    assert Counter(map(tuple, found.collect())) == brute_force(rows)
+
+
+def test_blocks_hold_every_string_once():
+    draw = np.random.default_rng(1)
+    data = draw.integers(0, 256, 900).astype(np.uint8)
+    anchor, far, near = np.array([300, 500, 250]), np.array([57, 168, 8]), np.array([3, 100, 8])
+    edge, place, strings, skip, core1, _, left, right = suffixes.blocks_of(data, anchor, far, near)
+    found = sorted((e, p + i) for e, p, n in zip(edge, place, strings, strict=True) for i in range(n))
+    assert found == sorted((e, a - o) for e, (a, f, c) in enumerate(zip(anchor, far, near, strict=True)) for o in range(c, f + 1))
+    for p, n, s, before, behind in zip(place, strings, skip, left, right, strict=True):
+        core = p + s + n - 1
+        assert before.tobytes() == bytes(data[p:core][::-1]).ljust(8, b"\0")
+        end = core + suffixes.LENGTH - suffixes.BLOCK + 1
+        assert behind.tobytes() == bytes(data[end : end + suffixes.BLOCK - 1 - s]).ljust(8, b"\0")
+    assert len(core1) == len(edge)
 
 
 def test_odd_rows(odd_docs, no_docs):
