@@ -39,6 +39,18 @@ def row_keys(text: str = "text") -> tuple[Column, Column]:
     )
 
 
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """Column names that ``df`` does not have, in any case of letters."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def extended(df: DataFrame, *fields: tuple[str, T.DataType]) -> T.StructType:
     """The schema of ``df`` with more columns."""
     return T.StructType([*df.schema.fields, *(T.StructField(n, t) for n, t in fields)])

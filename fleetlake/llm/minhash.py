@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fleetlake.llm.common import chunks, lowered, mixed, powers, row_keys, shingle_hashes, slices, text_buffer, word_hashes
+from fleetlake.llm.common import chunks, free_names, lowered, mixed, powers, row_keys, shingle_hashes, slices, text_buffer, word_hashes
 from fleetlake.llm.graph import components
 from fleetlake.session import scratch_path, staged
 
@@ -375,7 +375,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 def deduplicated(docs: DataFrame) -> DataFrame:
     """``docs`` with one row of each class, all columns kept."""
-    kept = classes(docs).where("keep").select(F.col("k1").alias("__k1"), F.col("k2").alias("__k2")).distinct()
-    keyed = docs.select("*", *(k.alias(f"__{n}") for k, n in zip(row_keys(), ("k1", "k2"), strict=True)))
-    out = keyed.join(kept, ["__k1", "__k2"], "left_semi")
-    return out.dropDuplicates(["__k1", "__k2"]).drop("__k1", "__k2")
+    own = free_names(docs, "__k1", "__k2")
+    kept = classes(docs).where("keep").select(F.col("k1").alias(own[0]), F.col("k2").alias(own[1])).distinct()
+    keyed = docs.select("*", *(k.alias(n) for k, n in zip(row_keys(), own, strict=True)))
+    out = keyed.join(kept, own, "left_semi")
+    return out.dropDuplicates(own).drop(*own)

@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fleetlake.llm.common import Scratch, mixed, powers, row_keys, slices, text_buffer
+from fleetlake.llm.common import Scratch, free_names, mixed, powers, row_keys, slices, text_buffer
 from fleetlake.session import scratch_path, staged
 from fleetlake.sources.paths import remove
 
@@ -397,14 +397,13 @@ def removals(docs: DataFrame, batches: int = BATCHES) -> DataFrame:
 
 def without_repeats(docs: DataFrame, batches: int = BATCHES) -> DataFrame:
     """``docs`` with repeated passages cut out of ``text`` and ``n_chars`` counted anew."""
+    k1, k2, left, cut = free_names(docs, "__k1", "__k2", "__left", "__cut")
     found = staged(cuts(docs, batches).select("k1", "k2", "left"), scratch_path(docs.sparkSession, "cut"))
-    found = found.select(
-        F.col("k1").alias("__k1"), F.col("k2").alias("__k2"), F.col("left").alias("__left"), F.lit(True).alias("__cut")
-    )
-    keyed = docs.select("*", *(k.alias(f"__{n}") for k, n in zip(row_keys(), ("k1", "k2"), strict=True)))
-    joined = keyed.join(found, ["__k1", "__k2"], "left")
-    out = joined.withColumn("text", F.when(F.col("__cut"), F.col("__left")).otherwise(F.col("text")))
+    found = found.select(F.col("k1").alias(k1), F.col("k2").alias(k2), F.col("left").alias(left), F.lit(True).alias(cut))
+    keyed = docs.select("*", *(k.alias(n) for k, n in zip(row_keys(), (k1, k2), strict=True)))
+    joined = keyed.join(found, [k1, k2], "left")
+    out = joined.withColumn("text", F.when(F.col(cut), F.col(left)).otherwise(F.col("text")))
     if "n_chars" in docs.columns:
-        counted = F.when(F.col("__cut"), F.length("text").cast("long")).otherwise(F.col("n_chars"))
+        counted = F.when(F.col(cut), F.length("text").cast("long")).otherwise(F.col("n_chars"))
         out = out.withColumn("n_chars", counted)
     return out.select(*(F.col(f"`{c}`") for c in docs.columns))

@@ -202,3 +202,11 @@ def test_parities_never_part_near_rows(spark):
     cut = {r.n: r.far for r in table.select("n", minhash.far_apart().alias("far")).collect()}
     assert sum(near) > 200 and not any(cut[n] for n, is_near in enumerate(near) if is_near)
     assert np.mean([cut[n] for n, is_near in enumerate(near) if not is_near]) > 0.6
+
+
+def test_columns_named_like_own_ones(odd_docs):
+    docs = odd_docs.selectExpr("*", "doc_id as __k1", "'a' as __K2")
+    kept = minhash.deduplicated(docs)
+    assert kept.columns == docs.columns
+    plain = sorted(minhash.deduplicated(odd_docs).collect(), key=repr)
+    assert sorted((r[: len(plain[0])] for r in kept.collect()), key=repr) == sorted(map(tuple, plain), key=repr)

@@ -84,6 +84,14 @@ def test_odd_rows(odd_docs, no_docs):
     assert cut.columns == odd_docs.columns and cut.count() == odd_docs.count()
 
 
+def test_columns_named_like_own_ones(odd_docs):
+    docs = odd_docs.selectExpr("*", "doc_id as __k1", "'a' as __K2", "'b' as __left", "text as __cut")
+    cut = suffixes.without_repeats(docs)
+    same = [c for c in docs.columns if c not in ("text", "n_chars")]
+    assert cut.columns == docs.columns
+    assert Counter(cut.select(*same).collect()) == Counter(docs.select(*same).collect())
+
+
 def test_repeated_rows_meet_once(make_docs):
     text = " ".join([sentence(1, 60), sentence(2, 20), sentence(1, 60)])
     rows = [(1, text)] * 60 + [(None, text)] * 40 + [(2, sentence(1, 60))]
