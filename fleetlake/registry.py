@@ -13,14 +13,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetlake import fixtures, schemas
+from fleetlake.functions.lines import parse_target_ids
 from fleetlake.operators import contracts, fleet, matching, quality, reports
 from fleetlake.operators.pick import keep_first
 from fleetlake.oracle_views import with_views
-from fleetlake.plans import backfill, compaction, daily, dedup, lineage, retention
-from fleetlake.plans.append import append, idempotent_append
+from fleetlake.plans import backfill, compaction, daily, dedup, lineage, retention, tables
+from fleetlake.plans.append import append, create_tables, idempotent_append
 from fleetlake.plans.status import refresh_fleet_status
 from fleetlake.session import scratch_path
-from fleetlake.sources import snapshots
+from fleetlake.sources import files, snapshots
 from fleetlake.sources.layers import Lake, read_silver, read_table
 from fleetlake.streaming import ingest
 
@@ -1010,3 +1011,225 @@ def contract_silver_predictions(spark: SparkSession, folder: str) -> DataFrame:
     return contracts.contract_summary(
         rows.withColumn("dt", day), contracts.silver_rules(contracts.prediction_rules())
     )
+
+
+# --- Named tables ----------------------------------------------------------------
+
+
+def _database(spark: SparkSession, root: str) -> str:
+    """A database of its own for the tables below ``root``."""
+    name = "lake_" + "".join(c if c.isalnum() else "_" for c in root.rsplit("/", 1)[-1])
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}")
+    return name
+
+
+@_query("select id, dt from (select id, cast(collected_at as date) as dt from positions) t", "positions")
+def named_compaction(spark: SparkSession, folder: str) -> DataFrame:
+    # A third of the rows comes late; days are replaced by name while their folders stay.
+    path = scratch_path(spark, "silver")
+    rows = fixtures.positions(fixtures.events(spark, folder))
+    name = f"{_database(spark, path)}.positions"
+    append(rows.where("id % 3 <> 0"), path, "positions")
+    tables.register(spark, name, "positions", path)
+    tables.compact_into(rows, name, "positions")
+    return spark.table(name).select("id", "dt")
+
+
+@_query(
+    "select * from fleet_status where next_stop_id is not null union all select * from fleet_status where id % 2 = 0",
+    "fleet_status",
+)
+def named_replacement(spark: SparkSession, folder: str) -> DataFrame:
+    # The whole table is replaced by fewer rows, then rows are appended to days that have moved.
+    path = scratch_path(spark, "status")
+    rows = fixtures.fleet_status(fixtures.events(spark, folder))
+    name = f"{_database(spark, path)}.fleet_status"
+    tables.register(spark, name, "fleet_status", path)
+    tables.append_rows(rows.where("id % 5 = 0"), name, "fleet_status")
+    tables.replace_all(rows.where("next_stop_id is not null"), name, "fleet_status")
+    tables.append_rows(rows.where("id % 2 = 0"), name, "fleet_status")
+    tables.remove_unused(spark, name, keep_hours=0)
+    return spark.table(name).drop("dt")
+
+
+@_query(
+    """
+select 'positions' as table_name, cast(collected_at as date) as dt, count(*) as n from positions group by 2
+union all select 'predictions', cast(collected_at as date), count(*) from predictions group by 2
+union all select 'fleet_status', cast(analyzed_at as date), count(*) from fleet_status where id % 2 = 0 group by 2
+union all select 'lineage_audit', cast(run_timestamp as date), count(*) from lineage_audit group by 2
+""",
+    "positions",
+    "predictions",
+    "fleet_status",
+    "lineage_audit",
+)
+def created_tables(spark: SparkSession, folder: str) -> DataFrame:
+    # The tables are created over an empty lake and once more over the written one.
+    ev, root = fixtures.events(spark, folder), scratch_path(spark, "created")
+    lake, database = Lake(root), _database(spark, root)
+    create_tables(spark, root, database)
+    append(fixtures.positions(ev), lake.path("bronze", "positions"), "positions")
+    append(fixtures.predictions(ev), lake.path("bronze", "predictions"), "predictions")
+    append(fixtures.fleet_status(ev).where("id % 2 = 0"), lake.path("bronze", "fleet_status"), "fleet_status")
+    append(fixtures.lineage_audit(ev), daily.audit_path(lake), "lineage_audit")
+    counts = [
+        spark.table(name).groupBy("dt").agg(F.count("*").alias("n")).select(F.lit(name.split(".")[1]).alias("table_name"), "dt", "n")
+        for name in create_tables(spark, root, database)
+    ]
+    return counts[0].unionByName(counts[1]).unionByName(counts[2]).unionByName(counts[3])
+
+
+# --- Files and the whole chain ---------------------------------------------------
+
+
+@_query(
+    """
+select p.line_code, c.outbound_name, c.return_name, count(*) as n
+from line_catalog c join positions p on p.line_code = c.line_number || '-' || cast(c.line_suffix as varchar(9))
+where c.line_id in (1, 2, 3, 4) group by 1, 2, 3
+""",
+    "positions",
+    "line_catalog",
+)
+def catalog_names(spark: SparkSession, folder: str) -> DataFrame:
+    # The catalogue is a file whose columns have other names and another order.
+    ev, path = fixtures.events(spark, folder), scratch_path(spark, "catalog")
+    names = {"nome_ida": "outbound_name", "numero": "line_number", "codigo": "line_id"}
+    written = fixtures.line_catalog(ev).withColumnsRenamed({v: k for k, v in names.items()})
+    written.select("nome_ida", "return_name", "numero", "codigo", "line_suffix").write.csv(path, header=True)
+    catalog = files.read_catalog(spark, path, names=names)
+    wanted = catalog.where(F.col("line_id").isin(parse_target_ids("1, 2,3 ,4")))
+    code = F.concat_ws("-", "line_number", "line_suffix").alias("line_code")
+    rows = fixtures.positions(ev).groupBy("line_code").agg(F.count("*").alias("n"))
+    return rows.join(wanted.select(code, "outbound_name", "return_name"), "line_code")
+
+
+@_query(
+    """
+select line_code, n, prediction_share * 100 as completeness_pct from (
+  select line_code, count(*) as n, count(next_stop_id) / cast(count(*) as double) as prediction_share
+  from fleet_status where line_code is not null group by line_code) t
+""",
+    "fleet_status",
+)
+def completeness_report(spark: SparkSession, folder: str) -> DataFrame:
+    path = scratch_path(spark, "report")
+    status = fixtures.fleet_status(fixtures.events(spark, folder)).where("line_code is not null")
+    status.groupBy("line_code").agg(
+        F.count("*").alias("n"), (F.count("next_stop_id") / F.count("*")).alias("prediction_share")
+    ).write.csv(path, sep="|")
+    return files.read_completeness_report(spark, path)
+
+
+@_query("select id, collected_at, vehicle_id, line_code, lat, lon, position_at from positions", "positions")
+def gps_export(spark: SparkSession, folder: str) -> DataFrame:
+    path = scratch_path(spark, "gps")
+    rows = fixtures.positions(fixtures.events(spark, folder))
+    marked = F.date_format("position_at", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
+    rows.withColumn("position_at", marked).write.csv(path, sep="|")
+    return files.read_gps_sample(spark, path)
+
+
+@_query(
+    """
+select line_code, round(avg(lat), 6) as avg_lat, round(avg(lon), 6) as avg_lon, count(*) as n
+from fleet_status
+where line_code = 'click-10' and lat is not null and lon is not null and position_at is not null
+  and next_stop_id is not null and predicted_arrival is not null
+group by line_code
+""",
+    "fleet_status",
+)
+def one_line_metrics(spark: SparkSession, folder: str) -> DataFrame:
+    status = fixtures.fleet_status(fixtures.events(spark, folder))
+    return reports.one_line(reports.trusted_line_metrics(status), LINE)
+
+
+@_query(
+    """
+select 'refused' as kind, id from positions where id % 13 = 0 or id % 17 = 0
+union all
+select 'stored', min(id) from positions where id % 13 <> 0 and id % 17 <> 0 group by collected_at, vehicle_id
+""",
+    "positions",
+)
+def incomplete_rows(spark: SparkSession, folder: str) -> DataFrame:
+    # Every 13th row lacks its vehicle, every 17th its time.
+    path, refused = scratch_path(spark, "bronze"), scratch_path(spark, "refused")
+    rows = fixtures.positions(fixtures.events(spark, folder)).withColumns(
+        {
+            "vehicle_id": F.when(F.col("id") % 13 != 0, F.col("vehicle_id")),
+            "collected_at": F.when(F.col("id") % 17 != 0, F.col("collected_at")),
+        }
+    )
+    idempotent_append(rows, path, "positions", quarantine=refused)
+    stored = read_table(spark, path, "positions").select(F.lit("stored").alias("kind"), "id")
+    return stored.unionByName(spark.read.parquet(refused).select(F.lit("refused").alias("kind"), "id"))
+
+
+_CHAIN = """
+with kept as (
+  select 'positions' as table_name, collected_at from (
+    select distinct p.collected_at, p.vehicle_id from positions p
+    join (select line_number || '-' || cast(line_suffix as varchar(9)) as code from line_catalog where line_id <= 4) c
+      on c.code = p.line_code
+    where cast(p.collected_at as time) between time '05:00:00' and time '23:00:00') a
+  union all
+  select 'predictions', collected_at from (
+    select distinct collected_at, line_id, vehicle_id, stop_id, predicted_at from predictions
+    where stop_id is not null and predicted_at is not null
+    union all
+    select collected_at, line_id, vehicle_id, stop_id, predicted_at from predictions
+    where stop_id is null or predicted_at is null) b),
+steps as (
+  select table_name, 'collected' as step, count(*) as n from kept group by 1
+  union all
+  select table_name, 'compacted', count_if(cast(collected_at as date) = date '2024-01-15') from kept group by 1
+  union all
+  select table_name, 'late', count_if(cast(collected_at as date) <> date '2024-01-15') from kept group by 1
+  union all
+  select table_name, 'purged', count_if(collected_at < timestamp '2024-01-24 02:00:00') from kept group by 1)
+"""
+
+
+@_query(
+    f"""{_CHAIN},
+kinds(step, asset, layer) as (
+  values ('collected', 'collect', 'bronze'), ('compacted', 'compact', 'silver'), ('late', 'compact', 'silver'),
+    ('purged', 'purge', 'bronze'))
+select 'returned' as origin, table_name, step as name, null as layer, cast(n as bigint) as n, null as status,
+  null as run_timestamp
+from steps
+union all
+select 'audit', table_name, asset || '_' || table_name, layer, n, 'ok', timestamp '2024-01-31 02:00:00'
+from steps join kinds on kinds.step = steps.step where n > 0 or asset = 'collect'
+union all
+select 'audit', t, 'reconcile_' || t, 'silver', 0, 'ok', timestamp '2024-01-31 02:00:00'
+from (values ('positions'), ('predictions')) checked(t)
+""",
+    "positions",
+    "predictions",
+    "line_catalog",
+)
+def run_daily_counts(spark: SparkSession, folder: str) -> DataFrame:
+    # The whole chain from landed files to the purge: the counts it returns, and its audit rows.
+    ev, root = fixtures.events(spark, folder), scratch_path(spark, "chain")
+    fixtures.as_json(fixtures.position_snapshots(ev)).write.text(f"{root}/positions")
+    fixtures.as_json(fixtures.prediction_snapshots(ev)).write.text(f"{root}/predictions")
+    lake = Lake(f"{root}/lake")
+    catalog = fixtures.line_catalog(ev)
+    landing = f"{root}/positions", f"{root}/predictions"
+    done = daily.run_daily(spark, lake, DAY, AS_OF, *landing, catalog, TARGET_IDS)
+    counts = [("returned", table, step, n) for table, steps in done.items() for step, n in steps.items()]
+    returned = spark.createDataFrame(counts, "origin string, table_name string, name string, n long")
+    audit = read_table(spark, daily.audit_path(lake), "lineage_audit").select(
+        F.lit("audit").alias("origin"),
+        "table_name",
+        F.col("asset_name").alias("name"),
+        "layer",
+        F.col("row_count").alias("n"),
+        "status",
+        "run_timestamp",
+    )
+    return returned.unionByName(audit, allowMissingColumns=True)

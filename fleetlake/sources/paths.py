@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import SparkSession
 
 # Folders beside a table's own that readers skip: results not yet in place, and what they replace.
@@ -33,6 +35,12 @@ def files(spark: SparkSession, path: str, suffix: str) -> list[str]:
     return sorted(name for name in names if name.endswith(suffix))
 
 
+def age_seconds(spark: SparkSession, path: str) -> float:
+    """Seconds since the folder or file was last changed."""
+    fs, p = _locate(spark, path)
+    return time.time() - fs.getFileStatus(p).getModificationTime() / 1000
+
+
 def remove(spark: SparkSession, path: str) -> bool:
     fs, p = _locate(spark, path)
     return fs.delete(p, True)
