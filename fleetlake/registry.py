@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from fleetlake import fixtures, schemas
 from fleetlake.functions.lines import parse_target_ids
-from fleetlake.operators import contracts, fleet, matching, quality, reports
+from fleetlake.operators import contracts, fleet, matching, quality, reports, sketches
 from fleetlake.operators.pick import keep_first
 from fleetlake.oracle_views import with_views
 from fleetlake.plans import backfill, compaction, daily, dedup, lineage, retention, tables
@@ -1233,3 +1233,27 @@ def run_daily_counts(spark: SparkSession, folder: str) -> DataFrame:
         "run_timestamp",
     )
     return returned.unionByName(audit, allowMissingColumns=True)
+
+
+@_query(
+    """
+select 'vehicle_id' as name, count(*) as n, count(distinct vehicle_id) as distinct_exact, true as near
+from positions where collected_at < timestamp '2024-01-20 00:00:00'
+union all
+select 'line_code', count(*), count(distinct line_code), true
+from positions where collected_at < timestamp '2024-01-20 00:00:00'
+""",
+    "positions",
+)
+def distinct_by_sketch(spark: SparkSession, folder: str) -> DataFrame:
+    # Sketches of all days are stored, then those of a span united and held against the exact count.
+    path, values = scratch_path(spark, "sketches"), ["vehicle_id", "line_code"]
+    rows = fixtures.positions(fixtures.events(spark, folder)).withColumn("dt", F.to_date("collected_at"))
+    sketches.store_sketches(rows, path, values)
+    span = F.col("dt") < F.lit("2024-01-20").cast("date")
+    estimated = sketches.distinct_estimate(sketches.read_sketches(spark, path), span)
+    exact = sketches.distinct_exact(rows, values, span).drop("rows")
+    near = F.abs(F.col("estimate") - F.col("exact")) <= F.lit(4 * sketches.error()) * F.col("exact")
+    return estimated.join(exact, "column").select(
+        F.col("column").alias("name"), F.col("rows").alias("n"), F.col("exact").alias("distinct_exact"), near.alias("near")
+    )
