@@ -6,7 +6,7 @@ Stripes are read in parallel by Spark's own splits. Each row keeps the number of
 it in its file; a small table of file totals turns that into the place in the whole stream.
 
 Defined results: null and empty texts hold the end id alone; rows without a doc_id come
-first; rows of one doc_id are ordered by text, so equal rows follow each other and which of
+first; rows of one doc_id are ordered by their texts' hashes, so equal rows follow each other and which of
 them comes first does not show; an empty table gives no rows.
 """
 
@@ -14,21 +14,22 @@ from __future__ import annotations
 
 import functools
 import zlib
-from collections import ChainMap
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fleetlake.llm.bpe import byte_alphabet
-from fleetlake.llm.common import CHUNK, as_long, chunks, text_buffer
+from fleetlake.llm.common import as_long, chunks, text_buffer
 from fleetlake.session import scratch_path
 
 #: Distinct words, and distinct pieces of them, in each of a worker's two generations of memory.
 WORDS, PIECES = 300_000, 500_000
+#: Bytes of text (or one text) whose distinct words are looked up together.
+PART = 4 << 20
 SCHEMA = "doc_id long, file int, place long, n int, ids array<int>"
 
 # Fixed value: the file's split pattern.
@@ -72,6 +73,12 @@ class WordEncoder:
         return ids
 
     def _word(self, word: str) -> bytes:
+        if word.isascii():
+            # A run of letters with at most one other character behind it is split there.
+            if word.isalpha():
+                return self._piece(word.lower())
+            if word[:-1].isalpha() and "!" <= word[-1] <= "~":
+                return self._piece(word[:-1].lower()) + self._piece(word[-1])
         if SIMPLE.fullmatch(word):
             chars = self.byte_chars
             parts = SPLIT.findall(word.lower())
@@ -79,31 +86,64 @@ class WordEncoder:
         normal = self.library.normalizer.normalize_str(word)
         return b"".join([self._piece(p) for p, _ in self.library.pre_tokenizer.pre_tokenize_str(normal)])
 
-    def encode_all(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text, packed."""
+    def _all_words(self, words: list[str]) -> list[bytes]:
+        """Ids of distinct words, packed."""
         if len(self.known) > WORDS:
             self.older, self.known = self.known, {"": b""}
         if len(self.pieces) > PIECES:
             self.older_pieces, self.pieces = self.pieces, {}
-        special = [any(a in t for a in self.added) for t in texts]
-        split = [[] if s else t.replace("\n", " ").split(" ") for t, s in zip(texts, special, strict=True)]
-        whole, older = {}, self.older
-        for word in set(chain.from_iterable(split)).difference(self.known):
-            if len(word) > 64:
-                whole[word] = self._word(word)
-            else:
+        known, older = self.known, self.older
+        found = []
+        for word in words:
+            ids = known.get(word)
+            if ids is None:
                 ids = older.get(word)
-                self.known[word] = self._word(word) if ids is None else ids
-        known = ChainMap(self.known, whole) if whole else self.known
-        return [
-            packed(self.library.encode(t, add_special_tokens=False).ids)
-            if s
-            else b"".join(map(known.__getitem__, parts))
-            for t, s, parts in zip(texts, special, split, strict=True)
+                if ids is None:
+                    ids = self._word(word)
+                if len(word) <= 64:
+                    known[word] = ids
+            found.append(ids)
+        return found
+
+    def encode_column(self, text: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts in a row, and where each text's ids end; null counts as empty.
+
+        Arrow splits the texts and finds the distinct words of the column, whose ids are
+        then dealt out to all places by their numbers.
+        """
+        text = pc.fill_null(text, "")
+        special = np.zeros(len(text), bool)
+        for added in self.added:
+            special |= pc.match_substring(text, added).to_numpy(zero_copy_only=False)
+        plain = pc.if_else(pa.array(special), "", text) if special.any() else text
+        parts = pc.split_pattern(pc.replace_substring(plain, "\n", " "), " ")
+        flat = parts.flatten().dictionary_encode()
+        lists = self._all_words(flat.dictionary.to_pylist())
+        sizes = np.cumsum([0, *map(len, lists)]) // 4
+        of_word = pa.ListArray.from_arrays(
+            pa.array(sizes.astype(np.int32)), pa.array(np.frombuffer(b"".join(lists), "<i4"))
+        )
+        placed = of_word.take(flat.indices)
+        bounds = np.asarray(placed.offsets)[np.asarray(parts.offsets) - parts.offsets[0].as_py()]
+        ids = np.asarray(placed.values)[bounds[0] : bounds[-1]]
+        ends = (bounds[1:] - bounds[0]).astype(np.int64)
+        if not special.any():
+            return ids, ends
+        whole = [
+            self.library.encode(text[i].as_py(), add_special_tokens=False).ids if s else ids[first:last]
+            for i, (s, first, last) in enumerate(zip(special, [0, *ends[:-1]], ends, strict=True))
         ]
+        return np.concatenate([np.asarray(x, np.int32) for x in whole]), np.cumsum([len(x) for x in whole])
+
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text, packed."""
+        if not texts:
+            return []
+        ids, ends = self.encode_column(pa.array(texts, pa.large_string()))
+        return [packed(one) for one in np.split(ids, ends[:-1])]
 
 
-def packed(ids: list[int]) -> bytes:
+def packed(ids: list[int] | np.ndarray) -> bytes:
     return np.array(ids, "<u4").tobytes()
 
 
@@ -117,21 +157,20 @@ def write_tokens(docs: DataFrame, path: str, folder: str, end_id: int, files: in
     spark = docs.sparkSession
     n = files or int(spark.conf.get("spark.sql.shuffle.partitions"))
     placed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    placed = placed.repartitionByRange(n, F.col("doc_id").asc_nulls_first()).sortWithinPartitions(
-        F.col("doc_id").asc_nulls_first(), F.col("text").asc_nulls_first()
-    )
+    # Rows of one doc_id may be many, so ranges go on by their texts' hashes.
+    order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text")]
+    placed = placed.repartitionByRange(n, *order).sortWithinPartitions(*order, F.col("text").asc_nulls_first())
     placed = placed.withColumn("file", F.spark_partition_id())
 
     def run(batches):
-        encoder, place, end = load(path), 0, packed([end_id])
+        encoder, place = load(path), 0
         for batch in batches:
             ids, text, file = (batch.column(batch.schema.get_field_index(c)) for c in ("doc_id", "text", "file"))
             _, bounds = text_buffer(text)
-            for first, last in chunks(bounds, CHUNK):
-                texts = [t or "" for t in text.slice(first, last - first).to_pylist()]
-                lists = encoder.encode_all(texts)
-                sizes = np.array([len(x) // 4 + 1 for x in lists])
-                flat = pa.array(np.frombuffer(end.join(lists) + end, "<i4"))
+            for first, last in chunks(bounds, PART):
+                found, ends = encoder.encode_column(text.slice(first, last - first))
+                sizes = np.diff(ends, prepend=0) + 1
+                flat = pa.array(np.insert(found, ends, end_id).astype(np.int32, copy=False))
                 ends = np.cumsum(sizes)
                 yield pa.RecordBatch.from_arrays(
                     [
