@@ -13,6 +13,7 @@ them comes first does not show; an empty table gives no rows.
 from __future__ import annotations
 
 import functools
+import struct
 import zlib
 
 import numpy as np
@@ -69,7 +70,8 @@ class WordEncoder:
         if ids is None and (ids := self.older_pieces.get(piece)) is not None:
             self.pieces[piece] = ids
         elif ids is None:
-            ids = self.pieces[piece] = packed([t.id for t in self.library.model.tokenize(piece)])
+            found = [t.id for t in self.library.model.tokenize(piece)]
+            ids = self.pieces[piece] = struct.pack(f"<{len(found)}I", *found)
         return ids
 
     def _word(self, word: str) -> bytes:
@@ -93,16 +95,15 @@ class WordEncoder:
         if len(self.pieces) > PIECES:
             self.older_pieces, self.pieces = self.pieces, {}
         known, older = self.known, self.older
-        found = []
-        for word in words:
-            ids = known.get(word)
+        found = list(map(known.get, words))
+        for i in [i for i, ids in enumerate(found) if ids is None]:
+            word = words[i]
+            ids = older.get(word)
             if ids is None:
-                ids = older.get(word)
-                if ids is None:
-                    ids = self._word(word)
-                if len(word) <= 64:
-                    known[word] = ids
-            found.append(ids)
+                ids = self._word(word)
+            if len(word) <= 64:
+                known[word] = ids
+            found[i] = ids
         return found
 
     def encode_column(self, text: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -118,7 +119,8 @@ class WordEncoder:
         plain = pc.if_else(pa.array(special), "", text) if special.any() else text
         parts = pc.split_pattern(pc.replace_substring(plain, "\n", " "), " ")
         flat = parts.flatten().dictionary_encode()
-        lists = self._all_words(flat.dictionary.to_pylist())
+        # By way of numpy, as Arrow's own lists are made by a scalar for each word.
+        lists = self._all_words(flat.dictionary.to_numpy(zero_copy_only=False).tolist())
         sizes = np.cumsum([0, *map(len, lists)]) // 4
         of_word = pa.ListArray.from_arrays(
             pa.array(sizes.astype(np.int32)), pa.array(np.frombuffer(b"".join(lists), "<i4"))

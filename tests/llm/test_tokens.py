@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import hashlib
 import random
+import sys
 import zlib
 from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -93,6 +95,34 @@ def test_words_between_odd_spaces_equal_the_library():
     assert own.encode_all(texts) == expected
 
 
+def test_known_words_cost_no_python_call_each():
+    own, calls = orc_tokens.WordEncoder(WORD), 0
+    text = pa.array([" ".join(f"w{k}x" for k in range(2000))])
+    first = own.encode_column(text)[0]
+
+    def count(*_):
+        nonlocal calls
+        calls += 1
+
+    sys.setprofile(count)
+    try:
+        again = own.encode_column(text)[0]
+    finally:
+        sys.setprofile(None)
+    assert calls < 1000
+    assert first.tolist() == again.tolist() == Tokenizer.from_file(WORD).encode(text[0].as_py(), add_special_tokens=False).ids
+
+
+def test_words_that_leave_the_memory_equal_the_library(monkeypatch):
+    monkeypatch.setattr(orc_tokens, "WORDS", 3)
+    monkeypatch.setattr(orc_tokens, "PIECES", 3)
+    library, own = Tokenizer.from_file(WORD), orc_tokens.WordEncoder(WORD)
+    texts = ["one two Three", "four, five six", "one two seven", "", "ein Wörtchen éé " + "x" * 80, "Three one 8", "one " + "x" * 80] * 2
+    for text in texts:
+        ids = library.encode(text, add_special_tokens=False).ids
+        assert own.encode_column(pa.array([text, None]))[0].tolist() == ids
+
+
 def test_orc_files_carry_bloom_filters_and_are_in_order(spark, make_docs):
     docs = make_docs(*[(k, f"word{k} text") for k in range(500)])
     folder = scratch_path(spark, "tokens")
