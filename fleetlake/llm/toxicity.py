@@ -3,7 +3,7 @@
 A word is the mean of the vectors of its character n-grams, with marks at both ends, and a
 text is the mean of its distinct words and of ``PADDING`` zero vectors, which keep texts of
 a few words from extreme scores; a softmax over two classes stands on top. Vectors and weights
-are learned together by Adam on a bounded sample of labelled rows, under a group lasso that sets the vectors
+are learned together by Adam in a task on a bounded sample of labelled rows, under a group lasso that sets the vectors
 of n-grams which tell nothing to zero; a kept-out fifth chooses its strength and when to stop.
 N-grams of a single text are not learned. A misspelling never seen
 shares most n-grams with the word it comes from, and so its vector.
@@ -46,6 +46,8 @@ SCALE = 300.0
 THRESHOLD = 0.7
 #: Zero vectors in the mean of a text.
 PADDING = 50
+#: N-grams or words that are summed at a time.
+BLOCK = 1 << 20
 
 
 @dataclass(frozen=True)
@@ -99,6 +101,15 @@ def _means(values: np.ndarray, begin: np.ndarray, padding: int = 0) -> np.ndarra
     return (sums[begin[1:]] - sums[begin[:-1]]) / np.maximum(np.diff(begin) + padding, 1)
 
 
+def _gathered(values: np.ndarray, source: np.ndarray, into: np.ndarray, size: int) -> np.ndarray:
+    """Sums of ``values[source]`` by ``into``, one after the other, with memory for a block of them."""
+    sums, values = np.zeros(size), values.astype(np.float64)
+    for first in range(0, len(source), BLOCK):
+        part = slice(first, first + BLOCK)
+        np.add.at(sums, into[part].astype(np.intp), values[source[part]])
+    return sums
+
+
 @dataclass(frozen=True)
 class Bags:
     """Texts as bags of distinct words, words as bags of n-gram buckets.
@@ -133,9 +144,10 @@ def all_bags(texts: pa.Array) -> Bags:
     owner = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
     # A bucket of one text can only tell that text by heart. Words of one text may share it.
     texts_of = np.bincount(token, minlength=len(sizes))
-    bucket = np.flatnonzero(np.bincount(gram, texts_of[owner], BUCKETS) > 1)
-    known = np.isin(gram, bucket)
-    return Bags(bucket, np.searchsorted(bucket, gram[known]).astype(np.int32), owner[known], sizes, token, counts)
+    many = _gathered(texts_of, owner, gram, BUCKETS) > 1
+    known = many[gram]
+    place = (np.cumsum(many) - 1).astype(np.int32)
+    return Bags(np.flatnonzero(many), place[gram[known]], owner[known], sizes, token, counts)
 
 
 def _learned(
@@ -157,19 +169,21 @@ def _learned(
         weights.append(np.where(labels == 1, 0.5 / n[1], 0.5 / n[0]) * side)
     least, best = np.inf, (1, Model(np.zeros(BUCKETS, np.float32), 0.0))
     bucket, gram, owner, token = bag.bucket, bag.gram, bag.owner, bag.token
-    text = np.repeat(np.arange(len(labels)), bag.counts)
+    text = np.repeat(np.arange(len(labels), dtype=np.int32), bag.counts)
     for step in range(1, STEPS + 1):
         if step > SETTLED and step % 10 == 1:
             # Vectors that are zero by now stay so, and words of nothing else are passed over.
             alive = vectors.any(axis=1)
             here = alive[gram]
-            gram, owner, bucket = (np.cumsum(alive) - 1)[gram[here]], owner[here], bucket[alive]
+            gram, owner, bucket = (np.cumsum(alive) - 1).astype(np.int32)[gram[here]], owner[here], bucket[alive]
             vectors, state[0] = vectors[alive], (state[0][0][alive], state[0][1][alive])
-            told = np.isin(token, owner)
+            told = np.zeros(len(bag.sizes), bool)
+            told[owner] = True
+            told = told[token]
             token, text = token[told], text[told]
         weight = vectors @ out
-        per_word = np.bincount(owner, weight[gram], len(bag.sizes)) / bag.sizes
-        logits = np.clip(np.bincount(text, per_word[token], len(labels)) * share + bias[0], -500, 500)
+        per_word = _gathered(weight, gram, owner, len(bag.sizes)) / bag.sizes
+        logits = np.clip(_gathered(per_word, token, text, len(labels)) * share + bias[0], -500, 500)
         chance = 1 / (1 + np.exp(-logits))
         loss = float((np.logaddexp(0, np.where(labels == 1, -logits, logits)) * weights[1]).sum())
         if step == stop if stop else loss < least:
@@ -179,8 +193,8 @@ def _learned(
             if stop:
                 break
         error = (chance - labels) * weights[0]
-        of_word = np.bincount(token, (error * share)[text], len(bag.sizes)) / bag.sizes
-        of_gram = np.bincount(gram, of_word[owner], len(bucket)).astype(np.float32)
+        of_word = _gathered(error * share, text, token, len(bag.sizes)) / bag.sizes
+        of_gram = _gathered(of_word, owner, gram, len(bucket)).astype(np.float32)
         gradients = (of_gram[:, None] * out, vectors.T @ of_gram, np.array([error.sum()], np.float32))
         rate = RATE * (1 - (step - 1) / STEPS)
         for parameter, (m, v), g in zip((vectors, out, bias), state, gradients, strict=True):
@@ -231,12 +245,23 @@ def labelled(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, limit: in
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
-    """A model learned on the driver from the bounded sample."""
-    rows = labelled(docs, labels, sample).toArrow()
-    order = np.argsort(rows.column("doc_id").to_numpy(), kind="stable")
-    rows = rows.take(pa.array(order)).combine_chunks()
-    texts = rows.column("text").chunk(0) if rows.num_rows else pa.array([], pa.string())
-    return train(texts, rows.column("toxic").to_numpy().astype(np.int64))
+    """A model learned by a task from the bounded sample; the driver sees the model alone."""
+
+    def run(batches):
+        batches = list(batches)
+        if not batches:
+            return
+        rows = pa.Table.from_batches(batches)
+        order = np.argsort(rows.column("doc_id").to_numpy(), kind="stable")
+        rows = rows.take(pa.array(order)).combine_chunks()
+        model = train(rows.column("text").combine_chunks(), rows.column("toxic").to_numpy().astype(np.int64))
+        if model.weight is not None:
+            yield pa.RecordBatch.from_pydict({"weight": [model.weight.tobytes()], "bias": [model.bias]})
+
+    # At most two samples of texts, whose size is bounded, so one task holds them.
+    learned = labelled(docs, labels, sample).select("doc_id", "toxic", "text").repartition(1)
+    found = learned.mapInArrow(run, "weight binary, bias double").collect()
+    return Model(np.frombuffer(found[0].weight, np.float32), found[0].bias) if found else Model(None, 0.0)
 
 
 def score_texts(texts: pa.Array, model: Model) -> np.ndarray:

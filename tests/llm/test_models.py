@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import os
 import random
 import re
 import zlib
@@ -53,6 +54,33 @@ def test_toxicity_of_odd_rows(spark, odd_docs, no_docs):
     assert toxicity.scores(no_docs, labels).count() == 0
 
 
+def test_a_task_learns_and_not_the_driver(spark, make_docs, monkeypatch):
+    rows = toxic_rows(60)
+    docs = make_docs(*[r[:2] for r in rows], (0, "zz"), (None, "zz"))
+    labels = spark.createDataFrame([(d, 1, y) for d, _, y in rows], "doc_id long, quality int, toxic int")
+    own = toxicity.fit(docs, labels)
+    learned = [r for r in rows if zlib.crc32(str(r[0]).encode()) % 3 != 1]
+    expected = toxicity.train(pa.array([t for _, t, _ in learned]), np.array([y for *_, y in learned]))
+    assert own.bias == pytest.approx(expected.bias, rel=1e-3)
+    assert np.allclose(own.weight, expected.weight, rtol=1e-2, atol=1e-2 * np.abs(expected.weight).max())
+
+    def told(texts, labels):
+        return toxicity.Model(np.full(1, len(labels), np.float32), float(os.getpid()))
+
+    monkeypatch.setattr(toxicity, "train", told)
+    model = toxicity.fit(docs, labels)
+    assert model.weight.tolist() == [len(learned)]
+    assert model.bias != os.getpid()
+
+
+def test_sums_by_blocks_equal_those_of_all(monkeypatch):
+    monkeypatch.setattr(toxicity, "BLOCK", 7)
+    draw = np.random.default_rng(2)
+    values, source, into = draw.normal(size=30), draw.integers(0, 30, 100, np.int32), draw.integers(0, 9, 100, np.int32)
+    assert (toxicity._gathered(values, source, into, 12) == np.bincount(into, values[source], 12)).all()
+    assert toxicity._gathered(values, source[:0], into[:0], 3).tolist() == [0.0] * 3
+
+
 def test_subword_bag_is_the_mean_of_distinct_words():
     model = toxicity.Model(np.random.default_rng(0).normal(size=toxicity.BUCKETS).astype(np.float32), 0.25)
     one, other, both = ("alpha", "beta", "alpha beta Alpha, beta!")
